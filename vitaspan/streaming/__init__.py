@@ -1,0 +1 @@
+"""The covered feature set reads static tables only; there is no streaming operator to offer."""
