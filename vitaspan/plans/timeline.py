@@ -7,10 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitaspan.functions.scalars import col, contains, contains_any, decode_age, remove_first, to_number
+from vitaspan.functions.scalars import col, contains, decode_age, remove_first, to_number
 from vitaspan.operators.frames import across
 from vitaspan.operators.joins import join_ns, union_fill
-from vitaspan.operators.ordered import (dense_rank_nulls_out, first_per_key, group_first, group_values)
+from vitaspan.operators.ordered import dense_rank_nulls_out, first_per_key, group_first, group_values
 from vitaspan.operators.reshape import concat_ordered, pivot_ordinal
 
 # fixed values: words for the line of therapy and the codes that sort them
@@ -60,11 +60,11 @@ def line_of_therapy(df: DataFrame, key: str, line_text: str, start: str, out: st
     """
     unknown = contains(line_text, "Unknown")
     df = df.withColumn("__code", line_number(line_text))
-    df = group_values(df, [key], {"__unknown": F.max(unknown), "__known": F.min(unknown)})
+    df = group_values(df, [key], {"__unknown": F.max(unknown), "__all_unknown": F.min(unknown)})
     by_start = dense_rank_nulls_out(df, [key], [start, "__code"], "__by_start")
-    no_line_info = F.coalesce(F.col("__unknown"), F.lit(False)) & F.coalesce(F.col("__known"), F.lit(False))
+    no_line_info = F.coalesce(F.col("__unknown"), F.lit(False)) & F.coalesce(F.col("__all_unknown"), F.lit(False))
     return by_start.withColumn(out, F.when(no_line_info, F.col("__by_start")).otherwise(F.col("__code")).cast("int")) \
-        .drop("__code", "__unknown", "__known", "__by_start")
+        .drop("__code", "__unknown", "__all_unknown", "__by_start")
 
 
 def regimens(df: DataFrame, key: str, start: str, stop: str, drug: str, line: str, others: Sequence[str] = (),
