@@ -60,15 +60,20 @@ def semi_by_list(df: DataFrame, key: str, keys_df: DataFrame, keys_col: str | No
     if not lengths:
         return df.where(F.lit(False))
     text = df.select(col(key).alias("__have")).where(F.col("__have").isNotNull()).distinct()
-    cuts = F.array_distinct(F.flatten(F.array(*[
-        F.transform(F.sequence(F.lit(1), F.greatest(F.length("__have") - (n - 1), F.lit(1))),
-                    lambda i, n=n: F.substring(F.col("__have"), i, F.lit(n)))
-        for n in lengths])))
+    cuts = F.array_distinct(F.flatten(F.array(*[_substrings("__have", n) for n in lengths])))
     found = (text.select("__have", F.explode(cuts).alias("__cut"))
              .join(wanted, F.col("__cut") == F.col("__want"), "left_semi").select("__have").distinct())
     return df.join(found, df[f"`{key}`"] == found["__have"], "left_semi")
 
 
+def _substrings(name: str, n: int) -> Column:
+    """All substrings of length ``n``."""
+    text = F.col(name)
+    starts = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - (n - 1))).otherwise(
+        F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))
+
+
 def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
     return df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("n")).where("n > 1")

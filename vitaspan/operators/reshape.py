@@ -76,7 +76,7 @@ def concat_ordered(df: DataFrame, keys: Sequence[str], cols: Sequence[str], orde
     arrays, _ = _ordered_arrays(df, keys, cols, order)
     out = [F.col(f"__key{i}").alias(k) for i, k in enumerate(keys)]
     for i, c in enumerate(cols):
-        items = F.transform(F.col("__rows"), lambda r, i=i: r[f"v{i}"])
+        items = _values(i)
         text = F.array_join(items, sep)
         if nulls == "poison":
             text = F.when(~F.exists(items, lambda x: x.isNull()), text)
@@ -88,10 +88,14 @@ def collect_ordered(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ord
     """Like ``concat_ordered``, but each column is an array (NULLs kept)."""
     arrays, _ = _ordered_arrays(df, keys, cols, order)
     out = [F.col(f"__key{i}").alias(k) for i, k in enumerate(keys)]
-    out += [F.transform(F.col("__rows"), lambda r, i=i: r[f"v{i}"]).alias(c) for i, c in enumerate(cols)]
+    out += [_values(i).alias(c) for i, c in enumerate(cols)]
     return arrays.select(*out)
 
 
+def _values(i: int) -> Column:
+    return F.transform(F.col("__rows"), lambda r: r[f"v{i}"])
+
+
 def _ordered_arrays(df, keys, cols, order):
     kinds = dict(df.dtypes)
     fields = []
