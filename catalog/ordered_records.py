@@ -139,9 +139,9 @@ def spread_unique_flag(t):
 
 
 @query("""WITH a AS (SELECT user_id, CASE WHEN user_id % 10 <> 3 THEN median(epoch(ts)) END AS mid FROM events GROUP BY 1),
-    g AS (SELECT event_id, e.user_id, event_type, epoch(ts) AS at, abs(epoch(ts) - mid) AS gap FROM events e JOIN a USING (user_id))
+    g AS (SELECT event_id, e.user_id, event_type, epoch(ts) AS secs, abs(epoch(ts) - mid) AS gap FROM events e JOIN a USING (user_id))
     SELECT user_id, event_id, event_type, round(gap, 3) AS gap FROM g
-    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY gap NULLS LAST, at, event_id) = 1""")
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY gap NULLS LAST, secs, event_id) = 1""")
 def closest_to_anchor(t):
     """Event nearest to the median time of its user; a user without an anchor keeps the first event."""
     e = t.events.select("event_id", "user_id", "event_type", (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("at"))
