@@ -58,5 +58,5 @@ def _add_up(a, u, w):
 
 @F.pandas_udf(StructType([StructField(n, DoubleType()) for n in _SUMS]))
 def tied(s: pd.Series, e: pd.Series, d: pd.Series) -> pd.DataFrame:
-    rows = [tied_sums(a, b, int(c)) for a, b, c in zip(s, e, d)]
+    rows = [(0.0,) * len(_SUMS) if pd.isna(c) else tied_sums(a, b, int(c)) for a, b, c in zip(s, e, d)]
     return pd.DataFrame(rows, columns=_SUMS, dtype="float64")

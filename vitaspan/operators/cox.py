@@ -2,9 +2,9 @@
 
 All models (univariable ones, slices of a cohort) are fitted together, keyed by slice and model. The rows are
 collapsed once to ``(slice, model, time, event, covariates) -> n`` and frozen; a step sums the weighted
-moments per time with a map-side combine, runs them backwards over time to get the risk sets, and adds up one
-gradient and information matrix per model. Only those sums, whose size is set by the number of models and
-coefficients, reach the driver.
+first moments per time with a map-side combine, runs them backwards over time to get the risk sets, and adds
+up one gradient and information matrix per model. Only those sums, whose size is set by the number of models
+and coefficients, reach the driver.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitaspan.functions.crossprod import partial_products, sum_cells
 from vitaspan.functions.pvalues import normal_two_sided
 from vitaspan.functions.scalars import col
 from vitaspan.functions.ties import tied
@@ -137,59 +138,75 @@ def _first_look(frozen: DataFrame, keys: list[str], models, slots, width: int) -
 
 
 # --- one step --------------------------------------------------------------------------------------
+#
+# With weights w = n exp(eta), per event time s let S0, S1 be the sums of w and w z over the risk set, D0, D1
+# those over the d tied events, and A, B, C, E, G the sums of 1/a, u/a, 1/a^2, u/a^2, u^2/a^2 with
+# a = S0 - u D0 over the ties (A = d/S0, C = d/S0^2, the others 0 without Efron's correction). Then
+#   gradient    = sum of z over events - sum over s of (A S1 - B D1)
+#   information = sum over s of (A S2 - B D2) - (C S1 S1' - E (S1 D1' + D1 S1') + G D1 D1')
+# The sums with S2 and D2 are taken over rows instead, where a row counts A of all times up to its own; so no
+# second moments per time are needed.
 
 def _step(frozen: DataFrame, keys: list[str], fits: dict[tuple, _Fit], width: int, ties: str) -> dict[tuple, dict]:
     """Log-likelihood, gradient and information of every unfinished fit at its trial coefficients."""
     spark = frozen.sparkSession
     todo = {k: f for k, f in fits.items() if not f.done}
     used = sorted({j for f in todo.values() for j in f.active})
-    pairs = [(i, j) for i in used for j in used if i <= j]
+    small = max(f.n_times for f in todo.values()) < SMALL_TIMES
+    z, s1, d1 = ([f"{p}{j}" for j in used] for p in ("z", "s1_", "d1_"))
+
     pad = lambda v: [float(x) for x in v] + [0.0] * (width - len(v))
     schema = T.StructType([T.StructField(k, T.StringType()) for k in keys]
                           + [T.StructField(f"{p}{j}", T.DoubleType()) for p in "bc" for j in range(width)])
     point = spark.createDataFrame([(*k, *pad(f.trial), *pad(f.mean)) for k, f in todo.items()], schema)
-    rows = frozen.join(point, keys, "inner")
-    x = {j: F.col(f"x{j}") - F.col(f"c{j}") for j in used}
-    eta = _total([F.col(f"b{j}") * x[j] for j in used])
-    rows = rows.select(*keys, "time", "event", "n", eta.alias("eta"), *[x[j].alias(f"z{j}") for j in used])
+    centred = [(F.col(f"x{j}") - F.col(f"c{j}")).alias(f"z{j}") for j in used]
+    rows = frozen.join(point, keys, "inner").select(
+        *keys, "time", "event", "n", *centred,
+        _total([F.col(f"b{j}") * (F.col(f"x{j}") - F.col(f"c{j}")) for j in used]).alias("eta"))
     rows = rows.withColumn("w", F.col("n") * F.exp("eta"))
-    w, hit = F.col("w"), F.col("event") == 1
-    moments = {"0": w}
-    moments |= {f"1_{j}": w * F.col(f"z{j}") for j in used}
-    moments |= {f"2_{i}_{j}": w * F.col(f"z{i}") * F.col(f"z{j}") for i, j in pairs}
-    dead = F.when(hit, F.col("n")).otherwise(0).cast("double")
-    sums = [F.sum(v).alias(f"a{m}") for m, v in moments.items()]
-    sums += [F.sum(F.when(hit, v).otherwise(0.0)).alias(f"d{m}") for m, v in moments.items()]
-    sums += [F.sum(dead).alias("d"), F.sum(dead * F.col("eta")).alias("eta")]
-    sums += [F.sum(dead * F.col(f"z{j}")).alias(f"g{j}") for j in used]
-    at = rows.groupBy(*keys, "time").agg(*sums)
-    risk = running(at, keys, "time", {f"s{m}": F.col(f"a{m}") for m in moments}, reverse=True,
-                   small=max(f.n_times for f in todo.values()) < SMALL_TIMES).where("d > 0")
-
-    d = F.col("d")
+
+    c = F.col
+    w, hit = c("w"), c("event") == 1
+    dead = F.when(hit, c("n")).otherwise(0).cast("double")
+    at = rows.groupBy(*keys, "time").agg(
+        F.sum(w).alias("a0"), F.sum(F.when(hit, w).otherwise(0.0)).alias("d0"), F.sum(dead).alias("d"),
+        F.sum(dead * c("eta")).alias("eta"), *[F.sum(w * c(f"z{j}")).alias(f"a1_{j}") for j in used],
+        *[F.sum(F.when(hit, w * c(f"z{j}")).otherwise(0.0)).alias(f"d1_{j}") for j in used])
+    risk = running(at, keys, "time", {"s0": c("a0"), **{f"s1_{j}": c(f"a1_{j}") for j in used}}, reverse=True, small=small)
+    some = c("d") > 0
     if ties == "efron":
-        risk = risk.withColumn("t", tied(F.col("s0"), F.col("d0"), d)).select("*", "t.*")
+        sums = tied(F.when(some, c("s0")), F.when(some, c("d0")), F.when(some, c("d")))
+        risk = risk.withColumn("t", sums).select("*", "t.*")
     else:
-        s0 = F.col("s0")
-        zero = F.lit(0.0)
-        risk = risk.withColumns({"log": d * F.log(s0), "inv": d / s0, "inv_u": zero, "sq": d / (s0 * s0),
-                                 "sq_u": zero, "sq_uu": zero})
-    c = F.col
-    out = [F.sum(c("eta") - c("log")).alias("loglik")]
-    out += [F.sum(c(f"g{j}") - (c("inv") * c(f"s1_{j}") - c("inv_u") * c(f"d1_{j}"))).alias(f"u{j}") for j in used]
-    for i, j in pairs:
-        spread = c("inv") * c(f"s2_{i}_{j}") - c("inv_u") * c(f"d2_{i}_{j}")
-        centre = (c("sq") * c(f"s1_{i}") * c(f"s1_{j}")
-                  - c("sq_u") * (c(f"s1_{i}") * c(f"d1_{j}") + c(f"d1_{i}") * c(f"s1_{j}"))
-                  + c("sq_uu") * c(f"d1_{i}") * c(f"d1_{j}"))
-        out.append(F.sum(spread - centre).alias(f"h{i}_{j}"))
-    # one row per model
-    got = {tuple(r[k] for k in keys): r for r in risk.groupBy(*keys).agg(*out).collect()}
+        s0, none = c("s0"), F.lit(0.0)
+        plain = {"log": c("d") * F.log(s0), "inv": c("d") / s0, "inv_u": none, "sq": c("d") / (s0 * s0), "sq_u": none, "sq_uu": none}
+        risk = risk.withColumns({k: F.when(some, v).otherwise(0.0) for k, v in plain.items()})
+    risk = running(risk.drop("t"), keys, "time", {"so_far": c("inv")}, small=small).withColumns(
+        {"one": F.lit(1.0), "minus": -c("sq_u"), "part": c("eta") - c("log")})
+
+    per_time = partial_products(risk.where(some), keys, [("sq", s1, s1), ("minus", s1, d1), ("minus", d1, s1), ("sq_uu", d1, d1)])
+    loglik = risk.groupBy(*keys).agg(F.array(F.sum("part")).alias("cells"))
+    counted = rows.join(risk.select(*keys, "time", "so_far", "inv_u"), [*keys, "time"], "inner")
+    counted = counted.withColumns({"one": F.lit(1.0), "share": w * (c("so_far") - F.when(hit, c("inv_u")).otherwise(0.0))})
+    per_row = partial_products(counted, keys, [("share", ["one", *z], ["one", *z])])
+    parts = [df.select(F.lit(name).alias("part"), *keys, "cells") for name, df in
+             (("time", per_time), ("row", per_row), ("loglik", loglik))]
+    total = sum_cells(parts[0].unionByName(parts[1]).unionByName(parts[2]), ["part", *keys])
+
+    p = len(used)
+    shapes = {"time": (p, p), "row": (p + 1, p + 1), "loglik": (1, 1)}
+    got = {(name, k): np.zeros(shape) for name, shape in shapes.items() for k in todo}
+    # one cell per pair of coefficients and model
+    for r in total.collect():
+        got[r["part"], tuple(r[k] for k in keys)].flat[r["cell"]] = r["value"]
     result = {}
     for k, f in todo.items():
-        r = got[k]
-        info = np.array([[r[f"h{min(i, j)}_{max(i, j)}"] for j in f.active] for i in f.active])
-        result[k] = {"loglik": r["loglik"], "gradient": np.array([r[f"u{j}"] for j in f.active]), "information": info}
+        mine = [used.index(j) for j in f.active]
+        moments = got["row", k]
+        observed = f.events - f.n_event * f.mean
+        information = moments[1:, 1:] - got["time", k]
+        result[k] = {"loglik": float(got["loglik", k][0, 0]), "gradient": observed[f.active] - moments[0, 1:][mine],
+                     "information": information[np.ix_(mine, mine)]}
     return result
 
 
