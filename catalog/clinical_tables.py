@@ -9,6 +9,7 @@ from catalog.registry import age_sql, stand_in, stand_ins, with_tables
 
 from vitaspan.plans import clinical as c
 from vitaspan.plans.endpoints import coded_endpoints, complete_for, set_unit, stack_cohorts
+from vitaspan.session import bounded_or
 
 KEY = "patient_id"
 
@@ -177,7 +178,8 @@ def medications_of_one_site(t):
        + ", ".join(f"max(CASE WHEN n = {i} THEN {x} END) AS {x}_{i}" for x in ("AgeAtMedStart", "Medication", "AgeAtMedStop") for i in range(1, 11))
        + " FROM n GROUP BY ALL")
 def medication_courses_wide(t):
-    return c.medication_courses(c.medications_of_site(stand_in(t, "Medications"), _first_dx(t)))
+    meds = stand_in(t, "Medications")
+    return c.medication_courses(c.medications_of_site(meds, _first_dx(t)), hot_rows=bounded_or(meds, [KEY]))
 
 
 # --- measurements nearest to diagnosis -------------------------------------------------------------

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -159,35 +159,27 @@ def _step(frozen: DataFrame, keys: list[str], fits: dict[tuple, _Fit], width: in
     schema = T.StructType([T.StructField(k, T.StringType()) for k in keys]
                           + [T.StructField(f"{p}{j}", T.DoubleType()) for p in "bc" for j in range(width)])
     point = spark.createDataFrame([(*k, *pad(f.trial), *pad(f.mean)) for k, f in todo.items()], schema)
-    centred = [(F.col(f"x{j}") - F.col(f"c{j}")).alias(f"z{j}") for j in used]
-    rows = frozen.join(point, keys, "inner").select(
-        *keys, "time", "event", "n", *centred,
-        _total([F.col(f"b{j}") * (F.col(f"x{j}") - F.col(f"c{j}")) for j in used]).alias("eta"))
-    rows = rows.withColumn("w", F.col("n") * F.exp("eta"))
-
-    c = F.col
-    w, hit = c("w"), c("event") == 1
-    dead = F.when(hit, c("n")).otherwise(0).cast("double")
-    at = rows.groupBy(*keys, "time").agg(
-        F.sum(w).alias("a0"), F.sum(F.when(hit, w).otherwise(0.0)).alias("d0"), F.sum(dead).alias("d"),
-        F.sum(dead * c("eta")).alias("eta"), *[F.sum(w * c(f"z{j}")).alias(f"a1_{j}") for j in used],
-        *[F.sum(F.when(hit, w * c(f"z{j}")).otherwise(0.0)).alias(f"d1_{j}") for j in used])
-    risk = running(at, keys, "time", {"s0": c("a0"), **{f"s1_{j}": c(f"a1_{j}") for j in used}}, reverse=True, small=small)
-    some = c("d") > 0
+    eta = " + ".join(f"b{j} * (x{j} - c{j})" for j in used)
+    rows = frozen.join(point, keys, "inner").selectExpr(
+        *keys, "time", "event", "n", *[f"x{j} - c{j} AS z{j}" for j in used], f"{eta} AS eta", f"n * exp({eta}) AS w")
+    sums = ["sum(w) AS a0", "sum(if(event = 1, w, 0D)) AS d0", "CAST(sum(if(event = 1, n, 0)) AS DOUBLE) AS d",
+            "sum(if(event = 1, n * eta, 0D)) AS eta", *[f"sum(w * z{j}) AS a1_{j}" for j in used],
+            *[f"sum(if(event = 1, w * z{j}, 0D)) AS d1_{j}" for j in used]]
+    at = rows.groupBy(*keys, "time").agg(*[F.expr(e) for e in sums])
+    risk = running(at, keys, "time", {"s0": F.col("a0"), **{f"s1_{j}": F.col(f"a1_{j}") for j in used}}, reverse=True,
+                   small=small)
     if ties == "efron":
-        sums = tied(F.when(some, c("s0")), F.when(some, c("d0")), F.when(some, c("d")))
-        risk = risk.withColumn("t", sums).select("*", "t.*")
+        risk = risk.withColumn("t", tied(*[F.expr(f"if(d > 0, {x}, NULL)") for x in ("s0", "d0", "d")])).select("*", "t.*")
     else:
-        s0, none = c("s0"), F.lit(0.0)
-        plain = {"log": c("d") * F.log(s0), "inv": c("d") / s0, "inv_u": none, "sq": c("d") / (s0 * s0), "sq_u": none, "sq_uu": none}
-        risk = risk.withColumns({k: F.when(some, v).otherwise(0.0) for k, v in plain.items()})
-    risk = running(risk.drop("t"), keys, "time", {"so_far": c("inv")}, small=small).withColumns(
-        {"one": F.lit(1.0), "minus": -c("sq_u"), "part": c("eta") - c("log")})
+        risk = risk.selectExpr("*", "if(d > 0, d * ln(s0), 0D) AS log", "if(d > 0, d / s0, 0D) AS inv", "0D AS inv_u",
+                               "if(d > 0, d / (s0 * s0), 0D) AS sq", "0D AS sq_u", "0D AS sq_uu")
+    risk = running(risk, keys, "time", {"so_far": F.col("inv")}, small=small).selectExpr(
+        *keys, "time", "d", *s1, *d1, "inv_u", "sq", "sq_uu", "-sq_u AS minus", "so_far", "eta - log AS part")
 
-    per_time = partial_products(risk.where(some), keys, [("sq", s1, s1), ("minus", s1, d1), ("minus", d1, s1), ("sq_uu", d1, d1)])
+    per_time = partial_products(risk.where("d > 0"), keys, [("sq", s1, s1), ("minus", s1, d1), ("minus", d1, s1), ("sq_uu", d1, d1)])
     loglik = risk.groupBy(*keys).agg(F.array(F.sum("part")).alias("cells"))
-    counted = rows.join(risk.select(*keys, "time", "so_far", "inv_u"), [*keys, "time"], "inner")
-    counted = counted.withColumns({"one": F.lit(1.0), "share": w * (c("so_far") - F.when(hit, c("inv_u")).otherwise(0.0))})
+    counted = rows.join(risk.select(*keys, "time", "so_far", "inv_u"), [*keys, "time"], "inner").selectExpr(
+        *keys, *z, "1D AS one", "w * (so_far - if(event = 1, inv_u, 0D)) AS share")
     per_row = partial_products(counted, keys, [("share", ["one", *z], ["one", *z])])
     parts = [df.select(F.lit(name).alias("part"), *keys, "cells") for name, df in
              (("time", per_time), ("row", per_row), ("loglik", loglik))]
@@ -210,13 +202,6 @@ def _step(frozen: DataFrame, keys: list[str], fits: dict[tuple, _Fit], width: in
     return result
 
 
-def _total(cols: list[Column]) -> Column:
-    out = cols[0]
-    for c in cols[1:]:
-        out = out + c
-    return out
-
-
 def _advance(fit: _Fit, at: dict) -> None:
     """Accept or halve the trial step, and propose the next one."""
     a = fit.active

@@ -137,31 +137,41 @@ def assemble(tables: Sequence[DataFrame], key: str, how: str = "left", key_nulla
 
 def tiered_union_first(df: DataFrame, match: DataFrame, on: Mapping[str, str], fallback: Column,
                        keys: Sequence[str], order: Sequence[str | Column],
-                       ties: Sequence[str | Column] | None = None) -> DataFrame:
+                       ties: Sequence[str | Column] | None = None, unique_by: Sequence[str] = ()) -> DataFrame:
     """First record per key, where records that match come before records that satisfy ``fallback``.
 
     ``on`` maps columns of ``df`` to columns of ``match`` (NULLs match). Records of neither tier are not
     eligible. One ranked filter replaces two reductions, a union and a third reduction.
     """
-    tiers = tier_of(df, match, on, fallback)
+    tiers = tier_of(df, match, on, fallback, unique_by)
     return first_per_key(tiers, keys, ["__tier", *order], ties).drop("__tier")
 
 
 def tier_of(df: DataFrame, match: DataFrame, on: Mapping[str, str], fallback: Column,
-            out: str = "__tier") -> DataFrame:
+            unique_by: Sequence[str] = (), out: str = "__tier") -> DataFrame:
     """Rows of both tiers, numbered 0 (match) and 1 (fallback).
 
-    A row that satisfies both appears once per tier, as it does when the tiers are unioned.
+    A row that satisfies both appears once per tier, as it does when the tiers are unioned. ``unique_by``
+    names columns of ``on`` that are never NULL and of which ``match`` has one row each: then only those are
+    joined, which leaves the rows partitioned by them for the reduction that follows.
     """
-    names = {m: f"__m{i}" for i, m in enumerate(on.values())}
-    flags = match.select(*[col(m).alias(n) for m, n in names.items()]).distinct().withColumn("__hit", F.lit(True))
+    names = {d: f"__m{i}" for i, d in enumerate(on)}
+    flags = match.select(*[col(m).alias(names[d]) for d, m in on.items()])
+    flags = (flags if unique_by else flags.distinct()).withColumn("__hit", F.lit(True))
     rows = df.withColumn("__fall", F.coalesce(fallback, F.lit(False)))
-    test = F.lit(True)
-    for d, m in on.items():
-        test = test & rows[f"`{d}`"].eqNullSafe(flags[names[m]])
-    joined = rows.join(flags, test, "left")
-    tiers = F.array_compact(F.array(F.when(F.col("__hit"), F.lit(0)), F.when(F.col("__fall"), F.lit(1))))
-    return joined.select(*[rows[f"`{c}`"] for c in df.columns], F.explode(tiers).alias(out))
+    hit = F.col("__hit")
+    if unique_by:
+        joined = rows.join(flags.withColumnsRenamed({names[d]: d for d in unique_by}), list(unique_by), "left")
+        for d in on:
+            if d not in unique_by:
+                hit = hit & col(d).eqNullSafe(F.col(names[d]))
+    else:
+        test = F.lit(True)
+        for d in on:
+            test = test & rows[f"`{d}`"].eqNullSafe(flags[names[d]])
+        joined = rows.join(flags, test, "left")
+    tiers = F.array_compact(F.array(F.when(hit, F.lit(0)), F.when(F.col("__fall"), F.lit(1))))
+    return joined.select(*[col(c) for c in df.columns], F.explode(tiers).alias(out))
 
 
 def pair_lookup(pairs: DataFrame, left: DataFrame, right: DataFrame, key: str, left_id: str, right_id: str,

@@ -7,10 +7,13 @@ Three plan shapes are used, none of which sorts an unbounded group in one task:
 
 * top-1 / top-n per key is a ranked filter, for which Spark limits every key on the map side
   (``WindowGroupLimit Partial``) before the shuffle;
-* a value per key is an aggregate (map-side combine) joined back to the rows;
-* numbering, ranking and filling are windows as long as every key is small enough to be sorted in one
-  task. If a key is not, the rows are range-partitioned by (key, order), frozen, handled piece by piece,
-  and the pieces are linked through a small summary table.
+* a value per key, numbering, ranking and filling are windows on the key as long as every key fits into one
+  task, so a chain of them on one key shares one shuffle;
+* if a key does not fit, a value per key is an aggregate (map-side combine) joined back to the rows, and for
+  the others the rows are range-partitioned by (key, order), frozen, handled piece by piece, and the pieces
+  linked through a small summary table.
+
+``hot_rows`` is the size from which a key does not fit; ``None`` says that all do. See ``bounded_or``.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vitaspan.functions.scalars import any_of, col, level_index
+from vitaspan.functions.scalars import col, level_index
 from vitaspan.session import HOT_ROWS, freeze, has_hot_group
 
 _PIECE = "__piece"
@@ -117,39 +120,49 @@ def closest_per_key(df: DataFrame, anchor: DataFrame, keys: Sequence[str], time:
 
 # --- one value per key, attached to its rows -------------------------------------------------------
 
-def group_values(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Column]) -> DataFrame:
-    """Attach aggregates of the key to each of its rows."""
+def group_values(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Column],
+                 hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Attach aggregates of the key (plain aggregate functions) to each of its rows."""
+    if not has_hot_group(df, list(keys), hot_rows):
+        w = W.partitionBy(*_by(keys))
+        return df.withColumns({n: a.over(w) for n, a in aggregates.items()})
     small = df.groupBy(*_by(keys)).agg(*[a.alias(n) for n, a in aggregates.items()])
     return _attach(df, keys, small, list(aggregates))
 
 
-def group_min(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
+def group_min(df: DataFrame, keys: Sequence[str], value: str, out: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Smallest non-NULL value of the key; NULL when there is none."""
-    return group_values(df, keys, {out: F.min(col(value))})
+    return group_values(df, keys, {out: F.min(col(value))}, hot_rows)
 
 
-def group_size(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
-    return group_values(df, keys, {out: F.count(F.lit(1))})
+def group_size(df: DataFrame, keys: Sequence[str], out: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    return group_values(df, keys, {out: F.count(F.lit(1))}, hot_rows)
 
 
-def group_any(df: DataFrame, keys: Sequence[str], flag: str | Column, out: str) -> DataFrame:
+def group_any(df: DataFrame, keys: Sequence[str], flag: str | Column, out: str,
+              hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Three-valued "any" of the key: true, else NULL if some flag is NULL, else false."""
-    return group_values(df, keys, {out: any_of(flag)})
+    x = col(flag)
+    parts = group_values(df, keys, {"__any": F.bool_or(x), "__unknown": F.bool_or(x.isNull())}, hot_rows)
+    value = F.when(F.col("__any"), F.lit(True)).when(~F.col("__unknown"), F.lit(False))
+    return parts.withColumn(out, value).drop("__any", "__unknown")
 
 
 def group_first(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str | Column], out: str,
-                ties: Sequence[str | Column] | None = None) -> DataFrame:
+                ties: Sequence[str | Column] | None = None, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Value of the key's first row in ``order``; that value may be NULL."""
+    if not has_hot_group(df, list(keys), hot_rows):
+        w = W.partitionBy(*_by(keys)).orderBy(*_total_order(df, keys, order, ties))
+        return df.withColumn(out, F.first(col(value)).over(w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
     first = first_per_key(df, keys, order, ties).select(*_by(keys), col(value).alias(out))
     return _attach(df, keys, first, [out])
 
 
-def spread_flag(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+def spread_flag(df: DataFrame, keys: Sequence[str], cols: Sequence[str], hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Copy a flag that some rows of the key carry to all its rows (the value is unique per key)."""
-    order = df.columns
     names = {c: f"__all_{c}" for c in cols}
-    wide = group_values(df, keys, {n: F.max(col(c)) for c, n in names.items()})
-    return wide.drop(*cols).withColumnsRenamed({n: c for c, n in names.items()}).select(*_by(order))
+    wide = group_values(df, keys, {n: F.max(col(c)) for c, n in names.items()}, hot_rows)
+    return wide.withColumns({c: F.col(n) for c, n in names.items()}).drop(*names.values())
 
 
 # --- numbering, ranking, filling -------------------------------------------------------------------

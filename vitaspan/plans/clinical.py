@@ -15,6 +15,7 @@ from vitaspan.operators.joins import join_ns, member_update, pair_lookup, tagged
 from vitaspan.operators.ordered import (closest_per_key, fill, first_per_key, group_any, group_min, group_size,
                                         sequence_no, spread_flag, strongest_per_key)
 from vitaspan.operators.reshape import any_flag_by_sample, collect_ordered, concat_ordered, pivot_ordinal, pivot_wide
+from vitaspan.session import HOT_ROWS, bounded_or, freeze
 
 KEY = "patient_id"
 MIGRATED = "(Migrated) Cannot determine from available documentation"
@@ -145,10 +146,11 @@ def diagnoses(table: DataFrame, key: str = KEY) -> DataFrame:
         "AgeAtDiagnosis": decode_age("AgeAtDiagnosis"),
         "ECOG": ecog("PerformStatusAtDiagnosis"), "Karnofsky": karnofsky("PerformStatusAtDiagnosis"),
         "iss_stage": staged_as("OtherStagingSystem", "OtherStagingValue")})
-    df = sequence_no(df, [key], ["AgeAtDiagnosis"], "diagnosis_sequence")
-    df = group_size(df, [key], "how_many_dx")
+    hot_rows = bounded_or(table, [key])
+    df = sequence_no(df, [key], ["AgeAtDiagnosis"], "diagnosis_sequence", hot_rows=hot_rows)
+    df = group_size(df, [key], "how_many_dx", hot_rows)
     df = df.withColumn("has_subsequent_cancer", F.when(F.col("how_many_dx") > 1, F.lit("Yes")))
-    return fill(df, [key], ["diagnosis_sequence"], ["iss_stage"], "updown", ties=[])
+    return fill(df, [key], ["diagnosis_sequence"], ["iss_stage"], "updown", ties=[], hot_rows=hot_rows)
 
 
 def subsequent_diagnoses(table: DataFrame, key: str = KEY,
@@ -173,15 +175,16 @@ def first_diagnosis(decoded: DataFrame, key: str = KEY, how: str = "left", **kwa
 
 def target_timeline(decoded: DataFrame, key: str = KEY, target: str = "Multiple myeloma",
                     precursor: str = "Monoclonal gammopathy", short: str = "MM", precursor_short: str = "MGUS",
-                    sample_age: str | None = "sample_age") -> DataFrame:
+                    sample_age: str | None = "sample_age", hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Timeline of a target disease and its precursor on every diagnosis row of the patient.
 
     ``age_at_last_*`` keeps the own age of each of the first three target diagnoses; only other rows are
     filled (next value, else previous one).
     """
+    hot_rows = bounded_or(decoded, [key], hot_rows)
     is_target = F.coalesce(col("Histology") == target, F.lit(False))
     df = decoded.withColumn(f"had_{short}_at_anytime", F.when(is_target, F.lit("Yes")))
-    df = sequence_no(df, [key, "Histology"], ["AgeAtDiagnosis", "diagnosis_sequence"], "__nth")
+    df = sequence_no(df, [key, "Histology"], ["AgeAtDiagnosis", "diagnosis_sequence"], "__nth", ties=[], hot_rows=hot_rows)
     nth = recode(F.col("__nth"), {1: f"1st {short} dx", 2: f"2nd {short} dx", 3: f"3rd {short} dx"},
                  default=F.col("__nth").cast("string"))
     other = paste(F.col("Histology"), " (", F.col("PrimaryDiagnosisSite"), ")")
@@ -191,8 +194,8 @@ def target_timeline(decoded: DataFrame, key: str = KEY, target: str = "Multiple
         first: F.when(is_target & (F.col("__nth") == 1), F.col("AgeAtDiagnosis")),
         last: F.when(is_target & (F.col("__nth") <= 3), F.col("AgeAtDiagnosis")),
         before: F.when(col("Histology") == precursor, F.col("AgeAtDiagnosis"))}).drop("__nth")
-    df = spread_flag(df, [key], [f"had_{short}_at_anytime"])
-    df = fill(df, [key], ["diagnosis_sequence"], [first, last, before], "updown", ties=[])
+    df = spread_flag(df, [key], [f"had_{short}_at_anytime"], hot_rows)
+    df = fill(df, [key], ["diagnosis_sequence"], [first, last, before], "updown", ties=[], hot_rows=hot_rows)
     had = F.col(f"had_{short}_at_anytime")
     is_patient = (F.when(F.col(last) >= F.col(before), "Yes").when(F.col(last) < F.col(before), f"{precursor_short} patient")
                   .when(had == "Yes", "Yes").otherwise("No"))
@@ -211,6 +214,8 @@ def site_tiered(table: DataFrame, first_dx: DataFrame, code: str, site: str, age
                 flag: str, key: str = KEY, indicator: str | None = None) -> DataFrame:
     """One record per patient: the earliest of the first-diagnosed site, else the earliest of unknown site.
 
+    ``first_dx`` has one row per patient.
+
     ``indicator`` names a column whose migrated rows (and rows without an answer) are left out first.
     ``keep`` maps columns to their names in the result.
     """
@@ -218,7 +223,7 @@ def site_tiered(table: DataFrame, first_dx: DataFrame, code: str, site: str, age
         table = table.where(col(indicator) != MIGRATED)
     decoded = table.withColumn(age, decode_age(age))
     one = tiered_union_first(decoded, first_dx, {key: key, code: "PrimaryDiagnosisSiteCode", site: "PrimaryDiagnosisSite"},
-                             col(site) == UNKNOWN, [key], [age])
+                             col(site) == UNKNOWN, [key], [age], unique_by=[key])
     return one.select(col(key), *[col(old).alias(new) for old, new in keep.items()]).withColumn(flag, F.lit("Yes"))
 
 
@@ -264,18 +269,20 @@ def medications_of_site(table: DataFrame, first_dx: DataFrame, key: str = KEY) -
     rows = table.where(col("MedicationInd") != MIGRATED)
     rows = tier_of(rows, first_dx, {key: key, "MedPrimaryDiagnosisSiteCode": "PrimaryDiagnosisSiteCode",
                                     "MedPrimaryDiagnosisSite": "PrimaryDiagnosisSite"},
-                   col("MedPrimaryDiagnosisSite") == UNKNOWN)
-    lowest = group_min(rows, [key], "MedPrimaryDiagnosisSiteCode", "__lowest")
+                   col("MedPrimaryDiagnosisSite") == UNKNOWN, unique_by=[key])
+    lowest = group_min(rows, [key], "MedPrimaryDiagnosisSiteCode", "__lowest", bounded_or(table, [key]))
     kept = lowest.where(col("MedPrimaryDiagnosisSiteCode") == F.col("__lowest"))
     return kept.select(col(key), "MedPrimaryDiagnosisSiteCode", "MedPrimaryDiagnosisSite", "MedicationInd",
                        decode_age("AgeAtMedStart").alias("AgeAtMedStart"), "Medication", "AgeAtMedStop")
 
 
-def medication_courses(rows: DataFrame, key: str = KEY, imids: bool = True, cap: int = 10) -> DataFrame:
+def medication_courses(rows: DataFrame, key: str = KEY, imids: bool = True, cap: int = 10,
+                       hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Drugs by start age, the first ``cap`` courses side by side; optionally the drug-class flag."""
     extra = []
     if imids:
-        rows = spread_flag(rows.withColumn("received_imids", F.when(is_imid("Medication"), F.lit("Yes"))), [key], ["received_imids"])
+        flagged = rows.withColumn("received_imids", F.when(is_imid("Medication"), F.lit("Yes")))
+        rows = spread_flag(flagged, [key], ["received_imids"], hot_rows)
         extra = ["received_imids"]
     courses = concat_ordered(rows, [key, "AgeAtMedStart", "MedicationInd", *extra], ["Medication", "AgeAtMedStop"],
                              ["Medication", "AgeAtMedStop"])
@@ -364,7 +371,8 @@ def marker_table(markers: DataFrame, key: str = KEY, strict: bool = False,
 
     ``strict`` blanks the interpretation of every other marker, as the original table does.
     """
-    rows = marker_interpretation(markers, key)
+    # read three times below
+    rows = freeze(marker_interpretation(markers, key))
     joined = join_ns(rows, receptor_status(rows, key), [key], "left")
     receptor = F.coalesce(F.col("marker_test").isin(ER_TEST, PR_TEST, HER2), F.lit(False))
     status = F.when(receptor, F.col(RECEPTOR_STATUS))

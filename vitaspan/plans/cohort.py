@@ -17,6 +17,7 @@ from vitaspan.operators.joins import assemble, join_ns, semi_by_list
 from vitaspan.plans import clinical as c
 from vitaspan.plans import timeline as t
 from vitaspan.plans.endpoints import metastasis_free_survival, overall_survival, progression_free_survival
+from vitaspan.session import bounded_or, freeze
 
 # fixed values: display labels of the cohort table
 LABELS = {
@@ -57,7 +58,8 @@ def _reductions(tables: Mapping[str, DataFrame], dx: DataFrame, key: str, imids:
         c.smoking(tables["PatientHistory"], key), c.vital_status(tables["VitalStatus"], key),
         c.cytogenetics(tables["CytogeneticAbnormalities"], key, abnormalities, "max"),
         c.marker_table(tables["TumorMarker"], key, values=markers), c.body_mass(tables["PhysicalAssessment"], dx, key),
-        c.medication_courses(c.medications_of_site(tables["Medications"], dx, key), key, imids),
+        c.medication_courses(c.medications_of_site(tables["Medications"], dx, key), key, imids,
+                             hot_rows=bounded_or(tables["Medications"], [key])),
         c.transplants(tables["StemCellTransplant"], dx, key), c.radiations(tables["Radiation"], dx, key),
         c.surgeries(tables["SurgeryBiopsy"], dx, key), c.outcomes(tables["Outcomes"], dx, key),
         c.metastases(tables["MetastaticDisease"], dx, key), c.last_seen(tables["Imaging"], tables["Labs"], key),
@@ -84,12 +86,17 @@ def with_endpoints(df: DataFrame, strict_contact: bool = False, coalesced_pfs: b
     return metastasis_free_survival(df, ORIGINS)
 
 
+def _first_dx(decoded: DataFrame, key: str, how: str, **kwargs) -> DataFrame:
+    """One row per patient, frozen: a dozen reductions look it up."""
+    return freeze(c.first_diagnosis(decoded, key, how, **kwargs))
+
+
 def all_tumor_cohort(tables: Mapping[str, DataFrame], samples: Mapping[str, DataFrame], calls: Mapping[str, DataFrame],
                      key: str = c.KEY, markers: Sequence[str] | None = None,
                      abnormalities: Sequence[str] | None = None, strict_contact: bool = False) -> DataFrame:
     """All patients of all tables, with mutation status, endpoints and labels (16 inputs, full assembly)."""
-    dx = c.first_diagnosis(c.diagnoses(tables["Diagnosis"], key), key, "full",
-                           cols=("PrimaryDiagnosisSite", "PrimaryDiagnosisSiteCode", "AgeAtDiagnosis"))
+    dx = _first_dx(c.diagnoses(tables["Diagnosis"], key), key, "full",
+                   cols=("PrimaryDiagnosisSite", "PrimaryDiagnosisSiteCode", "AgeAtDiagnosis"))
     status = c.link_samples(c.ch_status(samples, calls, key).select(key, "Germline_WES", "Tumor_WES", "cancer_type",
                                                                     "ch_status", "CH_detected_in_tumor"),
                             tables["ClinicalMolLinkage"], tables["MSI"], key)
@@ -107,7 +114,7 @@ def myeloma_cohort(tables: Mapping[str, DataFrame], samples: DataFrame, key: str
     """
     listed = samples.select(col(key), decode_age("sample_age").alias("sample_age"))
     decoded = c.diagnoses(join_ns(listed, tables["Diagnosis"], [key], "inner"), key)
-    dx = c.first_diagnosis(c.target_timeline(decoded, key), key)
+    dx = _first_dx(c.target_timeline(decoded, key), key, "left")
     parts = [_with_iss(dx, tables, key), c.demographics(tables["PatientMaster"]),
              *_reductions(tables, dx, key, True, markers, abnormalities)]
     df = with_endpoints(assemble(parts, key, "left", key_nullable=False), strict_contact)

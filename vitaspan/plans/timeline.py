@@ -12,6 +12,7 @@ from vitaspan.operators.frames import across
 from vitaspan.operators.joins import join_ns, union_fill
 from vitaspan.operators.ordered import dense_rank_nulls_out, first_per_key, group_first, group_values
 from vitaspan.operators.reshape import concat_ordered, pivot_ordinal
+from vitaspan.session import HOT_ROWS, bounded_or, settle
 
 # fixed values: words for the line of therapy and the codes that sort them
 ORDINAL_LINES = {
@@ -52,16 +53,18 @@ def line_number(text: str | Column) -> Column:
             .when(line == "Palliative", F.lit(LINE_PALLIATIVE)).otherwise(F.lit(LINE_NONE)))
 
 
-def line_of_therapy(df: DataFrame, key: str, line_text: str, start: str, out: str = "regimen_line") -> DataFrame:
+def line_of_therapy(df: DataFrame, key: str, line_text: str, start: str, out: str = "regimen_line",
+                    hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Line number per record, for one key at a time.
 
     If a key has some unknown line and no known one, its records are numbered by start instead (a record
     without a start then has no number). A NULL description counts neither as unknown nor as known.
     """
+    hot_rows = bounded_or(df, [key], hot_rows)
     unknown = contains(line_text, "Unknown")
     df = df.withColumn("__code", line_number(line_text))
-    df = group_values(df, [key], {"__unknown": F.max(unknown), "__all_unknown": F.min(unknown)})
-    by_start = dense_rank_nulls_out(df, [key], [start, "__code"], "__by_start")
+    df = group_values(df, [key], {"__unknown": F.max(unknown), "__all_unknown": F.min(unknown)}, hot_rows)
+    by_start = dense_rank_nulls_out(settle(df, hot_rows), [key], [start, "__code"], "__by_start", hot_rows)
     no_line_info = F.coalesce(F.col("__unknown"), F.lit(False)) & F.coalesce(F.col("__all_unknown"), F.lit(False))
     return by_start.withColumn(out, F.when(no_line_info, F.col("__by_start")).otherwise(F.col("__code")).cast("int")) \
         .drop("__code", "__unknown", "__all_unknown", "__by_start")
@@ -88,14 +91,15 @@ def medication_history(meds: DataFrame, key: str, ind: str = "MedicationInd", dr
     Adds ``ever_first_med_age``, ``regimen_line`` and ``year_first_medication`` (the year of the record with
     the earliest start).
     """
+    hot_rows = bounded_or(meds, [key])
     decoded = across(meds, [start, stop], decode_age).withColumn(drug, clean_drug(drug))
     never = decoded.where(col(ind) == "No")
     timed = decoded.withColumn(start, F.coalesce(col(start), col(stop)))
-    timed = group_values(timed, [key], {"ever_first_med_age": F.min(col(start))})
-    given = line_of_therapy(timed.where(col(ind) == "Yes"), key, line_text, start)
+    timed = group_values(timed, [key], {"ever_first_med_age": F.min(col(start))}, hot_rows)
+    given = line_of_therapy(settle(timed.where(col(ind) == "Yes"), hot_rows), key, line_text, start, hot_rows=hot_rows)
     both = union_fill(given, never)
     single = first_per_key(both, [key, start, drug, stop], ["regimen_line", year])
-    return group_first(single, [key], year, [start, stop, drug], "year_first_medication")
+    return group_first(settle(single, hot_rows), [key], year, [start, stop, drug], "year_first_medication", hot_rows=hot_rows)
 
 
 def medication_regimens(history: DataFrame, key: str, ind: str = "MedicationInd", drug: str = "Medication",
@@ -117,9 +121,10 @@ def regimens_wide(long: DataFrame, key: str, ind: str = "MedicationInd", start:
 def radiation_history(rad: DataFrame, key: str, start: str = "AgeAtRadiationStart", stop: str = "AgeAtRadiationStop",
                       dose: str = "RadDose", year: str = "YearOfRadiationStart") -> DataFrame:
     """Decoded radiation records without repeats; adds ``ever_first_rad_age`` and ``year_first_radiation``."""
+    hot_rows = bounded_or(rad, [key])
     decoded = across(rad, [start, stop], decode_age).withColumn(dose, to_number(dose))
-    timed = group_values(decoded, [key], {"ever_first_rad_age": F.min(col(start))})
-    timed = group_first(timed, [key], year, [start, stop, dose], "year_first_radiation")
+    timed = group_values(decoded, [key], {"ever_first_rad_age": F.min(col(start))}, hot_rows)
+    timed = group_first(settle(timed, hot_rows), [key], year, [start, stop, dose], "year_first_radiation", hot_rows=hot_rows)
     return first_per_key(timed, [key, start, dose, stop], [year])
 
 

@@ -66,9 +66,9 @@ def drop_frozen(spark: SparkSession) -> int:
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df``; None where the session does not expose it."""
+    """Spark's size estimate of the analyzed plan of ``df``; None where the session does not expose it."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
     except Exception:
         return None
 
@@ -85,3 +85,16 @@ def has_hot_group(df: DataFrame, keys: list[str], hot_rows: int | None = HOT_ROW
     if size is not None and size < hot_rows:
         return False
     return not df.groupBy(*keys).count().where(f"`count` > {int(hot_rows)}").isEmpty()
+
+
+def bounded_or(df: DataFrame, keys: list[str], hot_rows: int | None = HOT_ROWS) -> int | None:
+    """``None`` if every key of ``df`` fits into one task, else ``hot_rows``.
+
+    A chain of operators on one key checks its input once and passes the answer on as ``hot_rows``.
+    """
+    return hot_rows if has_hot_group(df, keys, hot_rows) else None
+
+
+def settle(df: DataFrame, hot_rows: int | None) -> DataFrame:
+    """Freeze an intermediate table of a chain that has a hot key, where operators read their input twice."""
+    return df if hot_rows is None else freeze(df)
