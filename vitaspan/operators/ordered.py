@@ -212,49 +212,49 @@ def dense_rank_nulls_out(df: DataFrame, keys: Sequence[str], by: Sequence[str],
     return _attach(df, [*keys, *by], ranks, [out])
 
 
-def fill(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], cols: Sequence[str],
-         direction: str = "updown", ties: Sequence[str | Column] | None = None,
+def fill(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
+         direction: str = "updown", ties: Sequence[str] | None = None,
          hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """Fill NULLs within the key: ``updown`` takes the next value, else the previous; ``downup`` reversed."""
+    """Fill NULLs within the key: ``updown`` takes the next value, else the previous; ``downup`` reversed.
+
+    The next value is the last known one in reversed order: a frame that grows from the start costs one pass,
+    one that reaches to the end of the key is computed anew for every row.
+    """
     if direction not in ("updown", "downup"):
         raise ValueError("direction is 'updown' or 'downup'")
-    full = _total_order(df, keys, order, ties)
+    forward = _total_order(df, keys, order, ties)
+    backward = [_flip(spec) for spec in _specs(df, keys, order, ties)]
     if not has_hot_group(df, list(keys), hot_rows):
-        w = W.partitionBy(*_by(keys)).orderBy(*full)
-        return df.withColumns({c: _filled(c, w, direction) for c in cols})
+        down, up = ({c: _last_known(c, W.partitionBy(*_by(keys)).orderBy(*o)) for c in cols} for o in (forward, backward))
+        first, second = (up, down) if direction == "updown" else (down, up)
+        return df.withColumns({c: F.coalesce(first[c], second[c]) for c in cols})
 
-    rows = _pieces(df, keys, full)
-    local = W.partitionBy(*_by(keys), _PIECE).orderBy(*full)
+    rows = _pieces(df, keys, forward)
+    piece = [*keys, _PIECE]
     # first and last known value of every piece, found by rank filters on the known rows only
-    ends = rows.select(*_by(keys), _PIECE).distinct()
+    ends = rows.select(*_by(piece)).distinct()
     for c in cols:
-        for side, rank in (("head", full), ("tail", [_flip(o) for o in _specs(df, keys, order, ties)])):
+        for side, rank in (("head", forward), ("tail", backward)):
             one = (rows.where(col(c).isNotNull())
-                   .withColumn(_RANK, F.row_number().over(W.partitionBy(*_by(keys), _PIECE).orderBy(*rank)))
+                   .withColumn(_RANK, F.row_number().over(W.partitionBy(*_by(piece)).orderBy(*rank)))
                    .where(col(_RANK) == 1)
-                   .select(*_by(keys), _PIECE, col(c).alias(f"__{side}_{c}")))
-            ends = _attach(ends, [*keys, _PIECE], one, [f"__{side}_{c}"])
-    piece_order = W.partitionBy(*_by(keys)).orderBy(_PIECE)
-    earlier, later = piece_order.rowsBetween(W.unboundedPreceding, -1), piece_order.rowsBetween(1, W.unboundedFollowing)
-    carried = ends.select(
-        *_by(keys), _PIECE,
-        *[F.last(f"__tail_{c}", True).over(earlier).alias(f"__prev_{c}") for c in cols],
-        *[F.first(f"__head_{c}", True).over(later).alias(f"__next_{c}") for c in cols])
-    extra = [f"__{side}_{c}" for side in ("prev", "next") for c in cols]
-    joined = _attach(rows.withColumns({f"__dn_{c}": F.last(col(c), True).over(local.rowsBetween(W.unboundedPreceding, 0))
-                                       for c in cols})
-                     .withColumns({f"__up_{c}": F.first(col(c), True).over(local.rowsBetween(0, W.unboundedFollowing))
-                                   for c in cols}), [*keys, _PIECE], carried, extra)
+                   .select(*_by(piece), col(c).alias(f"__{side}_{c}")))
+            ends = _attach(ends, piece, one, [f"__{side}_{c}"])
+    earlier = W.partitionBy(*_by(keys)).orderBy(_PIECE).rowsBetween(W.unboundedPreceding, -1)
+    later = W.partitionBy(*_by(keys)).orderBy(F.col(_PIECE).desc()).rowsBetween(W.unboundedPreceding, -1)
+    carried = ends.select(*_by(piece), *[F.last(f"__tail_{c}", True).over(earlier).alias(f"__prev_{c}") for c in cols],
+                          *[F.last(f"__head_{c}", True).over(later).alias(f"__next_{c}") for c in cols])
+    local = rows.withColumns({f"__{side}_{c}": _last_known(c, W.partitionBy(*_by(piece)).orderBy(*o))
+                              for side, o in (("dn", forward), ("up", backward)) for c in cols})
+    joined = _attach(local, piece, carried, [f"__{side}_{c}" for side in ("prev", "next") for c in cols])
     down = {c: F.coalesce(col(f"__dn_{c}"), col(f"__prev_{c}")) for c in cols}
     up = {c: F.coalesce(col(f"__up_{c}"), col(f"__next_{c}")) for c in cols}
     first, second = (up, down) if direction == "updown" else (down, up)
     return joined.withColumns({c: F.coalesce(first[c], second[c]) for c in cols}).select(*_by(df.columns))
 
 
-def _filled(c: str, w, direction: str) -> Column:
-    down = F.last(col(c), True).over(w.rowsBetween(W.unboundedPreceding, 0))
-    up = F.first(col(c), True).over(w.rowsBetween(0, W.unboundedFollowing))
-    return F.coalesce(up, down) if direction == "updown" else F.coalesce(down, up)
+def _last_known(c: str, w) -> Column:
+    return F.last(col(c), True).over(w.rowsBetween(W.unboundedPreceding, 0))
 
 
 def _specs(df, keys, order, ties) -> list[tuple[str, bool]]:
