@@ -171,6 +171,55 @@ def cox_reduced_models(t):
     return rounded(cox_models(df, "time", "event", {"full": ["c_mktsegment", "pri", "balance"], "reduced": ["pri", "balance"]}).select(*_COX))
 
 
+def _cox_sql(source: str, key: str, x1: str, x2: str, steps: int = 6) -> str:
+    """Newton's method for two covariates written out in SQL, with Efron's ties expanded row by row."""
+    out = [f"cb AS (SELECT {key}, time, event, ({x1})::DOUBLE AS x1, ({x2})::DOUBLE AS x2, count(*)::DOUBLE AS n FROM {source} GROUP BY ALL)",
+           f"be0 AS (SELECT DISTINCT {key}, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2 FROM cb)"]
+    pairs = ("11", "12", "22")
+    moment = {"0": "1", "1": "x1", "2": "x2", "11": "x1 * x1", "12": "x1 * x2", "22": "x2 * x2"}
+    for i in range(steps):
+        out.append(f"w{i} AS (SELECT cb.*, n * exp(b1 * x1 + b2 * x2) AS w FROM cb JOIN be{i} USING ({key}))")
+        out.append(f"t{i} AS (SELECT {key}, time, " + ", ".join(f"sum(w * {e}) AS a{m}, sum(w * {e} * event) AS e{m}" for m, e in moment.items())
+                   + f", sum(n * event) AS d, sum(n * event * x1) AS g1, sum(n * event * x2) AS g2 FROM w{i} GROUP BY ALL)")
+        out.append(f"r{i} AS (SELECT *, " + ", ".join(f"sum(a{m}) OVER (PARTITION BY {key} ORDER BY time DESC ROWS UNBOUNDED PRECEDING) AS s{m}"
+                                                      for m in moment) + f" FROM t{i})")
+        out.append(f"l{i} AS (SELECT *, unnest(range(d::BIGINT)) / d AS u FROM r{i} WHERE d > 0)")
+        out.append(f"v{i} AS (SELECT {key}, d, g1, g2, " + ", ".join(f"s{m} - u * e{m} AS v{m}" for m in moment) + f" FROM l{i})")
+        out.append(f"h{i} AS (SELECT {key}, sum(g1 / d - v1 / v0) AS u1, sum(g2 / d - v2 / v0) AS u2, "
+                   + ", ".join(f"sum(v{p} / v0 - v{p[0]} * v{p[1]} / (v0 * v0)) AS i{p}" for p in pairs) + f" FROM v{i} GROUP BY 1)")
+        out.append(f"be{i + 1} AS (SELECT {key}, b1 + (i22 * u1 - i12 * u2) / (i11 * i22 - i12 * i12) AS b1, b2 + (i11 * u2 - i12 * u1) / "
+                   f"(i11 * i22 - i12 * i12) AS b2 FROM be{i} JOIN h{i} USING ({key}))")
+    last = f"h{steps - 1}"
+    out.append(f"""fitted AS (SELECT {key}, unnest(['x1', 'x2']) AS x, unnest([b1, b2]) AS b, unnest([sqrt(i22 / (i11 * i22 - i12 * i12)), sqrt(i11 / (i11 * i22 -
+        i12 * i12))]) AS s FROM be{steps} JOIN {last} USING ({key}))""")
+    return ", ".join(out)
+
+
+_ESTIMATE = """round(b, 4) AS log_hr, round(s, 4) AS se, round(exp(b), 4) AS hr, round(exp(b - 1.959963984540054 * s), 4) AS lo,
+    round(exp(b + 1.959963984540054 * s), 4) AS hi"""
+
+
+def _estimates(df, *keys):
+    return df.where("hr is not null").select(*keys, *[F.round(x, 4).alias(x) for x in ("log_hr", "se", "hr", "lo", "hi")])
+
+
+@query(f"""WITH {_ITEMS}, {_cox_sql('items', 'band', "l_linestatus = 'O'", 'l_tax')}, n AS (SELECT band, count(*) AS n, sum(event)::BIGINT AS e, count(*) FILTER
+    (l_linestatus = 'O') AS no, (sum(event) FILTER (l_linestatus = 'O'))::BIGINT AS eo FROM items GROUP BY 1) SELECT band, CASE x WHEN 'x1' THEN 'l_linestatus'
+    ELSE 'l_tax' END AS term, CASE x WHEN 'x1' THEN no ELSE n END AS n, CASE x WHEN 'x1' THEN eo ELSE e END AS n_event, {_ESTIMATE} FROM fitted JOIN n USING
+    (band)""")
+def cox_estimates_by_slice(t):
+    """Two covariates in every slice, against Newton's method in SQL."""
+    return _estimates(cox(items(t), "time", "event", ["l_linestatus", "l_tax"], ["band"]), "band", "term", "n", "n_event")
+
+
+@query(f"""WITH {_CUST}, one AS (SELECT *, 'all' AS k FROM subjects WHERE pri IS NOT NULL), {_cox_sql('one', 'k', "pri = '5-LOW'", 'n_orders')}
+    SELECT CASE x WHEN 'x1' THEN 'pri' ELSE 'n_orders' END AS term, {_ESTIMATE} FROM fitted""")
+def cox_estimates_multivariable(t):
+    """Days to the first urgent finished order; customers without a priority are not complete."""
+    df = subjects(t).withColumn("pri", F.when(F.col("pri").isNotNull(), F.when(F.col("pri") == "5-LOW", "low").otherwise("a-other")))
+    return _estimates(cox(df, "time", "event", ["pri", "n_orders"]), "term")
+
+
 # --- summary tables --------------------------------------------------------------------------------
 
 def _patients(t):
