@@ -203,21 +203,22 @@ def _estimates(df, *keys):
     return df.where("hr is not null").select(*keys, *[F.round(x, 4).alias(x) for x in ("log_hr", "se", "hr", "lo", "hi")])
 
 
-@query(f"""WITH {_ITEMS}, {_cox_sql('items', 'band', "l_linestatus = 'O'", 'l_tax')}, n AS (SELECT band, count(*) AS n, sum(event)::BIGINT AS e, count(*) FILTER
+@query(f"""WITH {_ITEMS}, {_cox_sql('items', 'band', "l_linestatus = 'O'", '100 * l_tax')}, n AS (SELECT band, count(*) AS n, sum(event)::BIGINT AS e, count(*) FILTER
     (l_linestatus = 'O') AS no, (sum(event) FILTER (l_linestatus = 'O'))::BIGINT AS eo FROM items GROUP BY 1) SELECT band, CASE x WHEN 'x1' THEN 'l_linestatus'
-    ELSE 'l_tax' END AS term, CASE x WHEN 'x1' THEN no ELSE n END AS n, CASE x WHEN 'x1' THEN eo ELSE e END AS n_event, {_ESTIMATE} FROM fitted JOIN n USING
+    ELSE 'tax_percent' END AS term, CASE x WHEN 'x1' THEN no ELSE n END AS n, CASE x WHEN 'x1' THEN eo ELSE e END AS n_event, {_ESTIMATE} FROM fitted JOIN n USING
     (band)""")
 def cox_estimates_by_slice(t):
     """Two covariates in every slice, against Newton's method in SQL."""
-    return _estimates(cox(items(t), "time", "event", ["l_linestatus", "l_tax"], ["band"]), "band", "term", "n", "n_event")
+    df = items(t).withColumn("tax_percent", 100 * F.col("l_tax"))
+    return _estimates(cox(df, "time", "event", ["l_linestatus", "tax_percent"], ["band"]), "band", "term", "n", "n_event")
 
 
-@query(f"""WITH {_CUST}, one AS (SELECT *, 'all' AS k FROM subjects WHERE pri IS NOT NULL), {_cox_sql('one', 'k', "pri = '5-LOW'", 'n_orders')}
-    SELECT CASE x WHEN 'x1' THEN 'pri' ELSE 'n_orders' END AS term, {_ESTIMATE} FROM fitted""")
+@query(f"""WITH {_CUST}, one AS (SELECT *, 'all' AS k FROM subjects WHERE c_acctbal > 0), {_cox_sql('one', 'k', 'c_acctbal / 1000', 'n_orders')}
+    SELECT CASE x WHEN 'x1' THEN 'balance' ELSE 'n_orders' END AS term, {_ESTIMATE} FROM fitted""")
 def cox_estimates_multivariable(t):
-    """Days to the first urgent finished order; customers without a priority are not complete."""
-    df = subjects(t).withColumn("pri", F.when(F.col("pri").isNotNull(), F.when(F.col("pri") == "5-LOW", "low").otherwise("a-other")))
-    return _estimates(cox(df, "time", "event", ["pri", "n_orders"]), "term")
+    """Days to the first urgent finished order; customers without a positive balance are not complete."""
+    df = subjects(t).withColumn("balance", F.when(F.col("c_acctbal") > 0, F.col("c_acctbal") / 1000))
+    return _estimates(cox(df, "time", "event", ["balance", "n_orders"]), "term")
 
 
 # --- summary tables --------------------------------------------------------------------------------
