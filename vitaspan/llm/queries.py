@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from vitaspan.llm import quality_rules, toxicity
+from vitaspan.llm import (chat, decontaminate, html_text, lm, ordinal, packing, quality_rules, simhash, token_counts,
+                          toxicity)
 from vitaspan.llm.common import table
 from vitaspan.llm.registry import query
 
@@ -20,3 +21,44 @@ def op10_quality_rules(spark, folder):
     judged = quality_rules.apply_rules(docs, weights)
     return judged.select("doc.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", "kept", "llr")
+
+
+@query()
+def op3_simhash(spark, folder):
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query()
+def op2_html_text(spark, folder):
+    return html_text.extract(table(spark, folder, "pages"))
+
+
+@query()
+def op5_token_counts(spark, folder):
+    return token_counts.count_sections(table(spark, folder, "documents"))
+
+
+@query()
+def op6_packing(spark, folder):
+    return packing.pack(table(spark, folder, "documents"))
+
+
+@query()
+def op7_language_model(spark, folder):
+    return lm.score(table(spark, folder, "documents"))
+
+
+@query()
+def op9_decontamination(spark, folder):
+    return decontaminate.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query()
+def op1_chat_format(spark, folder):
+    return chat.format_chats(table(spark, folder, "conversations"))
+
+
+@query()
+def op8_quality_classifier(spark, folder):
+    docs = table(spark, folder, "documents")
+    return ordinal.grade_documents(docs, ordinal.fit_quality(docs, ordinal.grades_of(table(spark, folder, "labels"))))
