@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitaspan.llm import quality_rules, toxicity
+from vitaspan.llm import decontaminate, packing, quality_rules, simhash, toxicity
 from vitaspan.llm.common import table
 from vitaspan.session import checkpoint_root
 
@@ -21,9 +21,27 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return quality_rules.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group of near-duplicates."""
+    return simhash.keep_first(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap with no benchmark item."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their sequences and offsets."""
+    return packing.pack(docs)
+
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("quality_rules", drop_low_quality),
+    ("simhash", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("packing", pack),
 ]
 
 #: Scores, thresholds and packing are not expressible in SQL; the tests compare with brute force.
