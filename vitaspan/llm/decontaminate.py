@@ -72,8 +72,8 @@ def _hashed(table: DataFrame, key: str) -> DataFrame:
 def overlaps(docs: DataFrame, benchmark: DataFrame, min_score: int = MIN_SCORE) -> DataFrame:
     """One row per document and item that overlap: doc_id, item_id, score, n_matched, n_differing, doc_word, item_word.
 
-    The stretch with the highest score counts, then the earliest; doc_word and item_word are where it begins. An
-    item reaches a document only through a hit, so items of fewer words than a mask are never reported. Rows without
+    The stretch with the highest score counts; side by side the one that ends first and then the shortest, of several
+    places the earliest in the document. doc_word and item_word are where it begins. An item reaches a document only through a hit, so items of fewer words than a mask are never reported. Rows without
     an id and NULL or empty texts give nothing; rows that repeat an id count together; other columns are ignored.
     """
     items = _hashed(benchmark, "item_id").where(F.size("h") >= len(MASKS[0])).distinct()

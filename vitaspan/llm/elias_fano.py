@@ -6,8 +6,6 @@ import tempfile
 
 import numpy as np
 
-_ONE = np.uint64(1)
-
 
 class EliasFano:
     """A sorted list of n numbers below ``universe`` in about 2 + log2(universe / n) bits each.
@@ -58,38 +56,40 @@ class EliasFano:
         rest = np.where(shift > 0, self.low[word + 1] << ((np.uint64(64) - shift) & np.uint64(63)), np.uint64(0))
         return ((self.low[word] >> shift) | rest) & np.uint64((1 << self.low_bits) - 1)
 
-    def search(self, x: np.ndarray) -> np.ndarray:
-        """For every x the first place whose number is x or more (n, if there is none)."""
-        x = np.asarray(x, dtype=np.uint64)
-        if not self.n:
-            return np.zeros(len(x), dtype=np.int64)
+    def _range(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For every x the first place whose number is x or more, and the end of the numbers that share its high part."""
         upper = (x >> np.uint64(self.low_bits)).astype(np.int64)
         most = int(self.zeros[-1]) - 1
         beyond = upper > most
         upper = np.minimum(upper, most)
-        stop = self._zero(upper) - upper
-        start = np.where(upper > 0, self._zero(np.maximum(upper - 1, 0)) + 1 - upper, 0)
-        stop = np.minimum(stop, self.n)
-        start = np.minimum(start, stop)
+        stop = np.minimum(self._zero(upper) - upper, self.n)
+        start = np.minimum(np.where(upper > 0, self._zero(np.maximum(upper - 1, 0)) + 1 - upper, 0), stop)
         low = x & np.uint64((1 << self.low_bits) - 1)
-        lo, hi = start.copy(), stop.copy()
-        while (open_ := lo < hi).any():
-            middle = (lo + hi) // 2
-            less = np.zeros(len(x), dtype=bool)
-            less[open_] = self._low(middle[open_]) < low[open_]
-            lo = np.where(open_ & less, middle + 1, lo)
-            hi = np.where(open_ & ~less, middle, hi)
-        lo[beyond] = self.n
-        return lo
+        lo, hi = start, stop.copy()
+        open_ = np.flatnonzero(lo < hi)
+        while len(open_):
+            middle = (lo[open_] + hi[open_]) // 2
+            less = self._low(middle) < low[open_]
+            lo[open_[less]] = middle[less] + 1
+            hi[open_[~less]] = middle[~less]
+            open_ = open_[lo[open_] < hi[open_]]
+        lo[beyond], stop[beyond] = self.n, self.n
+        return lo, stop
+
+    def search(self, x: np.ndarray) -> np.ndarray:
+        """For every x the first place whose number is x or more (n, if there is none)."""
+        x = np.asarray(x, dtype=np.uint64)
+        return self._range(x)[0] if self.n else np.zeros(len(x), dtype=np.int64)
 
     def find(self, x: np.ndarray) -> np.ndarray:
         """The place of every x, or -1."""
         x = np.asarray(x, dtype=np.uint64)
-        at = self.search(x)
-        found = np.flatnonzero(at < self.n)
-        same = self.get(at[found]) == x[found]
         out = np.full(len(x), -1, dtype=np.int64)
-        out[found[same]] = at[found[same]]
+        if self.n:
+            at, stop = self._range(x)
+            inside = np.flatnonzero(at < stop)
+            same = inside[self._low(at[inside]) == x[inside] & np.uint64((1 << self.low_bits) - 1)]
+            out[same] = at[same]
         return out
 
     def get(self, i: np.ndarray) -> np.ndarray:

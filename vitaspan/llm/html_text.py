@@ -173,7 +173,7 @@ def main_text(html: str | None) -> str:
             p, q = before[i], after[i]
             if main:
                 # inside the article only its own text decides; a short article has nothing else
-                near = [labels[k] for k in (p, q) if k is not None and blocks[k][3]]
+                near = [labels[k] for k in (p, q) if k is not None and blocks[k][3] and not blocks[k][2]]
                 label = any(near) or not near
             elif p is None or q is None:
                 k = q if p is None else p

@@ -27,7 +27,7 @@ from vitaspan.session import freeze
 DISCOUNT = 0.75
 HOT = 4096
 #: Tokens of a batch, and tokens of the corpus per shard; both bound a task's memory.
-BATCH_TOKENS = 4_000_000
+BATCH_TOKENS = 2_000_000
 SHARD_TOKENS = 2_000_000
 #: Pseudo words: no word is empty or holds a space.
 END, BEGIN = b"", b" "
@@ -74,17 +74,21 @@ def _contexts(tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 def _questions(hashes: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, train: np.ndarray, hot: np.ndarray, shards: int):
     """What a batch asks: (words by shard, pairs by shard), each sorted by shard, then hashes; and each token's pair."""
-    n = np.uint64(shards)
+    n, size = np.uint64(shards), len(hashes)
     home = (hashes % n).astype(np.int64)
-    counts = np.bincount(tokens[np.repeat(train, lengths)], minlength=len(hashes))
+    counts = np.bincount(tokens[np.repeat(train, lengths)], minlength=size)
     counts[1] = train.sum()
-    words = np.lexsort((hashes, home))
-    pair, inverse = np.unique(_contexts(tokens, lengths).astype(np.int64) * len(hashes) + tokens, return_inverse=True)
+    by_hash = np.argsort(hashes)
+    rank = np.empty(size, dtype=np.int64)
+    rank[by_hash] = np.arange(size)
+    words = by_hash[np.argsort(home[by_hash], kind="stable")]
+    # ranks instead of numbers, so that pairs come out in the order of their hashes
+    pair, inverse = np.unique(rank[_contexts(tokens, lengths)] * size + rank[tokens], return_inverse=True)
     pair_counts = np.bincount(inverse[np.repeat(train, lengths)], minlength=len(pair))
-    v, w = pair // len(hashes), pair % len(hashes)
+    v, w = by_hash[pair // size], by_hash[pair % size]
     spread = (hashes[v] * np.uint64(0x9E3779B97F4A7C15) + hashes[w]) >> np.uint64(11)
     pair_home = np.where(hot[v], (spread % n).astype(np.int64), home[v])
-    pairs = np.lexsort((hashes[w], hashes[v], pair_home))
+    pairs = np.argsort(pair_home, kind="stable")
     place = np.empty(len(pairs), dtype=np.int64)
     place[pairs] = np.arange(len(pairs))
     return (words, home[words], counts[words]), (v[pairs], w[pairs], pair_home[pairs], pair_counts[pairs]), place[inverse]
@@ -177,22 +181,22 @@ def score(docs: DataFrame, parts: int = 5, fold: int = 1, discount: float = DISC
     def answer(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         numbers = group.column("batch").to_pylist()
         asked = [_arrays(r.as_py(), *_ASKED) for r in group.column("raw")]
-        words, counts = _summed(np.concatenate([a[0] for a in asked]), None, np.concatenate([a[1] for a in asked]))
-        contexts = np.concatenate([np.repeat(a[2], a[3]) for a in asked])
-        successors = np.concatenate([a[4] for a in asked])
-        (v, w), c = _summed(contexts, successors, np.concatenate([a[5] for a in asked]))
-        v, w, c = v[c > 0], w[c > 0], c[c > 0]
-        of = np.searchsorted(words, v)
-        of_hot = np.searchsorted(hot_words, v)
-        is_hot = (of_hot < len(hot_words)) & (hot_words[np.minimum(of_hot, max(0, len(hot_words) - 1))] == v) if len(hot_words) else np.zeros(len(v), dtype=bool)
-        whole = np.empty(len(v), dtype=np.float64)
+        words, counts, at_word = _summed(np.concatenate([a[0] for a in asked]), None, np.concatenate([a[1] for a in asked]))
+        (v, w), c, at_pair = _summed(np.concatenate([np.repeat(a[2], a[3]) for a in asked]), np.concatenate([a[4] for a in asked]),
+                                     np.concatenate([a[5] for a in asked]))
+        known = c > 0
+        of, of_hot = np.searchsorted(words, v[known]), np.searchsorted(hot_words, v[known])
+        is_hot = np.isin(v[known], hot_words)
+        whole = np.empty(len(of), dtype=np.float64)
         whole[is_hot] = hot_counts[of_hot[is_hot]]
         whole[~is_hot] = counts[of[~is_hot]]
-        trie = Trie(v, w, np.maximum(c - discount, 1e-300) / whole)
-        out = []
-        for a in asked:
-            at = np.searchsorted(words, a[0])
-            out.append(_bytes(counts[at], trie.fan_out(a[0]), trie.lookup(np.repeat(a[2], a[3]), a[4])))
+        trie = Trie(v[known], w[known], np.maximum(c[known] - discount, 1e-300) / whole)
+        # every distinct question is looked up once
+        fans, codes, out = trie.fan_out(words), trie.lookup(v, w), []
+        word_ends, pair_ends = (np.cumsum([0, *(len(a[k]) for a in asked)]) for k in (0, 4))
+        for k in range(len(asked)):
+            x, y = at_word[word_ends[k]:word_ends[k + 1]], at_pair[pair_ends[k]:pair_ends[k + 1]]
+            out.append(_bytes(counts[x], fans[x], codes[y]))
         shard = int(key[0].as_py())
         seen = trie.fan_out(hot_words) if len(hot_words) else np.zeros(0, dtype=np.int64)
         return pa.table({"batch": pa.array([*numbers, -1], pa.int64()), "shard": pa.array([shard] * (len(out) + 1), pa.int64()),
@@ -247,17 +251,19 @@ def score(docs: DataFrame, parts: int = 5, fold: int = 1, discount: float = DISC
 
 
 def _summed(a: np.ndarray, b: np.ndarray | None, counts: np.ndarray):
-    """Distinct keys in order and the sums of their counts."""
-    order = np.argsort(a) if b is None else np.lexsort((b, a))
-    a, counts = a[order], counts[order].astype(np.int64)
-    new = np.ones(len(a), dtype=bool)
-    new[1:] = a[1:] != a[:-1]
+    """Distinct keys in order, the sums of their counts, and each row's key."""
+    order = np.argsort(a, kind="stable") if b is None else np.lexsort((b, a))
+    first = np.ones(len(a), dtype=bool)
+    a = a[order]
+    first[1:] = a[1:] != a[:-1]
     if b is not None:
         b = b[order]
-        new[1:] |= b[1:] != b[:-1]
-    first = np.flatnonzero(new)
-    sums = np.add.reduceat(counts, first) if len(first) else counts
-    return (a[first] if b is None else (a[first], b[first])), sums
+        first[1:] |= b[1:] != b[:-1]
+    back = np.empty(len(a), dtype=np.int64)
+    back[order] = np.cumsum(first) - 1
+    at = np.flatnonzero(first)
+    sums = np.add.reduceat(counts[order].astype(np.int64), at) if len(at) else counts.astype(np.int64)
+    return (a[at] if b is None else (a[at], b[at])), sums, back
 
 
 by_value(__name__)

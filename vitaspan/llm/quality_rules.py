@@ -88,8 +88,10 @@ def trusted_weights(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
     n_raw, n_target = sum(r["raw"] for r in rows), sum(r["target"] for r in rows)
     if not n_target:
         return [0.0] * buckets
-    share = lambda c, n: math.log((c + smoothing) / (n + smoothing * buckets))
-    return [round(share(r["target"], n_target) - share(r["raw"], n_raw), 3) for r in rows]
+    # raw shares are smoothed evenly, trusted shares towards the raw ones; so text that is alike in both has ratio 0
+    raw = [(r["raw"] + smoothing) / (n_raw + smoothing * buckets) for r in rows]
+    pull = smoothing * buckets
+    return [round(math.log((r["target"] / p + pull) / (n_target + pull)), 3) for r, p in zip(rows, raw)]
 
 
 def apply_rules(docs: DataFrame, weights: list[float], threshold: float = THRESHOLD) -> DataFrame:
