@@ -10,10 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitaspan.llm.common import let
+from vitaspan.llm.common import let, words
 
 #: Words that count (1) and words that are ignored (0). Each is made of three pairs of neighbours.
 MASKS = ("11011011", "110011011", "110110011")
+#: Signs that part words like white space does.
+PUNCTUATION = ".,;:!?\"'()"
 #: Least score of a stretch; items of fewer words need four fifths of their words.
 MIN_SCORE = 12
 MIN_SHARE = 0.8
@@ -24,8 +26,11 @@ BROADCAST_WINDOWS = 500_000
 
 
 def tokens(text: Column) -> Column:
-    """Lower-cased runs of letters, marks and digits; NULL: none."""
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}\p{M}]+"), "")
+    """Lower-cased words between white space and common punctuation; NULL: none."""
+    plain = F.lower(F.coalesce(text, F.lit("")))
+    for mark in PUNCTUATION:
+        plain = F.replace(plain, F.lit(mark), F.lit(" "))
+    return words(plain)
 
 
 def _starts(mask: str) -> list[int]:
@@ -58,15 +63,20 @@ def _windows(rows: DataFrame) -> DataFrame:
 
 def _exploded(rows: DataFrame, *keep: str) -> DataFrame:
     """One row per window: ``keep``, its hash ``seed`` and the position ``at`` of its first word."""
-    out = _windows(rows).select(*keep, "n", F.posexplode("masked").alias("at", "seed"))
+    # outer, or Spark infers a filter on the list and computes it twice
+    out = _windows(rows).select(*keep, "n", F.posexplode_outer("masked").alias("at", "seed")).where("seed IS NOT NULL")
     first = F.greatest(F.col("n") - len(MASKS[0]) + 1, F.lit(0))
     rest = F.col("n") - len(MASKS[1]) + 1
     return out.select(*keep, "n", "seed", F.when(F.col("at") < first, F.col("at"))
                       .otherwise((F.col("at") - first) % F.greatest(rest, F.lit(1))).alias("at"))
 
 
+def _word_hashes() -> Column:
+    return F.transform(tokens(F.col("text")), lambda w: F.xxhash64(w))
+
+
 def _hashed(table: DataFrame, key: str) -> DataFrame:
-    return table.where(F.col(key).isNotNull()).select(key, F.transform(tokens(F.col("text")), lambda w: F.xxhash64(w)).alias("h"))
+    return table.where(F.col(key).isNotNull()).select(key, _word_hashes().alias("h"))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, min_score: int = MIN_SCORE) -> DataFrame:
@@ -81,20 +91,22 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_score: int = MIN_SCORE)
     place = F.pmod("seed", F.lit(FILTER_BITS))
     bits = (seeds.select((place / 64).cast("int").alias("i"), F.expr(f"shiftleft(1L, int(pmod(seed, {FILTER_BITS}) % 64))").alias("bit"))
             .groupBy("i").agg(F.bit_or("bit").alias("bits"), F.count("*").alias("n")).collect())
-    words = [0] * (FILTER_BITS // 64)
+    table_bits = [0] * (FILTER_BITS // 64)
     for r in bits:
-        words[r["i"]] = r["bits"]
+        table_bits[r["i"]] = r["bits"]
     small = sum(r["n"] for r in bits) <= BROADCAST_WINDOWS
     partner = (lambda d: F.broadcast(d)) if small else (lambda d: d)
     # a constant of the plan, of one size whatever the benchmark's; it only spares the join windows without a partner
-    table = F.split(F.lit(",".join(map(str, words))), ",").cast("array<bigint>")
+    table = F.split(F.lit(",".join(map(str, table_bits))), ",").cast("array<bigint>")
 
     hashed = _hashed(docs, "doc_id")
     kept = _exploded(hashed, "doc_id").where(F.getbit(F.get(table, (place / 64).cast("int")), (place % 64).cast("int")) == 1)
     hits = (kept.select("doc_id", "seed", F.col("at").alias("doc_at")).join(partner(seeds), "seed")
             .select("doc_id", "item_id", "n_item", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct())
     by_doc = hits.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "n_item", "shift")).alias("hits"))
-    side = hashed.join(by_doc, "doc_id").select("doc_id", F.explode(F.transform("hits", lambda c: F.struct(
+    # the texts of documents with hits are hashed again: hashes of all words would not compress in a shuffle
+    texts = docs.select("doc_id", "text").join(by_doc, "doc_id").select("doc_id", "hits", _word_hashes().alias("h"))
+    side = texts.select("doc_id", F.explode(F.transform("hits", lambda c: F.struct(
         c["item_id"].alias("item_id"), c["shift"].alias("shift"),
         F.slice("h", F.greatest(c["shift"], F.lit(0)) + 1, c["n_item"] + F.least(c["shift"], F.lit(0))).alias("d")))).alias("c"))
     laid = side.select("doc_id", "c.*").join(partner(items), "item_id")

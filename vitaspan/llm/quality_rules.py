@@ -79,7 +79,8 @@ def trusted_weights(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
     chosen = bounded_sample(known, "doc_id", max_trusted).withColumn("trusted", F.lit(1))
     marked = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left")
               .select(F.coalesce("trusted", F.lit(0)).alias("trusted"), words(F.col("text")).alias("w")))
-    grams = (_hashes(marked).select("trusted", F.explode(F.concat("h1", "h2")).alias("h"))
+    # outer, or Spark infers a filter on the list and computes it twice
+    grams = (_hashes(marked).select("trusted", F.explode_outer(F.concat("h1", "h2")).alias("h")).where("h IS NOT NULL")
              .select("trusted", F.pmod("h", F.lit(buckets)).cast("int").alias("bucket")))
     counts = grams.groupBy("bucket").agg(F.sum(F.lit(1)).alias("raw"), F.sum("trusted").alias("target"))
     spark = docs.sparkSession
