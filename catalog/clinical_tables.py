@@ -9,7 +9,6 @@ from catalog.registry import age_sql, stand_in, stand_ins, with_tables
 
 from vitaspan.plans import clinical as c
 from vitaspan.plans.endpoints import coded_endpoints, complete_for, set_unit, stack_cohorts
-from vitaspan.session import bounded_or
 
 KEY = "patient_id"
 
@@ -179,7 +178,7 @@ def medications_of_one_site(t):
        + " FROM n GROUP BY ALL")
 def medication_courses_wide(t):
     meds = stand_in(t, "Medications")
-    return c.medication_courses(c.medications_of_site(meds, _first_dx(t)), hot_rows=bounded_or(meds, [KEY]))
+    return c.medication_courses(c.medications_of_site(meds, _first_dx(t)))
 
 
 # --- measurements nearest to diagnosis -------------------------------------------------------------

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from catalog.base import query
@@ -13,7 +11,7 @@ from vitaspan import (across, add_after, bucket, capture, cols_between, cols_lik
                       number_text, paste, read_delim, read_family, read_table, recode, relocate, remove_first,
                       split_head_rest, to_number, write_table)
 from vitaspan.operators.frames import constants, labels_of, rename
-from vitaspan.session import checkpoint_root
+from vitaspan.session import own_path
 from vitaspan.sources.readers import read_tsv
 
 _ORDERS = "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, day STRING, o_orderpriority STRING"
@@ -40,7 +38,7 @@ def _totals(df):
 
 
 def _target(t, name):
-    return f"{checkpoint_root(t.spark)}/{name}-{uuid.uuid4().hex}"
+    return own_path(t.spark, name)
 
 
 # --- sources and sinks -----------------------------------------------------------------------------

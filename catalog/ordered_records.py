@@ -151,13 +151,13 @@ def closest_to_anchor(t):
     return near.select("user_id", "event_id", "event_type", F.round("gap", 3).alias("gap"))
 
 
-@query(f"""WITH {_O} SELECT o_custkey, o_orderkey, row_number() OVER (ORDER BY price DESC NULLS LAST, o_orderkey) <= 10 AS top_ten FROM o
-    WHERE price IS NOT NULL AND o_orderstatus = 'F' QUALIFY row_number() OVER (ORDER BY price DESC NULLS LAST, o_orderkey) <= 100""")
+@query(f"""WITH {_O} SELECT o_custkey, o_orderkey, CAST(row_number() OVER (ORDER BY price DESC NULLS LAST, o_orderkey) AS INT) AS place FROM o
+    WHERE price IS NOT NULL AND o_orderstatus = 'F'""")
 def sorted_report(t):
-    """Sort with a limit: the hundred largest finished orders."""
-    o = sort(_orders(t).where("price is not null and o_orderstatus = 'F'"), ["-price", "o_orderkey"]).limit(100)
-    return top_per_key(o.withColumn("all", F.lit(1)), ["all"], ["-price", "o_orderkey"], 100, ties=[], out="place").select(
-        "o_custkey", "o_orderkey", (F.col("place") <= 10).alias("top_ten"))
+    """All finished orders in order of price, with their places."""
+    o = _orders(t).where("price is not null and o_orderstatus = 'F'")
+    placed = sequence_no(o, [], ["-price", "o_orderkey"], "place", ties=[])
+    return sort(placed, ["place"]).select("o_custkey", "o_orderkey", "place")
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_quantity, round(min(l_discount) OVER w, 6) AS low, count(*) OVER w AS n,

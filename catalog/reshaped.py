@@ -24,7 +24,7 @@ def pivot_single(t):
 def pivot_lists(t):
     """Several rows per cell become a list; rows without a name have their own column."""
     e = t.events.select("user_id", "event_id", null_if("event_type", "view").alias("event_type"))
-    wide = pivot_wide(e, ["user_id"], "event_type", "event_id", ["click", "error", "NA"], "list")
+    wide = pivot_wide(e, ["user_id"], "event_type", "event_id", ["click", "error", "NA"], "list", others="drop")
     return wide.withColumns({c: F.when(F.size(c) > 0, F.concat(F.lit("["), F.array_join(F.sort_array(c), ", "), F.lit("]")))
                              for c in ["click", "error", "NA"]})
 

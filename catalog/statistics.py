@@ -130,7 +130,27 @@ def logrank_three_groups(t):
     return rounded(logrank(items(t), "time", "event", "band"))
 
 
-@query()
+def _p(x: str, df: str) -> str:
+    """Upper tail of the chi-square distribution, from the series of the incomplete gamma function."""
+    a, h = f"({df}) / 2.0", f"({x}) / 2.0"
+    return (f"CASE WHEN ({x}) <= 0 THEN 1.0 ELSE greatest(0.0, 1 - list_sum(list_transform(range(0, 3000), lambda j: "
+            f"exp(({a} + j) * ln({h}) - {h} - lgamma({a} + j + 1))))) END")
+
+
+def _eliminated(n: int) -> str:
+    """Steps that clear a bordered matrix m0(i, j, v) of its first n rows; what is left is -z' V^-1 z."""
+    return ", ".join(f"""m{k} AS (SELECT a.i, a.j, a.v - b.v * c.v / p.v AS v FROM m{k - 1} a JOIN m{k - 1} b ON b.i = a.i AND b.j = {k} JOIN m{k - 1} c ON
+        c.i = {k} AND c.j = a.j JOIN m{k - 1} p ON p.i = {k} AND p.j = {k} WHERE a.i <> {k} AND a.j <> {k})""" for k in range(1, n + 1))
+
+
+@query(f"""WITH {_CUST}, {_logrank('subjects', 'c_mktsegment', [])}, named AS (SELECT c_mktsegment AS g, row_number() OVER (ORDER BY c_mktsegment) AS i FROM
+        (SELECT DISTINCT c_mktsegment FROM subjects)),
+    cell2 AS (SELECT time, i, d, n, ng, CASE WHEN n > 1 THEN d * (n - d) / (n - 1) ELSE 0 END AS k FROM tot JOIN named ON g = c_mktsegment),
+    v AS (SELECT a.i, b.i AS j, sum(a.k * (a.ng / a.n) * (CASE WHEN a.i = b.i THEN 1 ELSE 0 END - b.ng / b.n)) AS v FROM cell2 a JOIN cell2 b USING (time)
+        WHERE a.i < 5 AND b.i < 5 GROUP BY ALL),
+    z AS (SELECT i, (SELECT sum(event) FROM subjects JOIN named ON g = c_mktsegment WHERE named.i = cell2.i) - sum(d * ng / n) AS v FROM cell2 WHERE i < 5 GROUP BY i),
+    m0 AS (SELECT i, j, v FROM v UNION ALL SELECT i, 5, v FROM z UNION ALL SELECT 5, i, v FROM z UNION ALL SELECT 5, 5, 0), {_eliminated(4)}
+    SELECT round(-v, 6) AS statistic, 4 AS df, round({_p('-v', '4')}, 6) AS p_value FROM m4""")
 def logrank_segments(t):
     """Five groups with p-value."""
     return rounded(logrank(subjects(t), "time", "event", "c_mktsegment"))
@@ -338,13 +358,30 @@ def kruskal_stat(t):
     return rounded(rank_sums(_patients(t), ["n_orders", "balance"], "g").select("variable", "n", "kruskal", "df"))
 
 
-@query()
+_CHI_ROWS = " UNION ALL ".join(f"SELECT '{v}' AS variable, x, df, low FROM {_chi(v)}" for v in ("c_mktsegment", "pri", "ever"))
+
+
+@query(f"""{_RANKED}, z AS (SELECT variable, r0 - m0 * (m0 + 1) / 2 AS u, (abs(r0 - m0 * (m0 + 1) / 2 - m0 * m1 / 2) - 0.5) / sqrt(m0 * m1 / 12 * (n + 1 - ties /
+        (n * (n - 1)))) AS z FROM s), c AS ({_CHI_ROWS}), t AS (SELECT variable, 'chi-square' AS test, x AS statistic, df::INT AS df, {_p('x', 'df')} AS p, low AS
+        low_expected FROM c UNION ALL SELECT variable, 'wilcoxon', u, NULL, {_p('z * z', '1')}, false FROM z)
+    SELECT variable, test, round(statistic, 6) AS statistic, df, round(p, 6) AS p_value, low_expected, p < 0.05 AS significant FROM t""")
 def group_difference_tests(t):
     """Chosen test, p-value and significance per variable."""
     return rounded(group_tests(_patients(t), ["c_mktsegment", "pri", "ever", "n_orders", "balance"], "g"))
 
 
-@query()
+_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+
+
+@query(f"""{_PATIENTS}, s AS ({_table({**{x: f"c_mktsegment = '{x}'" for x in _SEGMENTS}, 'Overall': 'c_mktsegment IS NOT NULL'}, ['pri'], ['balance'])}),
+    q AS (SELECT pri, balance, c_mktsegment AS g FROM p), c AS (SELECT 'pri' AS variable, x, df FROM {_chi('pri').replace('FROM p', 'FROM q')}),
+    r AS (SELECT g, rank() OVER (ORDER BY balance) + (count(*) OVER (PARTITION BY balance) - 1) / 2 AS mid, count(*) OVER (PARTITION BY balance) AS c FROM q
+        WHERE balance IS NOT NULL AND g IS NOT NULL),
+    rs AS (SELECT g, sum(mid) AS r, count(*)::DOUBLE AS m FROM r GROUP BY g), ra AS (SELECT count(*)::DOUBLE AS n, sum(c::DOUBLE * c - 1) AS ties FROM r),
+    k AS (SELECT 'balance' AS variable, (12 / (n * (n + 1)) * (SELECT sum(r * r / m) FROM rs) - 3 * (n + 1)) / (1 - ties / (n ^ 3 - n)) AS x,
+        (SELECT count(*) - 1 FROM rs) AS df FROM ra),
+    t AS (SELECT variable, {_p('x', 'df')} AS p FROM (SELECT variable, x, df FROM c UNION ALL SELECT variable, x, df FROM k))
+    SELECT s.* REPLACE (round(value, 6) AS value), round(p, 6) AS p_value, p < 0.05 AS significant FROM s JOIN t USING (variable)""")
 def table1_with_tests(t):
     return rounded(summary_table(_patients(t), ["pri", "balance"], by="c_mktsegment", overall=True, tests=True))
 

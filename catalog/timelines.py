@@ -16,12 +16,18 @@ KEY = "patient_id"
 
 _CLEAN = """lower(CASE WHEN contains(short, 'Paclitaxel') THEN 'Paclitaxel' WHEN short = 'Interferon, NOS' THEN 'Interferon'
     WHEN short = 'Bevacizumab-maly' THEN 'Bevacizumab' ELSE short END)"""
+# fixed values: suffixes dropped from drug names
 _SUFFIX = ("' Hydrochloride|Liposomal | Sulfate| Phosphate| Citrate| Acetate| Camsylate| Disodium| Mesylate| Ditosylate| Tosylate"
            "| Tartrate'")
+# fixed values: words for the line of therapy and their codes
 _CODE = """CASE WHEN contains(MedLineRegimen, 'Unknown') THEN 999 WHEN contains(MedLineRegimen, 'First') AND contains(MedLineRegimen,
     'Neoadjuvant') THEN -1 WHEN contains(MedLineRegimen, 'First') AND contains(MedLineRegimen, 'Adjuvant') THEN 1
     WHEN contains(MedLineRegimen, 'Second') THEN 2 WHEN contains(MedLineRegimen, 'Third') THEN 3
-    WHEN contains(MedLineRegimen, 'Eleventh') THEN 11 WHEN MedLineRegimen = 'Maintenance' THEN 90 WHEN MedLineRegimen = 'Palliative'
+    WHEN contains(MedLineRegimen, 'Fourth') THEN 4 WHEN contains(MedLineRegimen, 'Fifth') THEN 5
+    WHEN contains(MedLineRegimen, 'Sixth') THEN 6 WHEN contains(MedLineRegimen, 'Seventh') THEN 7
+    WHEN contains(MedLineRegimen, 'Eighth') THEN 8 WHEN contains(MedLineRegimen, 'Ninth') THEN 9
+    WHEN contains(MedLineRegimen, 'Tenth') THEN 10 WHEN contains(MedLineRegimen, 'Eleventh') THEN 11
+    WHEN contains(MedLineRegimen, 'Twelfth') THEN 12 WHEN MedLineRegimen = 'Maintenance' THEN 90 WHEN MedLineRegimen = 'Palliative'
     THEN 91 ELSE 1000 END"""
 # medication history in steps: decode, fall back to the stop, number lines, drop repeats, year of the earliest record
 _HISTORY = f"""m0 AS (SELECT * EXCLUDE (AgeAtMedStart, AgeAtMedStop, Medication), {age_sql('AgeAtMedStart')} AS start, {age_sql('AgeAtMedStop')}
@@ -80,20 +86,32 @@ def regimens_long(t):
     return longs(long, "regimen_line")
 
 
-def _wide(names: dict[str, str], n: int) -> str:
-    return ", ".join(f"max(CASE WHEN n = {i} THEN {old} END) AS {new}_{i}" for old, new in names.items() for i in range(1, n + 1))
+_MED_NUMBERED = """numbered AS (SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY start NULLS LAST, regimen_line NULLS LAST,
+    MedicationInd, ever_first_med_age NULLS LAST, year_first_medication NULLS LAST, regimen_drugs NULLS LAST, stops NULLS LAST) AS n FROM long)"""
 
 
-_MED_WIDE = f"""med AS (SELECT patient_id, MedicationInd AS drug_ever, ever_first_med_age, year_first_medication,
-    {_wide({'start': 'AgeAtMedStart', 'regimen_drugs': 'regimen_drugs', 'stops': 'AgeAtMedStop'}, 10)} FROM (SELECT *, row_number() OVER
-    (PARTITION BY patient_id ORDER BY start NULLS LAST, regimen_line NULLS LAST, MedicationInd, ever_first_med_age NULLS LAST,
-    year_first_medication NULLS LAST, regimen_drugs NULLS LAST, stops NULLS LAST) AS n FROM long) GROUP BY ALL)"""
+def _long_again(wide, ids: list[str], names: list[str]):
+    """The filled cells of an uncapped wide table, one row per ordinal: its width follows the data, its check does not."""
+    width = sum(c.startswith(f"{names[0]}_") for c in wide.columns)
+    cells = [F.struct(F.lit(i).alias("n"), *[F.col(f"{v}_{i}").alias(v) for v in names]) for i in range(1, width + 1)]
+    return wide.select(*ids, F.explode(F.array(*cells)).alias("c")).select(*ids, "c.*").where(
+        " OR ".join(f"{v} IS NOT NULL" for v in names))
 
 
-@query(f"""{with_tables('Medications')}, {_HISTORY}, {_LONG}, {_MED_WIDE} SELECT *, 'Yes' AS has_medication_data, CASE WHEN
-    AgeAtMedStart_1 > ever_first_med_age THEN 'Yes' END AS had_prior_medication FROM med""")
+@query(f"""{with_tables('Medications')}, {_HISTORY}, {_LONG}, {_MED_NUMBERED}, first AS (SELECT patient_id, MedicationInd, ever_first_med_age,
+    year_first_medication, max(CASE WHEN n = 1 THEN start END) AS begun FROM numbered GROUP BY ALL) SELECT patient_id, MedicationInd AS drug_ever,
+    ever_first_med_age, year_first_medication, CASE WHEN begun > ever_first_med_age THEN 'Yes' END AS had_prior_medication,
+    CAST(n AS INT) AS n, start AS AgeAtMedStart, regimen_drugs, stops AS AgeAtMedStop FROM numbered m JOIN first f ON m.patient_id =
+    f.patient_id AND m.MedicationInd IS NOT DISTINCT FROM f.MedicationInd AND m.ever_first_med_age IS NOT DISTINCT FROM f.ever_first_med_age
+    AND m.year_first_medication IS NOT DISTINCT FROM f.year_first_medication
+    WHERE start IS NOT NULL OR regimen_drugs IS NOT NULL OR stops IS NOT NULL""".replace(
+    "SELECT patient_id, MedicationInd AS drug_ever,\n    ever_first_med_age, year_first_medication, CASE",
+    "SELECT m.patient_id, m.MedicationInd AS drug_ever,\n    m.ever_first_med_age, m.year_first_medication, CASE"))
 def regimens_wide(t):
-    return tl.regimens_wide(tl.medication_regimens(_history(t), KEY), KEY, max_n=10)
+    """All regimens side by side, however many; compared cell by cell."""
+    wide = tl.regimens_wide(tl.medication_regimens(_history(t), KEY), KEY)
+    return _long_again(wide, [KEY, "drug_ever", "ever_first_med_age", "year_first_medication", "had_prior_medication"],
+                       ["AgeAtMedStart", "regimen_drugs", "AgeAtMedStop"])
 
 
 _RAD = f"""r0 AS (SELECT patient_id, rec, RadiationTherapyInd, {age_sql('AgeAtRadiationStart')} AS start, {age_sql('AgeAtRadiationStop')} AS
@@ -102,15 +120,18 @@ _RAD = f"""r0 AS (SELECT patient_id, rec, RadiationTherapyInd, {age_sql('AgeAtRa
         BY start NULLS LAST, stop NULLS LAST, dose NULLS LAST, rec ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS
         year_first_radiation FROM r0),
     r2x AS (SELECT * FROM r1x QUALIFY row_number() OVER (PARTITION BY patient_id, start, dose, stop ORDER BY y, rec) = 1),
-    rad AS (SELECT patient_id, RadiationTherapyInd AS radiation_ever, ever_first_rad_age, year_first_radiation,
-        {_wide({'start': 'AgeAtRadiationStart', 'dose': 'RadDose', 'stop': 'AgeAtRadiationStop'}, 10)} FROM (SELECT *, row_number() OVER
-        (PARTITION BY patient_id ORDER BY start NULLS LAST, stop NULLS LAST, dose NULLS LAST, rec) AS n FROM r2x) GROUP BY ALL)"""
+    rads AS (SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY start NULLS LAST, stop NULLS LAST, dose NULLS LAST, rec) AS n
+        FROM r2x)"""
 
 
-@query(f"{with_tables('Radiation')}, {_RAD} SELECT *, 'Yes' AS has_radiation_data FROM rad")
+@query(f"""{with_tables('Radiation')}, {_RAD} SELECT patient_id, RadiationTherapyInd AS radiation_ever, ever_first_rad_age, year_first_radiation,
+    CAST(n AS INT) AS n, start AS AgeAtRadiationStart, dose AS RadDose, stop AS AgeAtRadiationStop FROM rads
+    WHERE start IS NOT NULL OR dose IS NOT NULL OR stop IS NOT NULL""")
 def radiation_wide(t):
+    """All radiation records side by side, however many; compared cell by cell."""
     r = stand_in(t, "Radiation").drop("RadPrimaryDiagnosisSiteCode", "RadPrimaryDiagnosisSite")
-    return tl.radiation_wide(tl.radiation_history(r, KEY), KEY, max_n=10)
+    return _long_again(tl.radiation_wide(tl.radiation_history(r, KEY), KEY), [KEY, "radiation_ever", "ever_first_rad_age", "year_first_radiation"],
+                       ["AgeAtRadiationStart", "RadDose", "AgeAtRadiationStop"])
 
 
 _TIMING_COLUMNS = ["patient_id", "Germline", "drug_ever", "radiation_ever", "drug_radiation_ever", "blood_before_drug", "blood_before_rad",
@@ -118,7 +139,11 @@ _TIMING_COLUMNS = ["patient_id", "Germline", "drug_ever", "radiation_ever", "dru
                    "years_blood_before_rad", "years_blood_after_rad", "years_blood_before_drugrad", "years_blood_after_drugrad"]
 
 
-@query(f"""{with_tables('Samples', 'ClinicalMolLinkage', 'Medications', 'Radiation')}, {_HISTORY}, {_LONG}, {_MED_WIDE}, {_RAD},
+@query(f"""{with_tables('Samples', 'ClinicalMolLinkage', 'Medications', 'Radiation')}, {_HISTORY}, {_LONG}, {_MED_NUMBERED}, {_RAD},
+    med AS (SELECT patient_id, MedicationInd AS drug_ever, ever_first_med_age, year_first_medication, max(CASE WHEN n = 1 THEN start END) AS
+        AgeAtMedStart_1 FROM numbered GROUP BY ALL),
+    rad AS (SELECT patient_id, RadiationTherapyInd AS radiation_ever, ever_first_rad_age, year_first_radiation, max(CASE WHEN n = 1 THEN start
+        END) AS AgeAtRadiationStart_1 FROM rads GROUP BY ALL),
     c AS (SELECT patient_id, WES, {age_sql('SpecimenAge')} AS s FROM ClinicalMolLinkage),
     j AS (SELECT s.patient_id, s.Germline, c.s, drug_ever, radiation_ever, AgeAtMedStart_1 AS d, AgeAtRadiationStart_1 AS r FROM Samples s
         LEFT JOIN c ON s.patient_id = c.patient_id AND s.Germline IS NOT DISTINCT FROM c.WES
@@ -155,7 +180,7 @@ def blood_vs_treatment(t):
     r = stand_ins(t, "Samples", "ClinicalMolLinkage", "Medications", "Radiation")
     meds = r["Medications"].drop("MedPrimaryDiagnosisSiteCode", "MedPrimaryDiagnosisSite")
     rad = r["Radiation"].drop("RadPrimaryDiagnosisSiteCode", "RadPrimaryDiagnosisSite")
-    return rounded(lung_treatment_cohort(r["Samples"], r["ClinicalMolLinkage"], meds, rad, KEY, 10).select(*_TIMING_COLUMNS))
+    return rounded(lung_treatment_cohort(r["Samples"], r["ClinicalMolLinkage"], meds, rad, KEY).select(*_TIMING_COLUMNS))
 
 
 # --- first of four, contact, endpoints -------------------------------------------------------------

@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from vitaspan import assemble, assert_unique, first_of, join_ns, last_contact, pair_lookup, read_family, semi_by_list, write_table
-from vitaspan.operators.joins import pair_roles
 from vitaspan.plans import clinical as c
 from vitaspan.plans import timeline as t
 from vitaspan.plans.endpoints import (metastasis_free_survival, overall_survival, progression_free_survival, set_unit, stack_cohorts)
@@ -95,7 +94,7 @@ def test_pair_lookup_equals_all_pairs(spark, rows):
     u = spark.createDataFrame([("p", "t1", 5), ("p", None, 6), ("r", "t2", 7)], "k string, tid string, ta int")
     want = spark.createDataFrame([("p", "g1", "t1"), ("p", "g1", None), ("p", "g1", "zz"), ("q", "g3", None), ("q", "g3", "t1"), ("r", None, "t2"),
                                   ("s", None, None), ("p", None, "t1")], "k string, gid string, tid string")
-    all_pairs = join_ns(want, pair_roles(g, u, "k"), ["k", "gid", "tid"], "left")
+    all_pairs = join_ns(want, join_ns(g, u, ["k"], "full"), ["k", "gid", "tid"], "left")
     assert rows(pair_lookup(want, g, u, "k", "gid", "tid")) == rows(all_pairs)
 
 

@@ -1,14 +1,15 @@
-"""The ways taken for keys that do not fit into one task give the same results as plain windows."""
+"""Operators on hot keys, cut into small pieces, give the same results as plain windows."""
 
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from vitaspan import session
 from vitaspan import (closest_per_key, dense_rank_nulls_out, fill, group_any, group_first, group_values, quantiles, running,
                       sequence_no, spread_flag, top_per_key)
 from vitaspan.operators.scan import value_bucket
-from vitaspan.session import has_hot_group
 
 
 @pytest.fixture(scope="module")
@@ -22,22 +23,63 @@ def skewed(spark):
     return spark.createDataFrame(data, "id int, k string, t int, v int, c string").repartition(5)
 
 
-def test_check_finds_the_hot_key(skewed):
-    assert has_hot_group(skewed, ["k"], 200) and not has_hot_group(skewed, ["k"], 1000) and not has_hot_group(skewed, ["k"], None)
+def nulls_last(*names):
+    return [F.col(n[1:]).desc_nulls_last() if n[0] == "-" else F.col(n).asc_nulls_last() for n in names]
 
 
-@pytest.mark.parametrize("operator", [
-    lambda d, h: sequence_no(d, ["k"], ["t", "-v"], "n", hot_rows=h).select("id", "n"),
-    lambda d, h: dense_rank_nulls_out(d, ["k"], ["t", "c"], "n", hot_rows=h).select("id", "n"),
-    lambda d, h: fill(d, ["k"], ["t", "id"], ["v", "c"], "updown", hot_rows=h).select("id", "v", "c"),
-    lambda d, h: fill(d, ["k"], ["-t", "id"], ["v", "c"], "downup", hot_rows=h).select("id", "v", "c"),
-    lambda d, h: group_values(d, ["k"], {"lo": F.min("v"), "n": F.count("v")}, hot_rows=h).select("id", "lo", "n"),
-    lambda d, h: group_any(d, ["k"], F.col("v") > 98, "f", hot_rows=h).select("id", "f"),
-    lambda d, h: group_first(d, ["k"], "v", ["t"], "f", hot_rows=h).select("id", "f"),
-    lambda d, h: spread_flag(d.withColumn("y", F.when(F.col("v") == 7, "Yes")), ["k"], ["y"], hot_rows=h).select("id", "y"),
+def w_k():
+    return Window.partitionBy("k")
+
+
+
+def filled(d, order, back, first):
+    """Plain windows: ``first`` of next and previous."""
+    down, up = w_k().orderBy(*order).rowsBetween(Window.unboundedPreceding, 0), w_k().orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
+    pick = {"updown": lambda c: F.coalesce(F.first(c, True).over(up), F.last(c, True).over(down)),
+            "downup": lambda c: F.coalesce(F.last(c, True).over(down), F.first(c, True).over(up))}[first]
+    return d.withColumns({c: pick(c) for c in back})
+
+
+@pytest.mark.parametrize("operator, plain", [
+    (lambda d: sequence_no(d, ["k"], ["t", "-v"], "n", piece_rows=50),
+     lambda d: d.withColumn("n", F.row_number().over(w_k().orderBy(*nulls_last("t", "-v", "id", "c"))))),
+    (lambda d: dense_rank_nulls_out(d, ["k"], ["t", "c"], "n", piece_rows=20),
+     lambda d: d.withColumn("known", F.col("t").isNotNull() & F.col("c").isNotNull()).withColumn("n", F.when(F.col("known"), F.dense_rank().over(
+         Window.partitionBy("k", "known").orderBy("t", "c")))).drop("known")),
+    (lambda d: fill(d, ["k"], ["t", "id"], ["v", "c"], "updown", piece_rows=50), lambda d: filled(d, nulls_last("t", "id"), ["v", "c"], "updown")),
+    (lambda d: fill(d, ["k"], ["-t", "id"], ["v", "c"], "downup", piece_rows=50), lambda d: filled(d, nulls_last("-t", "id"), ["v", "c"], "downup")),
+    (lambda d: group_values(d, ["k"], {"lo": F.min("v"), "n": F.count("v")}),
+     lambda d: d.withColumns({"lo": F.min("v").over(w_k()), "n": F.count("v").over(w_k())})),
+    (lambda d: group_any(d, ["k"], F.col("v") > 98, "f"), lambda d: d.withColumn("f", F.when(F.bool_or(F.col("v") > 98).over(w_k()), True).when(
+        ~F.bool_or(F.col("v").isNull()).over(w_k()), False))),
+    (lambda d: group_first(d, ["k"], "v", ["t"], "f"), lambda d: d.withColumn("f", F.first("v").over(w_k().orderBy(
+        *nulls_last("t", "id", "v", "c")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))),
+    (lambda d: spread_flag(d.withColumn("y", F.when(F.col("v") == 7, "Yes")), ["k"], ["y"]),
+     lambda d: d.withColumn("y", F.max(F.when(F.col("v") == 7, "Yes")).over(w_k()))),
 ], ids=["sequence", "rank", "fill-up", "fill-down", "values", "any", "first", "spread"])
-def test_same_result(skewed, rows, operator):
-    assert rows(operator(skewed, 50)) == rows(operator(skewed, None))
+def test_same_result(skewed, rows, operator, plain):
+    got, want = operator(skewed), plain(skewed)
+    assert sorted(got.columns) == sorted(want.columns)
+    assert rows(got.select(*want.columns)) == rows(want)
+
+
+def test_a_compressible_hot_key_is_split(spark):
+    """25 million rows of one key compress to almost nothing; they are numbered in many files, each by its own task."""
+    df = spark.range(25_000_000).select(F.lit("hot").alias("k"), (F.col("id") % 1000).cast("int").alias("t"))
+    numbered = sequence_no(df, ["k"], ["t"], "n")
+    pieces = numbered.groupBy((F.col("n") / 1_000_000).cast("int").alias("m")).agg(F.min("t").alias("lo"), F.max("t").alias("hi")).orderBy("m").collect()
+    assert len(pieces) == 26 and all(a["hi"] <= b["lo"] for a, b in zip(pieces, pieces[1:]))
+    files = {r[0] for r in spark.read.parquet(session._everyone.paths[-1]).select("_metadata.file_name").distinct().collect()}
+    assert len(files) >= 25
+
+
+def test_frozen_tables_have_owners(spark):
+    with session.owning() as one:
+        a = session.freeze(spark.range(5))
+    with session.owning() as two:
+        b = session.freeze(spark.range(7))
+    assert one.drop(spark) == 1 and b.count() == 7 and two.drop(spark) == 1
+    assert a.columns == ["id"]
 
 
 def test_running_totals(spark, rows):
@@ -45,11 +87,12 @@ def test_running_totals(spark, rows):
     data = {(k, r.choice([r.uniform(-5, 5), r.uniform(0, 1e6), float(r.randrange(40))])) for k in ("a", "b") for _ in range(300)}
     df = spark.createDataFrame([(k, t, r.randrange(5), r.uniform(.9, 1)) for k, t in data], "k string, t double, n int, p double")
     for reverse in (False, True):
-        one, two = (running(df, ["k"], "t", {"s": F.col("n")}, {"q": F.col("p")}, reverse, small=s).select(
-            "k", "t", "s", F.round("q", 9)) for s in (True, False))
-        assert rows(one) == rows(two)
-    no_key = [running(df.where("k = 'a'"), [], "t", {"s": F.col("n")}, small=s).select("t", "s") for s in (True, False)]
-    assert rows(no_key[0]) == rows(no_key[1])
+        w = w_k().orderBy(F.desc("t") if reverse else "t").rowsBetween(Window.unboundedPreceding, 0)
+        got = running(df, ["k"], "t", {"s": F.col("n")}, {"q": F.col("p")}, reverse).select("k", "t", "s", F.round("q", 9))
+        assert rows(got) == rows(df.select("k", "t", F.sum("n").over(w), F.round(F.product("p").over(w), 9)))
+    one = df.where("k = 'a'")
+    w = Window.orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    assert rows(running(one, [], "t", {"s": F.col("n")}).select("t", "s")) == rows(one.select("t", F.sum("n").over(w)))
 
 
 def test_buckets_never_decrease(spark):

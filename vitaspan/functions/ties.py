@@ -15,48 +15,65 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _SUMS = ["log", "inv", "inv_u", "sq", "sq_u", "sq_uu"]
-_DIRECT_TIES = 2048
 _TAIL = 1024
 _NODES, _WEIGHTS = np.polynomial.legendre.leggauss(24)
 
 
-def tied_sums(s: float, e: float, d: int) -> tuple[float, float, float, float, float, float]:
-    """Sums over u = 0, 1/d, ..., (d-1)/d of log a, 1/a, u/a, 1/a^2, u/a^2, u^2/a^2 with a = s - u e.
+def _places(d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places k of the d terms, their weights, and whether a term stands for itself.
 
-    ``s`` is the weight of the risk set, ``e <= s`` that of the d tied events. Up to 2048 ties are added one
-    by one. Beyond that the last 1024 terms, where a may come close to 0, are added and the smooth rest is
-    integrated on panels that shrink towards them, with the midpoint correction f''/24.
+    The last 1024 terms, where a may come close to 0, are taken one by one; the smooth rest is integrated on
+    panels that shrink towards them. One rule holds for every d; up to 1024 terms there is no rest.
     """
-    if d <= _DIRECT_TIES:
-        u, w = np.arange(d) / d, None
-    else:
-        edges = [float(d)]
-        while edges[-1] / 2 > _TAIL:
-            edges.append(edges[-1] / 2)
-        edges = [math.floor(x) for x in edges] + [_TAIL]
-        # distances from the end, counted so that panels cover the terms 0 .. d-_TAIL-1
-        ends = [d - x - 0.5 for x in edges]
-        centre = np.array([(a + b) / 2 for a, b in zip(ends, ends[1:])])[:, None]
-        half = np.array([(b - a) / 2 for a, b in zip(ends, ends[1:])])[:, None]
-        u = ((centre + half * _NODES).ravel()) / d
-        w = (half * _WEIGHTS).ravel()
-    if w is None:
-        return _add_up(s - u * e, u, None)
-    a, slope = s - u * e, (e / d) ** 2
-    second = [-slope / a**2, 2 * slope / a**3, 2 * s * slope / (e * a**3), 6 * slope / a**4,
-              6 * s * slope / (e * a**4) - 2 * slope / (e * a**3),
-              6 * s**2 * slope / (e**2 * a**4) - 4 * s * slope / (e**2 * a**3)]
-    smooth = [x - float((w * f).sum()) / 24 for x, f in zip(_add_up(a, u, w), second)]
-    tail = np.arange(d - _TAIL, d) / d
-    return tuple(x + y for x, y in zip(smooth, _add_up(s - tail * e, tail, None)))
-
-
-def _add_up(a, u, w):
-    terms = (np.log(a), 1 / a, u / a, 1 / a**2, u / a**2, u**2 / a**2)
-    return tuple(float(t.sum() if w is None else (w * t).sum()) for t in terms)
+    tail = np.arange(max(0, d - _TAIL), d, dtype=np.float64)
+    if d <= _TAIL:
+        return tail, np.ones(len(tail)), np.ones(len(tail), dtype=bool)
+    edges = [float(d)]
+    while edges[-1] / 2 > _TAIL:
+        edges.append(edges[-1] / 2)
+    # distances from the end, counted so that panels cover the terms 0 .. d-_TAIL-1
+    ends = np.array([d - math.floor(x) - 0.5 for x in edges] + [d - _TAIL - 0.5])
+    centre, half = (ends[:-1] + ends[1:])[:, None] / 2, np.diff(ends)[:, None] / 2
+    smooth = (centre + half * _NODES).ravel()
+    return (np.append(smooth, tail), np.append((half * _WEIGHTS).ravel(), np.ones(len(tail))),
+            np.append(np.zeros(len(smooth), dtype=bool), np.ones(len(tail), dtype=bool)))
+
+
+def tied_sums(s: np.ndarray, e: np.ndarray, d: np.ndarray, block: int = 1 << 20) -> np.ndarray:
+    """Per row sums over u = 0, 1/d, ..., (d-1)/d of log a, 1/a, u/a, 1/a^2, u/a^2, u^2/a^2 with a = s - u e.
+
+    ``s`` is the weight of the risk set, ``e <= s`` that of the d tied events. Rows with equally many events are
+    summed together, a block at a time; integrated terms carry the midpoint correction f''/24.
+    """
+    s, e, d = np.asarray(s, dtype=np.float64), np.asarray(e, dtype=np.float64), np.asarray(d, dtype=np.int64)
+    out = np.zeros((len(s), 6))
+    kinds, which = np.unique(d, return_inverse=True)
+    for i, ties in enumerate(kinds.tolist()):
+        if ties < 1:
+            continue
+        k, w, single = _places(ties)
+        rows = np.flatnonzero(which == i)
+        step = max(1, block // len(k))
+        for low in range(0, len(rows), step):
+            at = rows[low:low + step]
+            out[at] = _add_up(s[at, None], e[at, None], ties, k[None] / ties, w, single)
+    return out
+
+
+def _add_up(s, e, d, u, w, single):
+    a = s - u * e
+    terms = [np.log(a), 1 / a, u / a, 1 / a**2, u / a**2, u**2 / a**2]
+    if not single.all():
+        b, slope, v = a[:, ~single], (e / d) ** 2, u[:, ~single]
+        # second derivatives by the place k, with u = k / d
+        second = [-slope / b**2, 2 * slope / b**3, (2 * e / b**2 + 2 * v * e**2 / b**3) / d**2, 6 * slope / b**4,
+                  (4 * e / b**3 + 6 * v * e**2 / b**4) / d**2, (2 / b**2 + 8 * v * e / b**3 + 6 * v**2 * e**2 / b**4) / d**2]
+        for f, g in zip(terms, second):
+            f[:, ~single] -= g / 24
+    return np.stack([(f * w).sum(axis=1) for f in terms], axis=1)
 
 
 @F.pandas_udf(StructType([StructField(n, DoubleType()) for n in _SUMS]))
 def tied(s: pd.Series, e: pd.Series, d: pd.Series) -> pd.DataFrame:
-    rows = [(0.0,) * len(_SUMS) if pd.isna(c) else tied_sums(a, b, int(c)) for a, b, c in zip(s, e, d)]
-    return pd.DataFrame(rows, columns=_SUMS, dtype="float64")
+    """The sums of each row; NULL counts as no event."""
+    return pd.DataFrame(tied_sums(s.fillna(1.0), e.fillna(0.0), d.fillna(0)), columns=_SUMS)

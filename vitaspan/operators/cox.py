@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,14 +24,12 @@ from vitaspan.functions.pvalues import normal_two_sided
 from vitaspan.functions.scalars import col
 from vitaspan.functions.ties import tied
 from vitaspan.operators.scan import running
-from vitaspan.operators.survival import Z95, level_list
+from vitaspan.operators.survival import Z95
 from vitaspan.session import freeze
 
-MAX_LEVELS = 100
-MAX_FITS = 10_000
-MAX_STEPS = 20
-SMALL_TIMES = 1_000_000
 TOLERANCE = 1e-9
+#: Coefficients of all models up to this number (8 MB) are broadcast; more are joined by a shuffle.
+BROADCAST_CELLS = 1_000_000
 
 
 # --- design ----------------------------------------------------------------------------------------
@@ -53,7 +52,6 @@ class _Fit:
     events: np.ndarray
     n: int
     n_event: int
-    n_times: int
     active: list[int] = field(default_factory=list)
     beta: np.ndarray | None = None
     trial: np.ndarray | None = None
@@ -70,11 +68,14 @@ def _slots(df: DataFrame, terms: Sequence[str], levels: Mapping[str, Sequence] |
            categorical: Sequence[str]) -> dict[str, list[_Slot]]:
     types = dict(df.dtypes)
     given = levels or {}
+    read = [t for t in terms if t not in given and (t in categorical or types[t] in ("string", "boolean"))]
+    # the levels of all terms in one job
+    seen = df.agg(*[F.array_sort(F.collect_set(col(t))).alias(f"l{i}") for i, t in enumerate(read)]).first() if read else ()
+    found = {**{t: list(v) for t, v in given.items()}, **dict(zip(read, seen))}
     out = {}
     for t in terms:
-        if t in given or t in categorical or types[t] in ("string", "boolean"):
-            found = list(given[t]) if t in given else level_list(df, t, MAX_LEVELS)
-            out[t] = [_Slot(t, v) for v in found]
+        if t in found:
+            out[t] = [_Slot(t, v) for v in found[t]]
         else:
             out[t] = [_Slot(t)]
     return out
@@ -109,18 +110,14 @@ def _first_look(frozen: DataFrame, keys: list[str], models, slots, width: int) -
     n, e = F.col("n").cast("double"), F.col("event")
     rows = frozen.groupBy(*keys).agg(
         F.sum("n").alias("n"), F.sum(F.col("n") * e).alias("n_event"),
-        F.approx_count_distinct("time").alias("n_times"),
         *[F.sum(n * F.col(f"x{j}")).alias(f"sum{j}") for j in range(width)],
-        *[F.sum(n * e * F.col(f"x{j}")).alias(f"ev{j}") for j in range(width)]).limit(MAX_FITS + 1).collect()
-    if len(rows) > MAX_FITS:
-        raise ValueError(f"more than {MAX_FITS} models; fit fewer slices at once")
+        *[F.sum(n * e * F.col(f"x{j}")).alias(f"ev{j}") for j in range(width)]).collect()
     fits = {}
     for r in rows:
         mine = [s for t in models[r["model"]] for s in slots[t]]
         p = len(mine)
         total = np.array([r[f"sum{j}"] for j in range(p)])
-        fit = _Fit(mine, total / r["n"], total, np.array([r[f"ev{j}"] for j in range(p)]), r["n"], r["n_event"],
-                   r["n_times"])
+        fit = _Fit(mine, total / r["n"], total, np.array([r[f"ev{j}"] for j in range(p)]), r["n"], r["n_event"])
         reference_seen = set()
         for j, s in enumerate(mine):
             if s.level is None:
@@ -152,13 +149,16 @@ def _step(frozen: DataFrame, keys: list[str], fits: dict[tuple, _Fit], width: in
     spark = frozen.sparkSession
     todo = {k: f for k, f in fits.items() if not f.done}
     used = sorted({j for f in todo.values() for j in f.active})
-    small = max(f.n_times for f in todo.values()) < SMALL_TIMES
     z, s1, d1 = ([f"{p}{j}" for j in used] for p in ("z", "s1_", "d1_"))
 
     pad = lambda v: [float(x) for x in v] + [0.0] * (width - len(v))
     schema = T.StructType([T.StructField(k, T.StringType()) for k in keys]
                           + [T.StructField(f"{p}{j}", T.DoubleType()) for p in "bc" for j in range(width)])
-    point = spark.createDataFrame([(*k, *pad(f.trial), *pad(f.mean)) for k, f in todo.items()], schema)
+    lines = [(*k, *pad(f.trial), *pad(f.mean)) for k, f in todo.items()]
+    # from Arrow, so that Spark knows its size: one row per model, broadcast up to a checked size
+    point = spark.createDataFrame(pa.table({n: [r[i] for r in lines] for i, n in enumerate(schema.names)})).to(schema)
+    if len(lines) * len(schema.names) <= BROADCAST_CELLS:
+        point = F.broadcast(point)
     eta = " + ".join(f"b{j} * (x{j} - c{j})" for j in used)
     rows = frozen.join(point, keys, "inner").selectExpr(
         *keys, "time", "event", "n", *[f"x{j} - c{j} AS z{j}" for j in used], f"{eta} AS eta", f"n * exp({eta}) AS w")
@@ -166,14 +166,13 @@ def _step(frozen: DataFrame, keys: list[str], fits: dict[tuple, _Fit], width: in
             "sum(if(event = 1, n * eta, 0D)) AS eta", *[f"sum(w * z{j}) AS a1_{j}" for j in used],
             *[f"sum(if(event = 1, w * z{j}, 0D)) AS d1_{j}" for j in used]]
     at = rows.groupBy(*keys, "time").agg(*[F.expr(e) for e in sums])
-    risk = running(at, keys, "time", {"s0": F.col("a0"), **{f"s1_{j}": F.col(f"a1_{j}") for j in used}}, reverse=True,
-                   small=small)
+    risk = running(at, keys, "time", {"s0": F.col("a0"), **{f"s1_{j}": F.col(f"a1_{j}") for j in used}}, reverse=True)
     if ties == "efron":
         risk = risk.withColumn("t", tied(*[F.expr(f"if(d > 0, {x}, NULL)") for x in ("s0", "d0", "d")])).select("*", "t.*")
     else:
         risk = risk.selectExpr("*", "if(d > 0, d * ln(s0), 0D) AS log", "if(d > 0, d / s0, 0D) AS inv", "0D AS inv_u",
                                "if(d > 0, d / (s0 * s0), 0D) AS sq", "0D AS sq_u", "0D AS sq_uu")
-    risk = running(risk, keys, "time", {"so_far": F.col("inv")}, small=small).selectExpr(
+    risk = running(risk, keys, "time", {"so_far": F.col("inv")}).selectExpr(
         *keys, "time", "d", *s1, *d1, "inv_u", "sq", "sq_uu", "-sq_u AS minus", "so_far", "eta - log AS part")
 
     per_time = partial_products(risk.where("d > 0"), keys, [("sq", s1, s1), ("minus", s1, d1), ("minus", d1, s1), ("sq_uu", d1, d1)])
@@ -202,14 +201,14 @@ def _step(frozen: DataFrame, keys: list[str], fits: dict[tuple, _Fit], width: in
     return result
 
 
-def _advance(fit: _Fit, at: dict) -> None:
+def _advance(fit: _Fit, at: dict, max_steps: int) -> None:
     """Accept or halve the trial step, and propose the next one."""
     a = fit.active
     value = at["loglik"]
     fit.steps += 1
     if fit.loglik is not None and not (math.isfinite(value) and value >= fit.loglik - 1e-12 * abs(fit.loglik)):
         fit.trial = (fit.trial + fit.beta) / 2
-        fit.done = fit.steps > MAX_STEPS
+        fit.done = fit.steps > max_steps
         return
     info, gradient = at["information"], at["gradient"]
     before, fit.loglik = fit.loglik, value
@@ -219,7 +218,7 @@ def _advance(fit: _Fit, at: dict) -> None:
         fit.score = float(gradient @ np.linalg.pinv(info) @ gradient)
     elif abs(value - before) <= TOLERANCE * abs(value):
         fit.done = fit.converged = True
-    elif fit.steps > MAX_STEPS:
+    elif fit.steps > max_steps:
         fit.done = True
     if not fit.done:
         fit.trial = fit.beta.copy()
@@ -230,9 +229,12 @@ def _advance(fit: _Fit, at: dict) -> None:
 
 def cox_models(df: DataFrame, time: str, event: str, models: Mapping[str, Sequence[str]], slice: Sequence[str] = (),
                ties: str = "efron", levels: Mapping[str, Sequence] | None = None, categorical: Sequence[str] = (),
-               alpha: float = 0.05) -> DataFrame:
+               alpha: float = 0.05, max_steps: int = 50) -> DataFrame:
     """Fit named models, all slices at once.
 
+    A model converges when a step changes its log-likelihood by a relative 1e-9 at most; after ``max_steps`` it is
+    given as it is, with ``converged`` false.
+
     Each model uses the rows that are complete for its own terms. Text terms are categorical; their first
     level (in ``levels`` or in sorted order) that occurs in the slice is the reference and has a row without
     a ratio. Long result: ``<slice>, model, term, level, n, n_event, log_hr, se, hr, lo, hi, z, p_value,
@@ -249,7 +251,7 @@ def cox_models(df: DataFrame, time: str, event: str, models: Mapping[str, Sequen
     fits = _first_look(frozen, keys, models, slots, width)
     while any(not f.done for f in fits.values()):
         for k, at in _step(frozen, keys, fits, width, ties).items():
-            _advance(fits[k], at)
+            _advance(fits[k], at, max_steps)
     rows = [(*k, *line) for k, f in sorted(fits.items()) for line in _lines(f, alpha)]
     schema = T.StructType([T.StructField(s, T.StringType()) for s in slice] + [
         T.StructField(n, t) for n, t in _RESULT])

@@ -198,11 +198,3 @@ def pair_lookup(pairs: DataFrame, left: DataFrame, right: DataFrame, key: str, l
              | (F.col("__r") & F.col("__anyl").isNull() & col(left_id).isNull()))
     return out.select(*[col(c) for c in pairs.columns],
                       *[F.when(F.coalesce(found, F.lit(False)), col(c)).alias(c) for c in looked])
-
-
-def pair_roles(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """All pairs of the records of two roles of a key, keys with one role only included.
-
-    For roles with few records per key; to look up listed pairs use ``pair_lookup``.
-    """
-    return join_ns(left, right, [key], "full")

@@ -3,17 +3,13 @@
 Order is always explicit: a list of column names, ``"-name"`` for descending, NULLs last either way.
 The remaining columns break ties, so results do not depend on file or partition order.
 
-Three plan shapes are used, none of which sorts an unbounded group in one task:
+One plan holds for every size; none sorts an unbounded group in one task:
 
 * top-1 / top-n per key is a ranked filter, for which Spark limits every key on the map side
   (``WindowGroupLimit Partial``) before the shuffle;
-* a value per key, numbering, ranking and filling are windows on the key as long as every key fits into one
-  task, so a chain of them on one key shares one shuffle;
-* if a key does not fit, a value per key is an aggregate (map-side combine) joined back to the rows, and for
-  the others the rows are range-partitioned by (key, order), frozen, handled piece by piece, and the pieces
-  linked through a small summary table.
-
-``hot_rows`` is the size from which a key does not fit; ``None`` says that all do. See ``bounded_or``.
+* a value per key is an aggregate (map-side combine) joined back to the rows;
+* for numbering, ranking and filling the rows are range-partitioned by (key, order), frozen in files of bounded
+  size, handled file by file, and the files linked through a small summary table.
 """
 
 from __future__ import annotations
@@ -25,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vitaspan.functions.scalars import col, level_index
-from vitaspan.session import HOT_ROWS, freeze, has_hot_group
+from vitaspan.session import PIECE_ROWS, freeze_sorted, shared
 
 _PIECE = "__piece"
 _RANK = "__rank"
@@ -120,72 +116,57 @@ def closest_per_key(df: DataFrame, anchor: DataFrame, keys: Sequence[str], time:
 
 # --- one value per key, attached to its rows -------------------------------------------------------
 
-def group_values(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Column],
-                 hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def group_values(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Column]) -> DataFrame:
     """Attach aggregates of the key (plain aggregate functions) to each of its rows."""
-    if not has_hot_group(df, list(keys), hot_rows):
-        w = W.partitionBy(*_by(keys))
-        return df.withColumns({n: a.over(w) for n, a in aggregates.items()})
+    df = shared(df)
     small = df.groupBy(*_by(keys)).agg(*[a.alias(n) for n, a in aggregates.items()])
     return _attach(df, keys, small, list(aggregates))
 
 
-def group_min(df: DataFrame, keys: Sequence[str], value: str, out: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def group_min(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
     """Smallest non-NULL value of the key; NULL when there is none."""
-    return group_values(df, keys, {out: F.min(col(value))}, hot_rows)
+    return group_values(df, keys, {out: F.min(col(value))})
 
 
-def group_size(df: DataFrame, keys: Sequence[str], out: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    return group_values(df, keys, {out: F.count(F.lit(1))}, hot_rows)
+def group_size(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+    return group_values(df, keys, {out: F.count(F.lit(1))})
 
 
-def group_any(df: DataFrame, keys: Sequence[str], flag: str | Column, out: str,
-              hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def group_any(df: DataFrame, keys: Sequence[str], flag: str | Column, out: str) -> DataFrame:
     """Three-valued "any" of the key: true, else NULL if some flag is NULL, else false."""
     x = col(flag)
-    parts = group_values(df, keys, {"__any": F.bool_or(x), "__unknown": F.bool_or(x.isNull())}, hot_rows)
+    parts = group_values(df, keys, {"__any": F.bool_or(x), "__unknown": F.bool_or(x.isNull())})
     value = F.when(F.col("__any"), F.lit(True)).when(~F.col("__unknown"), F.lit(False))
     return parts.withColumn(out, value).drop("__any", "__unknown")
 
 
 def group_first(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str | Column], out: str,
-                ties: Sequence[str | Column] | None = None, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                ties: Sequence[str | Column] | None = None) -> DataFrame:
     """Value of the key's first row in ``order``; that value may be NULL."""
-    if not has_hot_group(df, list(keys), hot_rows):
-        w = W.partitionBy(*_by(keys)).orderBy(*_total_order(df, keys, order, ties))
-        return df.withColumn(out, F.first(col(value)).over(w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
+    df = shared(df)
     first = first_per_key(df, keys, order, ties).select(*_by(keys), col(value).alias(out))
     return _attach(df, keys, first, [out])
 
 
-def spread_flag(df: DataFrame, keys: Sequence[str], cols: Sequence[str], hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def spread_flag(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Copy a flag that some rows of the key carry to all its rows (the value is unique per key)."""
     names = {c: f"__all_{c}" for c in cols}
-    wide = group_values(df, keys, {n: F.max(col(c)) for c, n in names.items()}, hot_rows)
+    wide = group_values(df, keys, {n: F.max(col(c)) for c, n in names.items()})
     return wide.withColumns({c: F.col(n) for c, n in names.items()}).drop(*names.values())
 
 
 # --- numbering, ranking, filling -------------------------------------------------------------------
 
-def _pieces(df: DataFrame, keys: Sequence[str], order: list[Column]) -> DataFrame:
-    """Range-partition by (key, order) and freeze the piece number of each row.
-
-    Rows of a key are spread over neighbouring pieces, and every row of a lower piece comes before every
-    row of a higher one. Frozen, because the range bounds come from a sample of the data.
-    """
-    spark = df.sparkSession
-    n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    keyed = [col(k).asc_nulls_last() for k in keys]
-    return freeze(df.repartitionByRange(n, *keyed, *order).withColumn(_PIECE, F.spark_partition_id()))
+def _pieces(df: DataFrame, keys: Sequence[str], order: list[Column], piece_rows: int) -> DataFrame:
+    """Freeze the rows sorted by (key, order); rows of a lower piece come before those of a higher one."""
+    return freeze_sorted(df, [*[col(k).asc_nulls_last() for k in keys], *order], _PIECE, piece_rows)
 
 
 def sequence_no(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], out: str,
-                ties: Sequence[str | Column] | None = None, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                ties: Sequence[str | Column] | None = None, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Number the rows of every key from 1."""
     full = _total_order(df, keys, order, ties)
-    if not has_hot_group(df, list(keys), hot_rows):
-        return df.withColumn(out, F.row_number().over(W.partitionBy(*_by(keys)).orderBy(*full)))
-    rows = _pieces(df, keys, full)
+    rows = _pieces(df, keys, full, piece_rows)
     sizes = rows.groupBy(*_by(keys), _PIECE).agg(F.count(F.lit(1)).alias("__size"))
     before = W.partitionBy(*_by(keys)).orderBy(_PIECE).rowsBetween(W.unboundedPreceding, -1)
     start = sizes.withColumn("__start", F.coalesce(F.sum("__size").over(before), F.lit(0))).drop("__size")
@@ -195,7 +176,7 @@ def sequence_no(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
 
 
 def dense_rank_nulls_out(df: DataFrame, keys: Sequence[str], by: Sequence[str], out: str,
-                         hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                         piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Dense rank of ``by`` (most significant column first) within the key.
 
     A row with NULL in any of ``by`` has no rank and takes no number.
@@ -203,18 +184,15 @@ def dense_rank_nulls_out(df: DataFrame, keys: Sequence[str], by: Sequence[str],
     known = F.lit(True)
     for b in by:
         known = known & col(b).isNotNull()
-    if not has_hot_group(df, list(keys), hot_rows):
-        # unknown rows sort behind all known ones, so they leave the ranks of the others alone
-        w = W.partitionBy(*_by(keys)).orderBy(known.desc(), *[col(b).asc_nulls_last() for b in by])
-        return df.withColumn(out, F.when(known, F.dense_rank().over(w)))
+    df = shared(df)
     values = df.where(known).select(*_by(keys), *_by(by)).distinct()
-    ranks = sequence_no(values, keys, by, out, ties=[], hot_rows=hot_rows)
+    ranks = sequence_no(values, keys, by, out, ties=[], piece_rows=piece_rows)
     return _attach(df, [*keys, *by], ranks, [out])
 
 
 def fill(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
          direction: str = "updown", ties: Sequence[str] | None = None,
-         hot_rows: int | None = HOT_ROWS) -> DataFrame:
+         piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Fill NULLs within the key: ``updown`` takes the next value, else the previous; ``downup`` reversed.
 
     The next value is the last known one in reversed order: a frame that grows from the start costs one pass,
@@ -224,12 +202,7 @@ def fill(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequenc
         raise ValueError("direction is 'updown' or 'downup'")
     forward = _total_order(df, keys, order, ties)
     backward = [_flip(spec) for spec in _specs(df, keys, order, ties)]
-    if not has_hot_group(df, list(keys), hot_rows):
-        down, up = ({c: _last_known(c, W.partitionBy(*_by(keys)).orderBy(*o)) for c in cols} for o in (forward, backward))
-        first, second = (up, down) if direction == "updown" else (down, up)
-        return df.withColumns({c: F.coalesce(first[c], second[c]) for c in cols})
-
-    rows = _pieces(df, keys, forward)
+    rows = _pieces(df, keys, forward, piece_rows)
     piece = [*keys, _PIECE]
     # first and last known value of every piece, found by rank filters on the known rows only
     ends = rows.select(*_by(piece)).distinct()

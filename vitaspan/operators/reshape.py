@@ -11,21 +11,23 @@ from vitaspan.functions.scalars import col, number_text
 from vitaspan.operators.joins import join_ns
 from vitaspan.operators.ordered import top_per_key
 
-MAX_PIVOT_COLUMNS = 5_000
-
 
 def pivot_wide(df: DataFrame, id_cols: Sequence[str], names_from: str, values_from: str,
-               values: Sequence[str] | None = None, on_duplicate: str = "error") -> DataFrame:
+               values: Sequence[str] | None = None, on_duplicate: str = "error", others: str = "error") -> DataFrame:
     """One column per value of ``names_from``; a NULL name becomes the column ``NA``.
 
-    Without ``values`` the names are read first, in one job, and sorted. Two rows for one cell are an error,
+    Without ``values`` the names are read first, in one job, and sorted. With them a name outside is an error,
+    unless ``others`` is ``drop``; its id still gets a row. Two rows for one cell are an error,
     unless ``on_duplicate`` is ``list`` (cells are arrays) or ``max``.
     """
     name = F.coalesce(col(names_from).cast("string"), F.lit("NA"))
     if values is None:
-        values = [r[0] for r in df.select(name.alias("v")).distinct().orderBy("v").limit(MAX_PIVOT_COLUMNS + 1).collect()]
-        if len(values) > MAX_PIVOT_COLUMNS:
-            raise ValueError(f"{names_from} has more than {MAX_PIVOT_COLUMNS} values; give the wanted ones")
+        values = [r[0] for r in df.select(name.alias("v")).distinct().orderBy("v").collect()]
+    elif others == "error":
+        unknown = F.raise_error(F.concat(F.lit(f"{names_from} has a name that was not given: "), name)).cast("string")
+        name = F.when(name.isin(list(values)), name).otherwise(unknown)
+    elif others != "drop":
+        raise ValueError("others is 'error' or 'drop'")
     v = col(values_from)
     named = df.withColumn("__name", name)
 
@@ -53,10 +55,7 @@ def pivot_ordinal(df: DataFrame, id_cols: Sequence[str], key: str, order: Sequen
     the width, which takes one counting job.
     """
     if max_n is None:
-        longest = df.groupBy(col(key)).count().agg(F.max("count")).head()[0] or 0
-        if longest * len(value_cols) > MAX_PIVOT_COLUMNS:
-            raise ValueError(f"{longest} records for one key do not fit into columns; give max_n")
-        max_n = int(longest)
+        max_n = int(df.groupBy(col(key)).count().agg(F.max("count")).head()[0] or 0)
     ids = [col(c) for c in id_cols]
     numbered = top_per_key(df, [key], order, max_n, ties, out="__no")
     cells = [F.max(F.when(F.col("__no") == i, col(v))).alias(f"{v}_{i}") for v in value_cols for i in range(1, max_n + 1)]
@@ -73,10 +72,10 @@ def concat_ordered(df: DataFrame, keys: Sequence[str], cols: Sequence[str], orde
     ``nulls='poison'``: one NULL makes the text NULL; ``'skip'``: NULLs are left out. The values of a key
     become one cell, so a key must fit into a row; that is what the operator returns.
     """
-    arrays, _ = _ordered_arrays(df, keys, cols, order)
+    arrays, places = _ordered_arrays(df, keys, cols, order)
     out = [F.col(f"__key{i}").alias(k) for i, k in enumerate(keys)]
     for i, c in enumerate(cols):
-        items = _values(i)
+        items = _values(places[i])
         text = F.array_join(items, sep)
         if nulls == "poison":
             text = F.when(~F.exists(items, lambda x: x.isNull()), text)
@@ -86,26 +85,33 @@ def concat_ordered(df: DataFrame, keys: Sequence[str], cols: Sequence[str], orde
 
 def collect_ordered(df: DataFrame, keys: Sequence[str], cols: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Like ``concat_ordered``, but each column is an array (NULLs kept)."""
-    arrays, _ = _ordered_arrays(df, keys, cols, order)
+    arrays, places = _ordered_arrays(df, keys, cols, order)
     out = [F.col(f"__key{i}").alias(k) for i, k in enumerate(keys)]
-    out += [_values(i).alias(c) for i, c in enumerate(cols)]
+    out += [_values(places[i]).alias(c) for i, c in enumerate(cols)]
     return arrays.select(*out)
 
 
-def _values(i: int) -> Column:
-    return F.transform(F.col("__rows"), lambda r: r[f"v{i}"])
+def _values(place: str) -> Column:
+    return F.transform(F.col("__rows"), lambda r: r[place])
 
 
 def _ordered_arrays(df, keys, cols, order):
+    """Rows of a key as sorted structs, and the field of each of ``cols``; a text that is sorted by is held once."""
     kinds = dict(df.dtypes)
-    fields = []
+    fields, places = [], []
     for i, o in enumerate(order):
         fields += [col(o).isNull().alias(f"n{i}"), col(o).alias(f"o{i}")]
     for i, c in enumerate(cols):
+        if c in order and kinds[c] == "string":
+            places.append(f"o{list(order).index(c)}")
+            continue
         text = number_text(c) if kinds[c] in ("double", "float") else col(c).cast("string")
-        fields += [col(c).isNull().alias(f"vn{i}"), text.alias(f"v{i}")]
+        if c not in order:
+            fields.append(col(c).isNull().alias(f"vn{i}"))
+        fields.append(text.alias(f"v{i}"))
+        places.append(f"v{i}")
     grouped = df.groupBy(*[col(k).alias(f"__key{i}") for i, k in enumerate(keys)])
-    return grouped.agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("__rows")), fields
+    return grouped.agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("__rows")), places
 
 
 def unpivot_long(df: DataFrame, ids: Sequence[str], cols: Sequence[str], variable: str = "variable",

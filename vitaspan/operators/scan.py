@@ -1,9 +1,8 @@
 """Running totals and exact quantiles over collapsed ``(key, value)`` counts.
 
-A plain window sorts all values of a key in one task, which is right while the table is small. Beyond
-that, values fall into buckets that depend on nothing but the value itself, each bucket is scanned on its
-own, and the totals of the earlier buckets (a few thousand rows per key at most) are added. Both ways are
-lazy and deterministic.
+Values fall into buckets that depend on nothing but the value itself, each bucket is scanned on its own, and
+the totals of the earlier buckets (a few thousand rows per key at most) are added. That is lazy and
+deterministic, and the same at every size.
 """
 
 from __future__ import annotations
@@ -16,7 +15,6 @@ from pyspark.sql import functions as F
 
 from vitaspan.functions.scalars import col
 from vitaspan.operators.ordered import _attach
-from vitaspan.session import HOT_ROWS, estimated_bytes
 
 _BUCKET = "__bucket"
 _PER_OCTAVE = 256
@@ -34,21 +32,13 @@ def value_bucket(value: str | Column) -> Column:
 
 def running(df: DataFrame, keys: Sequence[str], by: str, sums: Mapping[str, Column] | None = None,
             products: Mapping[str, Column] | None = None, reverse: bool = False,
-            nullable_keys: bool = False, small: bool | None = None) -> DataFrame:
+            nullable_keys: bool = False) -> DataFrame:
     """Add inclusive running sums and products over ``by`` within ``keys``; ``reverse`` runs downwards.
 
-    ``(keys, by)`` is unique in ``df``. ``nullable_keys`` lets NULL keys form a group. ``small`` says that
-    every key fits into one task; by default the size estimate of ``df`` decides.
+    ``(keys, by)`` is unique in ``df``. ``nullable_keys`` lets NULL keys form a group.
     """
     sums, products = dict(sums or {}), dict(products or {})
     parts = {**{n: (F.sum, e) for n, e in sums.items()}, **{n: (F.product, e) for n, e in products.items()}}
-    if small is None:
-        size = estimated_bytes(df)
-        small = size is not None and size < HOT_ROWS
-    if small:
-        direction = col(by).desc() if reverse else col(by).asc()
-        w = W.partitionBy(*([col(k) for k in keys] or [F.lit(0)])).orderBy(direction).rowsBetween(W.unboundedPreceding, 0)
-        return df.withColumns({n: f(e).over(w) for n, (f, e) in parts.items()})
     base = df.withColumn(_BUCKET, value_bucket(by))
     group = [*keys, _BUCKET]
     cols = [col(k) for k in keys]

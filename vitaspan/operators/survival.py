@@ -11,12 +11,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vitaspan.functions.crossprod import partial_products, sum_cells
 from vitaspan.functions.pvalues import chi_square_p, quadratic_form
 from vitaspan.functions.scalars import col
 from vitaspan.operators.scan import running
 
 Z95 = 1.959963984540054
-MAX_GROUPS = 200
 
 
 def _complete(df: DataFrame, time: str, event: str, keys: Sequence[str]) -> DataFrame:
@@ -24,12 +24,9 @@ def _complete(df: DataFrame, time: str, event: str, keys: Sequence[str]) -> Data
                      col(event).cast("int").alias("event")).dropna()
 
 
-def level_list(df: DataFrame, name: str, limit: int = MAX_GROUPS) -> list:
-    """Distinct non-NULL values of a grouping column, sorted; raises if there are more than ``limit``."""
-    rows = df.select(col(name).alias("v")).where("v is not null").distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{name} has more than {limit} values")
-    return sorted(r[0] for r in rows)
+def level_list(df: DataFrame, name: str) -> list:
+    """Distinct non-NULL values of a grouping column, sorted."""
+    return sorted(r[0] for r in df.select(col(name).alias("v")).where("v is not null").distinct().collect())
 
 
 def kaplan_meier(df: DataFrame, time: str, event: str, strata: Sequence[str] = (), slice: Sequence[str] = (),
@@ -78,9 +75,10 @@ def risk_table(df: DataFrame, time: str, event: str, breaks: Sequence[float], st
 
 def _logrank_sums(df: DataFrame, time: str, event: str, group: str, slice: Sequence[str],
                   groups: Sequence | None) -> tuple[DataFrame, list]:
-    """Per slice: observed, expected, group sizes and the covariance terms, groups side by side.
+    """Per slice arrays over the groups: ``size, observed, expected`` and the flat covariance ``var``.
 
-    Group counts are columns of the time row, so a group without rows at some time still counts there.
+    Group counts are columns of the time row, so a group without rows at some time still counts there. The
+    covariance comes from one matrix product per task, whatever the number of groups.
     """
     names = list(groups) if groups is not None else level_list(df, group)
     k = len(names)
@@ -90,28 +88,32 @@ def _logrank_sums(df: DataFrame, time: str, event: str, group: str, slice: Seque
         *[F.coalesce(F.sum(F.when(F.col("__g") == g, F.col("event"))), F.lit(0)).alias(f"d{i}")
           for i, g in enumerate(names)])
     risk = running(at, list(slice), "time", {f"n{i}": F.col(f"c{i}") for i in range(k)}, reverse=True)
-    n = sum((F.col(f"n{i}") for i in range(1, k)), F.col("n0")).cast("double")
-    d = sum((F.col(f"d{i}") for i in range(1, k)), F.col("d0")).cast("double")
-    rows = risk.withColumns({"__n": n, "__d": d})
+    total = lambda p: F.aggregate(F.array(*[F.col(f"{p}{i}").cast("double") for i in range(k)]), F.lit(0.0), lambda x, y: x + y)
+    rows = risk.withColumns({"__n": total("n"), "__d": total("d")})
     n, d = F.col("__n"), F.col("__d")
     scale = F.when(n > 1, d * (n - d) / (n - 1)).otherwise(0.0)
-    aggregates = []
-    for i in range(k):
-        aggregates += [F.sum(f"c{i}").alias(f"size{i}"), F.sum(f"d{i}").alias(f"o{i}"),
-                       F.sum(d * F.col(f"n{i}") / n).alias(f"e{i}")]
-        for j in range(i, k):
-            own = F.lit(1.0 if i == j else 0.0)
-            aggregates.append(F.sum(scale * (F.col(f"n{i}") / n) * (own - F.col(f"n{j}") / n)).alias(f"v{i}_{j}"))
-    return rows.groupBy(*[col(s) for s in slice]).agg(*aggregates), names
+    rows = rows.withColumns({"__share": d / n, "__one": scale / n, "__two": scale / (n * n)})
+    flat = lambda p, w=None: F.array(*[F.sum(F.col(f"{p}{i}") if w is None else F.col(w) * F.col(f"{p}{i}")) for i in range(k)])
+    keys = [f"__s{i}" for i in range(len(slice))] or ["__s0"]
+    keyed = rows.withColumns({s: (col(slice[i]).cast("string") if slice else F.lit("all")) for i, s in enumerate(keys)})
+    sums = keyed.groupBy(*keys, *[col(s) for s in slice]).agg(
+        flat("c").alias("size"), flat("d").alias("observed"), flat("n", "__share").alias("expected"), flat("n", "__one").alias("own"))
+    sides = [f"n{i}" for i in range(k)]
+    counted = keyed.select(*keys, F.col("__two"), *[F.col(x).cast("double").alias(x) for x in sides])
+    cells = sum_cells(partial_products(counted, keys, [("__two", sides, sides)]), keys)
+    cross = cells.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("cell", "value"))), lambda c: c["value"]).alias("cross"))
+    var = F.transform("cross", lambda v, i: F.when(i % (k + 1) == 0, F.get("own", (i / (k + 1)).cast("int"))).otherwise(0.0) - v)
+    return sums.join(cross, keys).select(*[col(s) for s in slice], "size", "observed", "expected", var.alias("var")), names
 
 
 def logrank_counts(df: DataFrame, time: str, event: str, group: str, slice: Sequence[str] = (),
                    groups: Sequence | None = None) -> DataFrame:
     """Observed and expected events per (slice, group), with the variance of their difference."""
     sums, names = _logrank_sums(df, time, event, group, slice, groups)
-    cells = F.array(*[F.struct(F.lit(g).alias(group), F.col(f"size{i}").alias("n"), F.col(f"o{i}").alias("observed"),
-                               F.col(f"e{i}").alias("expected"), F.col(f"v{i}_{i}").alias("variance"))
-                      for i, g in enumerate(names)])
+    k = len(names)
+    cells = F.transform(F.array(*[F.lit(g) for g in names]), lambda g, i: F.struct(
+        g.alias(group), F.get("size", i).alias("n"), F.get("observed", i).alias("observed"), F.get("expected", i).alias("expected"),
+        F.get("var", i * (k + 1)).alias("variance")))
     return sums.select(*[col(s) for s in slice], F.explode(cells).alias("__c")).select(
         *[col(s) for s in slice], "__c.*").where("n > 0")
 
@@ -120,13 +122,8 @@ def logrank(df: DataFrame, time: str, event: str, group: str, slice: Sequence[st
             groups: Sequence | None = None) -> DataFrame:
     """Log-rank test per slice: statistic, degrees of freedom, p-value."""
     sums, names = _logrank_sums(df, time, event, group, slice, groups)
-    k = len(names)
-    parts = sums.select(
-        *[col(s) for s in slice],
-        F.array(*[F.col(f"size{i}").cast("double") for i in range(k)]).alias("__size"),
-        F.array(*[F.col(f"o{i}") - F.col(f"e{i}") for i in range(k)]).alias("__diff"),
-        F.array(*[F.col(f"v{min(i, j)}_{max(i, j)}") for i in range(k) for j in range(k)]).alias("__var"))
-    tested = parts.withColumn("statistic", quadratic_form("__size", "__diff", "__var"))
-    present = F.size(F.filter("__size", lambda v: v > 0)) - 1
+    diff = F.zip_with("observed", "expected", lambda o, e: o - e)
+    tested = sums.withColumn("statistic", quadratic_form(F.col("size").cast("array<double>"), diff, F.col("var")))
+    present = F.size(F.filter("size", lambda v: v > 0)) - 1
     return tested.select(*[col(s) for s in slice], "statistic", present.alias("df"),
                          chi_square_p(F.col("statistic"), present).alias("p_value"))

@@ -107,7 +107,7 @@ def summary_table(df: DataFrame, variables: Sequence[str], by: str | None = None
                          sorted(set(digits.values())), F.col("value"))
         table = table.withColumn("__d", places).withColumn("value", rounded).drop("__d")
     if tests:
-        p = group_tests(df, variables, by, kinds, groups, alpha).select("variable", "p_value", "significant")
+        p = group_tests(df, variables, by, kinds, names, alpha).select("variable", "p_value", "significant")
         table = table.join(p, "variable", "left")
     return table
 

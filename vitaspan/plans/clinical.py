@@ -15,7 +15,7 @@ from vitaspan.operators.joins import join_ns, member_update, pair_lookup, tagged
 from vitaspan.operators.ordered import (closest_per_key, fill, first_per_key, group_any, group_min, group_size,
                                         sequence_no, spread_flag, strongest_per_key)
 from vitaspan.operators.reshape import any_flag_by_sample, collect_ordered, concat_ordered, pivot_ordinal, pivot_wide
-from vitaspan.session import HOT_ROWS, bounded_or, freeze
+from vitaspan.session import freeze
 
 KEY = "patient_id"
 MIGRATED = "(Migrated) Cannot determine from available documentation"
@@ -146,11 +146,10 @@ def diagnoses(table: DataFrame, key: str = KEY) -> DataFrame:
         "AgeAtDiagnosis": decode_age("AgeAtDiagnosis"),
         "ECOG": ecog("PerformStatusAtDiagnosis"), "Karnofsky": karnofsky("PerformStatusAtDiagnosis"),
         "iss_stage": staged_as("OtherStagingSystem", "OtherStagingValue")})
-    hot_rows = bounded_or(table, [key])
-    df = sequence_no(df, [key], ["AgeAtDiagnosis"], "diagnosis_sequence", hot_rows=hot_rows)
-    df = group_size(df, [key], "how_many_dx", hot_rows)
+    df = sequence_no(df, [key], ["AgeAtDiagnosis"], "diagnosis_sequence")
+    df = group_size(df, [key], "how_many_dx")
     df = df.withColumn("has_subsequent_cancer", F.when(F.col("how_many_dx") > 1, F.lit("Yes")))
-    return fill(df, [key], ["diagnosis_sequence"], ["iss_stage"], "updown", ties=[], hot_rows=hot_rows)
+    return fill(df, [key], ["diagnosis_sequence"], ["iss_stage"], "updown", ties=[])
 
 
 def subsequent_diagnoses(table: DataFrame, key: str = KEY,
@@ -175,16 +174,15 @@ def first_diagnosis(decoded: DataFrame, key: str = KEY, how: str = "left", **kwa
 
 def target_timeline(decoded: DataFrame, key: str = KEY, target: str = "Multiple myeloma",
                     precursor: str = "Monoclonal gammopathy", short: str = "MM", precursor_short: str = "MGUS",
-                    sample_age: str | None = "sample_age", hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                    sample_age: str | None = "sample_age") -> DataFrame:
     """Timeline of a target disease and its precursor on every diagnosis row of the patient.
 
     ``age_at_last_*`` keeps the own age of each of the first three target diagnoses; only other rows are
     filled (next value, else previous one).
     """
-    hot_rows = bounded_or(decoded, [key], hot_rows)
     is_target = F.coalesce(col("Histology") == target, F.lit(False))
     df = decoded.withColumn(f"had_{short}_at_anytime", F.when(is_target, F.lit("Yes")))
-    df = sequence_no(df, [key, "Histology"], ["AgeAtDiagnosis", "diagnosis_sequence"], "__nth", ties=[], hot_rows=hot_rows)
+    df = sequence_no(df, [key, "Histology"], ["AgeAtDiagnosis", "diagnosis_sequence"], "__nth", ties=[])
     nth = recode(F.col("__nth"), {1: f"1st {short} dx", 2: f"2nd {short} dx", 3: f"3rd {short} dx"},
                  default=F.col("__nth").cast("string"))
     other = paste(F.col("Histology"), " (", F.col("PrimaryDiagnosisSite"), ")")
@@ -194,8 +192,8 @@ def target_timeline(decoded: DataFrame, key: str = KEY, target: str = "Multiple
         first: F.when(is_target & (F.col("__nth") == 1), F.col("AgeAtDiagnosis")),
         last: F.when(is_target & (F.col("__nth") <= 3), F.col("AgeAtDiagnosis")),
         before: F.when(col("Histology") == precursor, F.col("AgeAtDiagnosis"))}).drop("__nth")
-    df = spread_flag(df, [key], [f"had_{short}_at_anytime"], hot_rows)
-    df = fill(df, [key], ["diagnosis_sequence"], [first, last, before], "updown", ties=[], hot_rows=hot_rows)
+    df = spread_flag(df, [key], [f"had_{short}_at_anytime"])
+    df = fill(df, [key], ["diagnosis_sequence"], [first, last, before], "updown", ties=[])
     had = F.col(f"had_{short}_at_anytime")
     is_patient = (F.when(F.col(last) >= F.col(before), "Yes").when(F.col(last) < F.col(before), f"{precursor_short} patient")
                   .when(had == "Yes", "Yes").otherwise("No"))
@@ -270,19 +268,18 @@ def medications_of_site(table: DataFrame, first_dx: DataFrame, key: str = KEY) -
     rows = tier_of(rows, first_dx, {key: key, "MedPrimaryDiagnosisSiteCode": "PrimaryDiagnosisSiteCode",
                                     "MedPrimaryDiagnosisSite": "PrimaryDiagnosisSite"},
                    col("MedPrimaryDiagnosisSite") == UNKNOWN, unique_by=[key])
-    lowest = group_min(rows, [key], "MedPrimaryDiagnosisSiteCode", "__lowest", bounded_or(table, [key]))
+    lowest = group_min(rows, [key], "MedPrimaryDiagnosisSiteCode", "__lowest")
     kept = lowest.where(col("MedPrimaryDiagnosisSiteCode") == F.col("__lowest"))
     return kept.select(col(key), "MedPrimaryDiagnosisSiteCode", "MedPrimaryDiagnosisSite", "MedicationInd",
                        decode_age("AgeAtMedStart").alias("AgeAtMedStart"), "Medication", "AgeAtMedStop")
 
 
-def medication_courses(rows: DataFrame, key: str = KEY, imids: bool = True, cap: int = 10,
-                       hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def medication_courses(rows: DataFrame, key: str = KEY, imids: bool = True, cap: int = 10) -> DataFrame:
     """Drugs by start age, the first ``cap`` courses side by side; optionally the drug-class flag."""
     extra = []
     if imids:
         flagged = rows.withColumn("received_imids", F.when(is_imid("Medication"), F.lit("Yes")))
-        rows = spread_flag(flagged, [key], ["received_imids"], hot_rows)
+        rows = spread_flag(flagged, [key], ["received_imids"])
         extra = ["received_imids"]
     courses = concat_ordered(rows, [key, "AgeAtMedStart", "MedicationInd", *extra], ["Medication", "AgeAtMedStop"],
                              ["Medication", "AgeAtMedStop"])
@@ -383,7 +380,7 @@ def marker_table(markers: DataFrame, key: str = KEY, strict: bool = False,
         "marker_test": F.when(receptor, F.lit(RECEPTOR_STATUS)).otherwise(F.col("marker_test"))})
     one = first_per_key(final, [key, "marker_test"], ["AgeAtTumorMarkerTest"],
                         ties=["marker_interpretation", "marker_value", "marker_unit"])
-    return pivot_wide(one, [key], "marker_test", "marker_interpretation", values)
+    return pivot_wide(one, [key], "marker_test", "marker_interpretation", values, others="drop")
 
 
 # --- other tables ----------------------------------------------------------------------------------
@@ -409,7 +406,7 @@ def cytogenetics(table: DataFrame, key: str = KEY, values: Sequence[str] | None
     """Positive abnormalities, one column per name."""
     positive = table.where(col("CytogenAbnormResult") == "Positive").select(
         col(key), "CytogenAbnormName", "CytogenAbnormInd").distinct()
-    return pivot_wide(positive, [key], "CytogenAbnormName", "CytogenAbnormInd", values, on_duplicate)
+    return pivot_wide(positive, [key], "CytogenAbnormName", "CytogenAbnormInd", values, on_duplicate, others="drop")
 
 
 # --- samples ---------------------------------------------------------------------------------------

@@ -1,17 +1,47 @@
-"""Session helpers: size estimates, frozen intermediate tables, recommended settings."""
+"""Session helpers: recommended settings and frozen intermediate tables."""
 
 from __future__ import annotations
 
-import tempfile
+import contextvars
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-#: A group with more rows than this is never sorted whole inside one task.
-HOT_ROWS = 20_000_000
+#: Rows of one file of a sorted frozen table; a file is what one task handles at once.
+PIECE_ROWS = 1_000_000
 
-_own_roots: dict[str, str] = {}
-_frozen: list[str] = []
+
+class Owner:
+    """The frozen tables of one query; ``drop`` deletes them and leaves those of other owners alone."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+    def drop(self, spark: SparkSession) -> int:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        done = 0
+        while self.paths:
+            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop())
+            done += bool(path.getFileSystem(conf).delete(path, True))
+        return done
+
+
+_everyone = Owner()
+_owner: contextvars.ContextVar[Owner] = contextvars.ContextVar("owner", default=_everyone)
+
+
+@contextmanager
+def owning() -> Iterator[Owner]:
+    """Tables frozen inside the block belong to the owner it yields."""
+    owner = Owner()
+    token = _owner.set(owner)
+    try:
+        yield owner
+    finally:
+        _owner.reset(token)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -28,17 +58,23 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Folder shared by all executors, as named by the session in ``spark.checkpoint.dir``."""
+    """Folder shared by all executors, as named by the session in ``spark.checkpoint.dir``.
+
+    With a local master and no such setting it lies in the session's warehouse.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own_roots:
-        _own_roots[app] = tempfile.mkdtemp(prefix="vitaspan-")
-    return _own_roots[app]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_frozen"
+
+
+def own_path(spark: SparkSession, prefix: str) -> str:
+    """A new path in the shared folder that the current owner drops."""
+    path = f"{checkpoint_root(spark)}/{prefix}-{uuid.uuid4().hex}"
+    _owner.get().paths.append(path)
+    return path
 
 
 def freeze(df: DataFrame) -> DataFrame:
@@ -47,54 +83,35 @@ def freeze(df: DataFrame) -> DataFrame:
     Cuts lineage (a lost executor costs no recomputation of the input), lets several jobs read one
     result, and keeps column pruning and filter pushdown for those readers.
     """
-    spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/frozen-{uuid.uuid4().hex}"
+    path = own_path(df.sparkSession, "frozen")
     df.write.parquet(path)
-    _frozen.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_frozen(spark: SparkSession) -> int:
-    """Delete the frozen tables this Python process has written; returns how many."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    done = 0
-    while _frozen:
-        path = jvm.org.apache.hadoop.fs.Path(_frozen.pop())
-        done += bool(path.getFileSystem(conf).delete(path, True))
-    return done
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Spark's size estimate of the analyzed plan of ``df``; None where the session does not expose it."""
-    try:
-        return int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
-    except Exception:
-        return None
+_WIDE = ("Join", "Aggregate", "Window", "Generate", "Sort", "Repartition", "Distinct", "Python", "Arrow", "Pandas", "Union")
 
 
-def has_hot_group(df: DataFrame, keys: list[str], hot_rows: int | None = HOT_ROWS) -> bool:
-    """True if some key has more than ``hot_rows`` rows.
-
-    Only tables whose size estimate allows it are counted; the count reads the key columns alone and
-    combines on the map side. ``hot_rows=None`` means the caller knows that groups are bounded.
-    """
-    if hot_rows is None:
-        return False
-    size = estimated_bytes(df)
-    if size is not None and size < hot_rows:
-        return False
-    return not df.groupBy(*keys).count().where(f"`count` > {int(hot_rows)}").isEmpty()
+def shared(df: DataFrame) -> DataFrame:
+    """``df`` for several readers: frozen if computing it takes more than a scan, whatever its size."""
+    plan = df._jdf.queryExecution().analyzed().toString()
+    return freeze(df) if any(w in plan for w in _WIDE) else df
 
 
-def bounded_or(df: DataFrame, keys: list[str], hot_rows: int | None = HOT_ROWS) -> int | None:
-    """``None`` if every key of ``df`` fits into one task, else ``hot_rows``.
+def freeze_sorted(df: DataFrame, order: list, piece: str, piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """``df`` in files of at most ``piece_rows`` rows that follow each other in ``order``; ``piece`` numbers the files.
 
-    A chain of operators on one key checks its input once and passes the answer on as ``hot_rows``.
+    Frozen, because the range bounds come from a sample. The number of files follows the data.
     """
-    return hot_rows if has_hot_group(df, keys, hot_rows) else None
+    spark = df.sparkSession
+    path = own_path(spark, "sorted")
+    n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    df.repartitionByRange(n, *order).sortWithinPartitions(*order).write.option("maxRecordsPerFile", piece_rows).parquet(path)
+    name = F.col("_metadata.file_name")
+    number = F.regexp_extract(name, r"^part-(\d+)", 1).cast("long") * F.lit(1 << 32) + F.coalesce(
+        F.regexp_extract(name, r"-c(\d+)", 1).cast("long"), F.lit(0))
+    return spark.read.schema(df.schema).parquet(path).select("*", number.alias(piece))
 
 
-def settle(df: DataFrame, hot_rows: int | None) -> DataFrame:
-    """Freeze an intermediate table of a chain that has a hot key, where operators read their input twice."""
-    return df if hot_rows is None else freeze(df)
+def drop_frozen(spark: SparkSession) -> int:
+    """Delete the frozen tables that belong to no query of their own; returns how many."""
+    return _everyone.drop(spark)
