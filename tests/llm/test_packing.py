@@ -17,9 +17,14 @@ def ids_of(text):
 
 def test_ids_equal_those_of_whole_texts():
     tokens = packing.Tokens(packing.default_tokenizer(), most=5)
-    for text in ["", "Hello, World's  end", "a\xa0b\x1cc d", "ΑΣ Σ. İ ﬁ é ́x", "<|endoftext|> x<|startoftext|>y", "12ab'll ''s",
+    rng = random.Random(0)
+    letters = "aBcé́ß'’.,;:!?-#<|>12\x01¤ \t漢😀ΣİK"
+    mixed = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 40))) for _ in range(600)]
+    for text in mixed + ["<|ENDOFTEXT|> <|endoftext|>.", "", "Hello, World's  end", "a\xa0b\x1cc d", "ΑΣ Σ. İ ﬁ é ́x", "<|endoftext|> x<|startoftext|>y", "12ab'll ''s",
                  "漢字 😀👍 \r\n\tx\x0b\x0cy", "don't DON'T"]:
         assert np.frombuffer(tokens(text), dtype="<u4").tolist() == ids_of(text)[:-1], text
+    whole = packing.Tokens(packing.default_tokenizer())
+    assert [np.frombuffer(x, dtype="<u4").tolist() for x in whole.of(mixed)] == [ids_of(t)[:-1] for t in mixed]
 
 
 def check(rows, docs, size, slack):

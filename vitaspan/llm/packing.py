@@ -11,6 +11,7 @@ from __future__ import annotations
 import bisect
 import math
 import random
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from typing import Any
@@ -41,27 +42,70 @@ def default_tokenizer() -> str:
 
 class Tokens:
     """Ids of whole texts as little-endian bytes. Words between ASCII white space never share a token, so the ids of
-    a word are kept and used again; ``most`` bounds how many are kept."""
+    a word are kept and used again; ``most`` bounds how many are kept.
+
+    Unknown words are encoded many at a time, in small letters (the tokenizer folds case itself) and without the
+    signs that end a sentence, whose ids follow a word's own.
+    """
+
+    SEPARATOR, ENDS = b"\x01", b".,;:!?"
 
     def __init__(self, path: str, most: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known, self.most = Tokenizer.from_file(path), {}, most
-
-    def __call__(self, text: str) -> bytes:
-        words = text.encode("utf-8", "surrogatepass").split()
+        self.separator = self._ids(self.SEPARATOR)
+
+    def _ids(self, words: bytes) -> np.ndarray:
+        return np.array(self.tokenizer.encode(words.decode("utf-8", "replace"), add_special_tokens=False).ids, dtype="<u4")
+
+    def _parts(self, word: bytes) -> tuple[bytes, bytes]:
+        """A word as what is encoded and signs behind it; special tokens keep their case."""
+        if b"<|" in word:
+            return word, b""
+        low = word.lower()
+        core = low.rstrip(self.ENDS)
+        if not core or len(core) == len(low):
+            return low, b""
+        # a mark at the end, also one that small letters bring along, would go with the signs
+        last = core[-1:] if core[-1] < 128 else unicodedata.normalize("NFC", core.decode("utf-8", "replace")).lower()[-1]
+        return (core, low[len(core):]) if last.isalpha() else (low, b"")
+
+    def learn(self, words: set[bytes], group: int = 512) -> None:
+        """Keep the ids of ``words``."""
+        known = self.known
+        parts = {w: self._parts(w) for w in words}
+        asked = sorted({p for x in parts.values() for p in x if p and p not in known})
+        alone = [p for p in asked if self.SEPARATOR in p or b"<|" in p or len(self.separator) != 1]
+        joined = [p for p in asked if self.SEPARATOR not in p and b"<|" not in p] if len(self.separator) == 1 else []
+        for i in range(0, len(joined), group):
+            some = joined[i:i + group]
+            ids = self._ids((b" " + self.SEPARATOR + b" ").join(some))
+            cuts = np.flatnonzero(ids == self.separator[0])
+            if len(cuts) != len(some) - 1:
+                alone += some
+                continue
+            for p, a, b in zip(some, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]):
+                known[p] = ids[a:b].tobytes()
+        for p in alone:
+            known[p] = self._ids(p).tobytes()
+        for w, (core, ends) in parts.items():
+            if w not in known or w != core:
+                known[w] = known[core] + (known[ends] if ends else b"")
+
+    def of(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of several texts."""
         known = self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
         if len(known) > self.most:
             known.clear()
-        for w in words:
-            if w not in known:
-                ids = self.tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids
-                known[w] = np.array(ids, dtype="<u4").tobytes()
-        return b"".join([known[w] for w in words])
+        split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
+        missing = set().union(*split).difference(known)
+        if missing:
+            self.learn(missing)
+        return [b"".join(map(known.__getitem__, words)) for words in split]
+
+    def __call__(self, text: str | None) -> bytes:
+        return self.of([text])[0]
 
 
 def pieces(docs: DataFrame, size: int = SIZE, tokenizer: str | None = None) -> DataFrame:
@@ -74,12 +118,14 @@ def pieces(docs: DataFrame, size: int = SIZE, tokenizer: str | None = None) -> D
         tokens, step = state["tokens"], 4 * size
         for batch in batches:
             of, rows = [], []
-            for k, text in enumerate(batch.column("text").to_pylist()):
-                raw = tokens(text or "") + b"\0\0\0\0"
-                for i in range(0, len(raw), step):
-                    part = raw[i:i + step]
-                    of.append(k)
-                    rows.append((i // step, i // 4, len(part) // 4, zlib.crc32(part)))
+            texts = batch.column("text").to_pylist()
+            for low in range(0, len(texts), 64):
+                for k, ids in enumerate(tokens.of(texts[low:low + 64]), low):
+                    raw = ids + b"\0\0\0\0"
+                    for i in range(0, len(raw), step):
+                        part = raw[i:i + step]
+                        of.append(k)
+                        rows.append((i // step, i // 4, len(part) // 4, zlib.crc32(part)))
             columns = zip(*rows) if rows else ((), (), (), ())
             data = [batch.column("doc_id").take(pa.array(of, pa.int64()))]
             data += [pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
