@@ -100,7 +100,7 @@ def _long_again(wide, ids: list[str], names: list[str]):
 
 @query(f"""{with_tables('Medications')}, {_HISTORY}, {_LONG}, {_MED_NUMBERED}, first AS (SELECT patient_id, MedicationInd, ever_first_med_age,
     year_first_medication, max(CASE WHEN n = 1 THEN start END) AS begun FROM numbered GROUP BY ALL) SELECT patient_id, MedicationInd AS drug_ever,
-    ever_first_med_age, year_first_medication, CASE WHEN begun > ever_first_med_age THEN 'Yes' END AS had_prior_medication,
+    ever_first_med_age, year_first_medication, CASE WHEN begun > m.ever_first_med_age THEN 'Yes' END AS had_prior_medication,
     CAST(n AS INT) AS n, start AS AgeAtMedStart, regimen_drugs, stops AS AgeAtMedStop FROM numbered m JOIN first f ON m.patient_id =
     f.patient_id AND m.MedicationInd IS NOT DISTINCT FROM f.MedicationInd AND m.ever_first_med_age IS NOT DISTINCT FROM f.ever_first_med_age
     AND m.year_first_medication IS NOT DISTINCT FROM f.year_first_medication
