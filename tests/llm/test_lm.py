@@ -88,6 +88,63 @@ def test_scores_match_brute_force(spark, shard_tokens, batch_tokens):
         assert have[6] == pytest.approx(want[6], rel=1e-3)
 
 
+def brute_of_order(docs, order):
+    held_out = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
+    train = [tokens_of(t) for i, t in docs if not held_out(i)]
+    c = Counter(w for d in train for w in d)
+    n, v = sum(c.values()), len(c)
+    after = defaultdict(Counter)
+    contexts = lambda d: [(w, [tuple(["<begin>", *d][k + 1 - m:k + 1]) for m in range(1, min(order - 1, k + 1) + 1)])
+                          for k, w in enumerate(d)]
+    for d in train:
+        for w, before in contexts(d):
+            for x in before:
+                after[x][w] += 1
+    out = {}
+    for i, text in docs:
+        score = 0.0
+        for w, before in contexts(tokens_of(text)):
+            p = (c[w] + 0.5) / (n + 0.5 * (v + 1))
+            for x in before:
+                if x in after:
+                    whole = sum(after[x].values())
+                    p = max(after[x][w] - 0.75, 0) / whole + 0.75 * len(after[x]) / whole * p
+            score += math.log10(p)
+        out[i] = score
+    return out
+
+
+@pytest.mark.parametrize("order, shard_tokens, batch_tokens, hot", [(2, 300, 150, 4096), (3, 2_000_000, 2_000_000, 4096), (3, 300, 150, 20), (5, 900, 700, 50)])
+def test_longer_contexts_match_brute_force(spark, monkeypatch, order, shard_tokens, batch_tokens, hot):
+    monkeypatch.setattr(lm, "HOT", hot)
+    rng = random.Random(4)
+    passage = [f"p{i}" for i in rng.choices(range(40), k=60)]
+    docs = []
+    for i in range(100):
+        at = rng.randrange(50)
+        docs.append((i, " ".join([f"w{rng.randrange(rng.choice([3, 30]))}" for _ in range(rng.randint(0, 30))] + passage[at:at + rng.randint(0, 20)])))
+    docs += [(900, None), (901, "of the sea " * 500), (902, "p1")]
+    got = lm.score(spark.createDataFrame(docs, "doc_id long, text string"), shard_tokens=shard_tokens, batch_tokens=batch_tokens, order=order)
+    want = brute_of_order(docs, order)
+    have = {r["doc_id"]: r for r in got.collect()}
+    assert have.keys() == want.keys()
+    # half a step of a quantised logarithm per token at most
+    assert all(abs(r["score"] - want[i]) <= 1.25e-4 * r["n_tokens"] for i, r in have.items())
+    assert order == 2 or want != pytest.approx(brute_of_order(docs, 2), rel=1e-2)
+
+
+def test_query_looks_at_more_than_one_word_before(spark, tmp_path):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5 != 1]
+    out = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5 == 1]
+    docs = [*zip(ids, ["a b c", "d b e"] * 10), (out[0], "a b c"), (out[1], "a b e")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    from vitaspan.llm.queries import op7_language_model
+    from vitaspan.llm.registry import QUERIES
+
+    got = {r["doc_id"]: r["score"] for r in QUERIES["op7_language_model"](spark, str(tmp_path)).collect()}
+    assert got[out[0]] > got[out[1]] + 1 and op7_language_model
+
+
 def test_probabilities_of_a_context_add_up(spark):
     """All known words, the end and one unknown word after ``a`` have probability 1 together."""
     ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5 != 1]

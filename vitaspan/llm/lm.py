@@ -1,13 +1,14 @@
-"""Language-model scores from an Elias-Fano n-gram trie that is cut into shards by context.
+"""Language-model scores from an Elias-Fano trie of n-grams of any order that is cut into shards by context.
 
-Model: words with add-half smoothing below, word pairs with absolute discounting above, interpolated:
-p(w | v) = max(c(v, w) - D, 0) / c(v) + D * fan_out(v) / c(v) * p(w), and p(w) after a context never seen. The first
-term is what the trie holds, quantised.
+Model: words with add-half smoothing below, n-grams of each order up to ``order`` with absolute discounting above,
+interpolated from one order to the next: p(w | v) = max(c(v, w) - D, 0) / c(v) + D * fan_out(v) / c(v) * p(w | v'), where
+v' is v without its first word; after a context never seen, p(w | v'). A document begins with one pseudo word, so its
+first words have shorter contexts. The trie holds (c(v, w) - D) / tokens, quantised; word and context counts are exact.
 
-Tasks read documents in batches and send every shard the distinct words and pairs of a batch with their training
+Tasks read documents in batches and send every shard the distinct words and n-grams of a batch with their training
 counts. A shard sums the counts, builds its trie and answers each batch in the order of its questions; the answers
-meet the batch's documents again. No task, and no broadcast, holds the whole model. Words that make up more than
-1 / HOT of all tokens, at most HOT of them, are split over all shards by pair.
+meet the batch's documents again. No task, and no broadcast, holds the whole model. Contexts that make up more than
+1 / HOT of all tokens are split over all shards by n-gram; there are at most HOT such words and HOT of each other length.
 """
 
 from __future__ import annotations
@@ -72,26 +73,52 @@ def _contexts(tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return out
 
 
-def _questions(hashes: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, train: np.ndarray, hot: np.ndarray, shards: int):
-    """What a batch asks: (words by shard, pairs by shard), each sorted by shard, then hashes; and each token's pair."""
+def _longer(keys: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Keys of contexts that have one more word in front; the key of one word is its hash."""
+    out = (keys ^ (keys >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + words
+    out = (out ^ (out >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+    return out ^ (out >> np.uint64(29))
+
+
+def _grams(hashes: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each number of context words from 1: the places of the tokens that have so many before them, and the contexts' keys."""
+    before = hashes[_contexts(tokens, lengths)]
+    at = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    places, keys = np.arange(len(tokens)), before
+    out = [(places, keys)]
+    for m in range(1, order - 1):
+        has = at[places] >= m
+        places, keys = places[has], keys[has]
+        keys = _longer(keys, before[places - m])
+        out.append((places, keys))
+    return out
+
+
+def _questions(hashes: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, train: np.ndarray, hot: np.ndarray, shards: int, order: int):
+    """What a batch asks, each sorted by shard, then hashes: (words), (n-grams), the contexts' keys; each n-gram's place, order after order."""
     n, size = np.uint64(shards), len(hashes)
     home = (hashes % n).astype(np.int64)
-    counts = np.bincount(tokens[np.repeat(train, lengths)], minlength=size)
+    of_train = np.repeat(train, lengths)
+    counts = np.bincount(tokens[of_train], minlength=size)
     counts[1] = train.sum()
     by_hash = np.argsort(hashes)
     rank = np.empty(size, dtype=np.int64)
     rank[by_hash] = np.arange(size)
     words = by_hash[np.argsort(home[by_hash], kind="stable")]
-    # ranks instead of numbers, so that pairs come out in the order of their hashes
-    pair, inverse = np.unique(rank[_contexts(tokens, lengths)] * size + rank[tokens], return_inverse=True)
-    pair_counts = np.bincount(inverse[np.repeat(train, lengths)], minlength=len(pair))
-    v, w = by_hash[pair // size], by_hash[pair % size]
-    spread = (hashes[v] * np.uint64(0x9E3779B97F4A7C15) + hashes[w]) >> np.uint64(11)
-    pair_home = np.where(hot[v], (spread % n).astype(np.int64), home[v])
-    pairs = np.argsort(pair_home, kind="stable")
-    place = np.empty(len(pairs), dtype=np.int64)
-    place[pairs] = np.arange(len(pairs))
-    return (words, home[words], counts[words]), (v[pairs], w[pairs], pair_home[pairs], pair_counts[pairs]), place[inverse]
+    grams = _grams(hashes, tokens, lengths, order)
+    places = np.concatenate([g[0] for g in grams])
+    keys, number = np.unique(np.concatenate([g[1] for g in grams]), return_inverse=True)
+    # ranks instead of numbers, so that n-grams come out in the order of their hashes
+    gram, inverse = np.unique(number * size + rank[tokens[places]], return_inverse=True)
+    gram_counts = np.bincount(inverse[of_train[places]], minlength=len(gram))
+    v, w = gram // size, by_hash[gram % size]
+    spread = (keys[v] * np.uint64(0x9E3779B97F4A7C15) + hashes[w]) >> np.uint64(11)
+    gram_home = (np.where(np.isin(keys, hot)[v], spread, keys[v]) % n).astype(np.int64)
+    order_of = np.argsort(gram_home, kind="stable")
+    place = np.empty(len(gram), dtype=np.int64)
+    place[order_of] = np.arange(len(gram))
+    return ((words, home[words], counts[words]), (v[order_of], w[order_of], gram_home[order_of], gram_counts[order_of]), keys,
+            [(g[0], x) for g, x in zip(grams, np.split(place[inverse], np.cumsum([len(g[0]) for g in grams])[:-1]))])
 
 
 def _bytes(*arrays: np.ndarray) -> bytes:
@@ -107,7 +134,7 @@ def _arrays(raw: bytes, *types: str) -> list[np.ndarray]:
     return out
 
 
-_ASKED = ("<u8", "<u4", "<u8", "<u4", "<u8", "<u4")  # words, counts; contexts, their numbers of pairs; successors, counts
+_ASKED = ("<u8", "<u4", "<u8", "<u4", "<u8", "<u4")  # words, counts; contexts, their numbers of n-grams; successors, counts
 
 
 def _batches(docs: DataFrame, parts: int, fold: int, emit, schema: str, batch_tokens: int) -> DataFrame:
@@ -128,14 +155,18 @@ def _batches(docs: DataFrame, parts: int, fold: int, emit, schema: str, batch_to
 
 
 def score(docs: DataFrame, parts: int = 5, fold: int = 1, discount: float = DISCOUNT, shard_tokens: int = SHARD_TOKENS,
-          batch_tokens: int = BATCH_TOKENS) -> DataFrame:
+          batch_tokens: int = BATCH_TOKENS, order: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``docs``.
 
-    The model learns from rows whose crc32(doc_id as text) mod ``parts`` is not ``fold``. ``docs`` must give the same
-    rows in the same order when read again (a table does). NULL texts count as empty, NULL ids as empty text; repeated
-    rows are learned and scored each; other columns are ignored.
+    The model has n-grams of up to ``order`` words (2 or more) and learns from rows whose crc32(doc_id as text) mod
+    ``parts`` is not ``fold``. ``docs`` must give the same rows in the same order when read again (a table does). NULL
+    texts count as empty, NULL ids as empty text; repeated rows are learned and scored each; other columns are ignored.
     """
+    if order < 2:
+        raise ValueError("order is 2 or more")
     spark = docs.sparkSession
+    # a token asks for an n-gram of each order
+    batch_tokens = max(1, batch_tokens // (order - 1))
 
     def count(number: int, held: Batch) -> Iterator[pa.RecordBatch]:
         a = held.arrays()
@@ -143,70 +174,80 @@ def score(docs: DataFrame, parts: int = 5, fold: int = 1, discount: float = DISC
         every = np.bincount(a["tokens"], minlength=len(a["hashes"]))
         train = np.bincount(a["tokens"][of_train], minlength=len(a["hashes"]))
         every[1], train[1] = len(held.rows), a["train"].sum()
-        yield pa.RecordBatch.from_arrays([pa.array(a["hashes"].view(np.int64)), pa.array(train), pa.array(every)], names=["word", "train", "every"])
+        keys, seen = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
+        for _, longer in _grams(a["hashes"], a["tokens"], a["lengths"], order)[1:]:
+            key, n = np.unique(longer, return_counts=True)
+            # what has 1 / HOT of all tokens has half of that in batches where it has 1 / (2 * HOT)
+            much = n * (2 * HOT) >= len(a["tokens"])
+            keys.append(key[much])
+            seen.append(n[much])
+        n_long = sum(map(len, keys))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([a["hashes"], *keys]).view(np.int64)), pa.array(np.append(train, np.zeros(n_long, dtype=np.int64))),
+             pa.array(np.concatenate([every, *seen])), pa.array(np.arange(len(train) + n_long) >= len(train))],
+            names=["word", "train", "every", "longer"])
 
     def counted() -> DataFrame:
-        return (_batches(docs, parts, fold, count, "word long, train long, every long", batch_tokens)
-                .groupBy("word").agg(F.sum("train").alias("train"), F.sum("every").alias("every")))
+        return (_batches(docs, parts, fold, count, "word long, train long, every long, longer boolean", batch_tokens)
+                .groupBy("word", "longer").agg(F.sum("train").alias("train"), F.sum("every").alias("every")))
 
     begin = int(np.uint64(_hash(BEGIN)).view(np.int64))
     table = freeze(counted())
-    total = table.where(F.col("word") != begin).agg(
+    total = table.where(~F.col("longer") & (F.col("word") != begin)).agg(
         F.sum("train").alias("n"), F.sum((F.col("train") > 0).cast("long")).alias("v"), F.sum("every").alias("every")).first()
     n_train, n_words, n_all = (int(total[c] or 0) for c in ("n", "v", "every"))
-    shards = max(1, -(-n_all // shard_tokens))
-    # at most HOT words (and BEGIN) can reach this share
-    hot = {r["word"]: r["train"] for r in table.where(F.col("every") * HOT >= n_all).collect()}
-    hot_words = np.array(sorted(hot), dtype=np.int64).view(np.uint64)
-    hot_words = np.sort(hot_words)
-    hot_counts = np.array([hot[int(w)] for w in hot_words.view(np.int64)], dtype=np.int64)
+    shards = max(1, -(-n_all * (order - 1) // shard_tokens))
+    # at most HOT words (and BEGIN), and 2 * HOT contexts of each other length, can reach this share
+    share = F.when(F.col("longer"), 2 * HOT).otherwise(HOT)
+    hot = np.sort(np.array([r["word"] for r in table.where(F.col("every") * share >= n_all).select("word").collect()],
+                           dtype=np.int64).view(np.uint64))
 
     def ask(number: int, held: Batch) -> Iterator[pa.RecordBatch]:
         a = held.arrays()
         h = a["hashes"]
-        (words, home, counts), (v, w, pair_home, pair_counts), _ = _questions(
-            h, a["tokens"], a["lengths"], a["train"], np.isin(h, hot_words), shards)
-        word_at, pair_at = np.searchsorted(home, np.arange(shards + 1)), np.searchsorted(pair_home, np.arange(shards + 1))
+        (words, home, counts), (v, w, gram_home, gram_counts), keys, _ = _questions(
+            h, a["tokens"], a["lengths"], a["train"], hot, shards, order)
+        word_at, gram_at = np.searchsorted(home, np.arange(shards + 1)), np.searchsorted(gram_home, np.arange(shards + 1))
         for s in range(shards):
-            x, y = slice(word_at[s], word_at[s + 1]), slice(pair_at[s], pair_at[s + 1])
+            x, y = slice(word_at[s], word_at[s + 1]), slice(gram_at[s], gram_at[s + 1])
             if x.start == x.stop and y.start == y.stop:
                 continue
             own = v[y]
             first = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else np.zeros(0, dtype=np.int64)
-            raw = _bytes(h[words[x]], counts[x].astype("<u4"), h[own[first]], np.diff(np.append(first, len(own))).astype("<u4"),
-                         h[w[y]], pair_counts[y].astype("<u4"))
+            raw = _bytes(h[words[x]], counts[x].astype("<u4"), keys[own[first]], np.diff(np.append(first, len(own))).astype("<u4"),
+                         h[w[y]], gram_counts[y].astype("<u4"))
             yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([s], pa.int64()), pa.array([raw], pa.binary())],
                                              names=["batch", "shard", "raw"])
 
     def answer(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         numbers = group.column("batch").to_pylist()
         asked = [_arrays(r.as_py(), *_ASKED) for r in group.column("raw")]
-        words, counts, at_word = _summed(np.concatenate([a[0] for a in asked]), None, np.concatenate([a[1] for a in asked]))
-        (v, w), c, at_pair = _summed(np.concatenate([np.repeat(a[2], a[3]) for a in asked]), np.concatenate([a[4] for a in asked]),
+        _, counts, at_word = _summed(np.concatenate([a[0] for a in asked]), None, np.concatenate([a[1] for a in asked]))
+        (v, w), c, at_gram = _summed(np.concatenate([np.repeat(a[2], a[3]) for a in asked]), np.concatenate([a[4] for a in asked]),
                                      np.concatenate([a[5] for a in asked]))
+        contexts, totals, at_context = _summed(v, None, c)
         known = c > 0
-        of, of_hot = np.searchsorted(words, v[known]), np.searchsorted(hot_words, v[known])
-        is_hot = np.isin(v[known], hot_words)
-        whole = np.empty(len(of), dtype=np.float64)
-        whole[is_hot] = hot_counts[of_hot[is_hot]]
-        whole[~is_hot] = counts[of[~is_hot]]
-        trie = Trie(v[known], w[known], np.maximum(c[known] - discount, 1e-300) / whole)
+        trie = Trie(v[known], w[known], np.maximum(c[known] - discount, 1e-300) / max(1, n_train))
         # every distinct question is looked up once
-        fans, codes, out = trie.fan_out(words), trie.lookup(v, w), []
-        word_ends, pair_ends = (np.cumsum([0, *(len(a[k]) for a in asked)]) for k in (0, 4))
-        for k in range(len(asked)):
-            x, y = at_word[word_ends[k]:word_ends[k + 1]], at_pair[pair_ends[k]:pair_ends[k + 1]]
-            out.append(_bytes(counts[x], fans[x], codes[y]))
+        fans, codes, out = trie.fan_out(contexts), trie.lookup(v, w), []
+        word_ends, gram_ends = (np.cumsum([0, *(len(a[k]) for a in asked)]) for k in (0, 4))
+        for k, a in enumerate(asked):
+            x, y = at_word[word_ends[k]:word_ends[k + 1]], at_gram[gram_ends[k]:gram_ends[k + 1]]
+            z = at_context[y[np.cumsum(a[3], dtype=np.int64) - a[3]]]
+            out.append(_bytes(counts[x], totals[z], fans[z], codes[y]))
         shard = int(key[0].as_py())
-        seen = trie.fan_out(hot_words) if len(hot_words) else np.zeros(0, dtype=np.int64)
+        parts_of_hot = np.zeros((2, len(hot)), dtype=np.int64)
+        if len(contexts):
+            at = np.minimum(np.searchsorted(contexts, hot), len(contexts) - 1)
+            parts_of_hot[:] = np.where(contexts[at] == hot, (totals[at], fans[at]), 0)
         return pa.table({"batch": pa.array([*numbers, -1], pa.int64()), "shard": pa.array([shard] * (len(out) + 1), pa.int64()),
-                         "raw": pa.array([*out, _bytes(seen)], pa.binary())})
+                         "raw": pa.array([*out, _bytes(*parts_of_hot)], pa.binary())})
 
     message = "batch long, shard long, raw binary"
     answers = freeze(_batches(docs, parts, fold, ask, message, batch_tokens).groupBy("shard").applyInArrow(answer, message))
-    hot_fan = np.zeros(len(hot_words), dtype=np.int64)
+    of_hot = np.zeros((2, len(hot)), dtype=np.int64)
     for r in answers.where("batch < 0").select("raw").toLocalIterator():
-        hot_fan += _arrays(bytes(r["raw"]), "<i8")[0]
+        of_hot += _arrays(bytes(r["raw"]), "<i8", "<i8")
 
     def encode(number: int, held: Batch) -> Iterator[pa.RecordBatch]:
         a = held.arrays()
@@ -221,18 +262,22 @@ def score(docs: DataFrame, parts: int = 5, fold: int = 1, discount: float = DISC
     def finish(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         rows = dict(zip(group.column("shard").to_pylist(), group.column("raw")))
         hashes, tokens, lengths, train, ids = _arrays(rows.pop(-1).as_py(), "<u8", "<i4", "<i8", "?", "u1")
-        is_hot = np.isin(hashes, hot_words)
-        (words, _, _), (v, w, _, _), place = _questions(hashes, tokens, lengths, train, is_hot, shards)
-        got = [_arrays(rows[s].as_py(), "<i8", "<i8", "<u2") for s in sorted(rows)]
-        counts, fan = np.empty(len(hashes)), np.empty(len(hashes))
+        (words, _, _), (v, _, gram_home, _), keys, grams = _questions(hashes, tokens, lengths, train, hot, shards, order)
+        got = [_arrays(rows[s].as_py(), "<i8", "<i8", "<i8", "<u2") for s in sorted(rows)]
+        counts, whole, fan = np.empty(len(hashes)), np.empty(len(keys)), np.empty(len(keys))
         counts[words] = np.concatenate([g[0] for g in got])
-        fan[words] = np.concatenate([g[1] for g in got])
-        if len(hot_words):
-            fan[is_hot] = hot_fan[np.searchsorted(hot_words, hashes[is_hot])]
-        codes = np.concatenate([g[2] for g in got])
+        first = np.append(True, (v[1:] != v[:-1]) | (gram_home[1:] != gram_home[:-1]))
+        whole[v[first]] = np.concatenate([g[1] for g in got])
+        fan[v[first]] = np.concatenate([g[2] for g in got])
+        if len(hot):
+            is_hot = np.isin(keys, hot)
+            whole[is_hot], fan[is_hot] = of_hot[:, np.searchsorted(hot, keys[is_hot])]
+        part = dequantise(np.concatenate([g[3] for g in got])) * n_train / np.maximum(whole, 1)[v]
+        back_off = np.where(whole > 0, discount * fan / np.maximum(whole, 1), 1.0)[v]
         p = (counts + 0.5) / (n_train + 0.5 * (n_words + 1))
-        back_off = np.where(counts > 0, discount * fan / np.maximum(counts, 1), 1.0)
-        pairs = np.log10(dequantise(codes) + back_off[v] * p[w])
+        after = p[tokens]
+        for places, gram in grams:
+            after[places] = part[gram] + back_off[gram] * after[places]
         starts = np.cumsum(lengths) - lengths
         held = pa.ipc.open_stream(pa.py_buffer(ids.tobytes())).read_all().column("id")
         n = len(lengths)
@@ -241,7 +286,7 @@ def score(docs: DataFrame, parts: int = 5, fold: int = 1, discount: float = DISC
             "n_known": pa.array(np.add.reduceat((counts[tokens] > 0).astype(np.int64), starts)),
             "train_tokens": pa.array(np.full(n, n_train, dtype=np.int64)),
             "base_score": pa.array(np.add.reduceat(np.log10(p)[tokens], starts)),
-            "score": pa.array(np.add.reduceat(pairs[place], starts))})
+            "score": pa.array(np.add.reduceat(np.log10(after), starts))})
 
     again = _batches(docs, parts, fold, encode, message, batch_tokens)
     kind = docs.schema["doc_id"].dataType
