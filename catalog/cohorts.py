@@ -20,13 +20,12 @@ def _tables(t):
 
 @query()
 def cohort_of_all_tumors(t):
-    """16 tables to one row per patient (and sample pair) with status and endpoints."""
+    """16 tables to one row per patient (and sample pair) with all columns: status, markers, abnormalities, courses, endpoints."""
     extra = stand_ins(t, "Samples", "Calls")
     samples = extra["Samples"].select(KEY, "Germline", "Tumor_WES", "RNASeq")
     lists = {"Lung": samples.where("RNASeq is not null").drop("RNASeq"), "MM": samples.where("RNASeq is null").drop("RNASeq")}
     cohort = all_tumor_cohort(_tables(t), lists, {"Lung": extra["Calls"]}, KEY, _MARKERS, _ABNORMALITIES)
-    return rounded(cohort.select(KEY, "cancer_type", "ch_status", "Race", "AgeAtDiagnosis", "iss_stage", "bmi_cat", "drugs_ever",
-                                 "first_treatment", "os_event", "os_time_from_dx_years", "pfs_event", "pfs_time_from_dx_years", "met_event"))
+    return rounded(cohort)
 
 
 @query()

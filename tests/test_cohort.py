@@ -75,6 +75,32 @@ def test_marker_status_does_not_blank_others(spark, rows):
     assert rows(c.marker_table(m, strict=True)) == [("p", "", "ER+/HER2+")]
 
 
+def test_names_outside_the_list_are_no_silent_loss(spark, rows):
+    m = spark.createDataFrame([("p", "50", "CEA", "Positive"), ("p", "51", "PSA", "Positive")],
+                              "patient_id string, AgeAtTumorMarkerTest string, TMarkerTest string, TMarkerResult string")
+    m = m.withColumns({n: F.lit(None).cast("string") for n in ("TMarkerResultValue", "TMarkerValueUOM", "TMarkerLowRange",
+                                                              "TMarkerHighRange", "TMarkerRangeIndicator")})
+    with pytest.raises(Exception, match="PSA"):
+        c.marker_table(m, values=["CEA"]).collect()
+    assert rows(c.marker_table(m, values=["CEA"], others="drop")) == [("p", "Positive")]
+    a = spark.createDataFrame([("p", "del(17p)", "Yes", "Positive"), ("p", "t(4;14)", "Yes", "Positive")],
+                              "patient_id string, CytogenAbnormName string, CytogenAbnormInd string, CytogenAbnormResult string")
+    with pytest.raises(Exception, match="4;14"):
+        c.cytogenetics(a, values=["del(17p)"]).collect()
+    assert rows(c.cytogenetics(a, values=["del(17p)"], others="drop")) == [("p", "Yes")]
+
+
+def test_cohort_query_keeps_all_columns(spark):
+    import catalog.cohorts  # noqa: F401
+    from catalog.base import QUERIES
+
+    cohort = QUERIES["cohort_of_all_tumors"](spark, "/root/testdata/sf0.001")
+    names = ["CEA", "ER_PR_HER2_status", "del(17p)", "t(4;14)", "Medication_1", "SmokingStatus", "AgeAtMetastaticSite"]
+    assert set(names) <= set(cohort.columns)
+    filled = cohort.select([F.count(F.col(f"`{n}`")).alias(n) for n in names]).first()
+    assert all(filled[n] > 0 for n in names)
+
+
 def test_lines_and_regimens(spark, rows):
     m = spark.createDataFrame([
         ("a", "Yes", "Lenalidomide", "60", "61", 2001, "First Line - Neoadjuvant"), ("a", "Yes", "Paclitaxel Protein-bound", "60", "61", 2001, "First Line - Neoadjuvant"),

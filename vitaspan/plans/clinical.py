@@ -363,10 +363,10 @@ def receptor_status(interpreted: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def marker_table(markers: DataFrame, key: str = KEY, strict: bool = False,
-                 values: Sequence[str] | None = None) -> DataFrame:
+                 values: Sequence[str] | None = None, others: str = "error") -> DataFrame:
     """Earliest result per marker, one column per marker; the three receptors share one status column.
 
-    ``strict`` blanks the interpretation of every other marker, as the original table does.
+    A marker outside ``values`` is an error, unless ``others`` is ``drop``. ``strict`` blanks the interpretation of every other marker, as the original table does.
     """
     # read three times below
     rows = freeze(marker_interpretation(markers, key))
@@ -380,7 +380,7 @@ def marker_table(markers: DataFrame, key: str = KEY, strict: bool = False,
         "marker_test": F.when(receptor, F.lit(RECEPTOR_STATUS)).otherwise(F.col("marker_test"))})
     one = first_per_key(final, [key, "marker_test"], ["AgeAtTumorMarkerTest"],
                         ties=["marker_interpretation", "marker_value", "marker_unit"])
-    return pivot_wide(one, [key], "marker_test", "marker_interpretation", values, others="drop")
+    return pivot_wide(one, [key], "marker_test", "marker_interpretation", values, others=others)
 
 
 # --- other tables ----------------------------------------------------------------------------------
@@ -402,11 +402,11 @@ def sequencing_events(table: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def cytogenetics(table: DataFrame, key: str = KEY, values: Sequence[str] | None = None,
-                 on_duplicate: str = "error") -> DataFrame:
-    """Positive abnormalities, one column per name."""
+                 on_duplicate: str = "error", others: str = "error") -> DataFrame:
+    """Positive abnormalities, one column per name; one outside ``values`` is an error, unless ``others`` is ``drop``."""
     positive = table.where(col("CytogenAbnormResult") == "Positive").select(
         col(key), "CytogenAbnormName", "CytogenAbnormInd").distinct()
-    return pivot_wide(positive, [key], "CytogenAbnormName", "CytogenAbnormInd", values, on_duplicate, others="drop")
+    return pivot_wide(positive, [key], "CytogenAbnormName", "CytogenAbnormInd", values, on_duplicate, others)
 
 
 # --- samples ---------------------------------------------------------------------------------------
