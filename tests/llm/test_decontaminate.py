@@ -100,3 +100,32 @@ def test_empty_tables(spark):
     docs, bench = spark.createDataFrame([(1, "a b")], "doc_id long, text string"), spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.overlaps(docs, bench).collect() == [] and decontaminate.drop_contaminated(docs, bench).count() == 1
     assert decontaminate.overlaps(docs.limit(0), bench).collect() == []
+
+
+def replaced(n, *at):
+    return " ".join("other" if i in at else f"t{i}" for i in range(n))
+
+
+def test_short_items(spark, monkeypatch):
+    """Copies of 1, 5 and 7 words; 8, 9, 15 and 16 words with replacements."""
+    item_of = {5: 5, 7: 7, 8: 8, 9: 9, 15: 15, 16: 16}
+    bench = spark.createDataFrame([*((j, replaced(n)) for j, n in item_of.items()), (1, "東京は日本の首都です"), (2, "q0"), (60, "zz t2")], "item_id long, text string")
+    docs = [(5, "in q0, T0 t1. t2 t3 t4 out t0 t1 t2 t3 t4", {5, 2}), (50, replaced(5, 2), set()), (51, "t0 t1 t2 t3", set()), (7, replaced(7), {5, 7}),
+            (8, "lead " + replaced(8, 2), {8}), (9, replaced(9, 2), {8, 9}), (15, "x " + replaced(15, 3, 10), {15, 16}),
+            (16, replaced(16, 0, 7, 14), {15, 16}), (1, "東京は日本の首都です", {1}), (3, "", set()), (4, None, set())]
+    df = spark.createDataFrame([d[:2] for d in docs], "doc_id long, text string")
+    got = decontaminate.overlaps(df, bench).collect()
+    for i, _, want in docs:
+        assert want <= {r["item_id"] for r in got if r["doc_id"] == i}, i
+        assert want or not any(r["doc_id"] == i for r in got), i
+    first = next(r for r in got if (r["doc_id"], r["item_id"]) == (5, 5))
+    assert (first["score"], first["n_matched"], first["n_differing"], first["doc_word"], first["item_word"]) == (5, 5, 0, 2, 0)
+    assert len({(r["doc_id"], r["item_id"]) for r in got}) == len(got)
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    assert sorted(map(tuple, decontaminate.overlaps(df, bench).collect())) == sorted(map(tuple, got))
+
+
+def test_item_with_a_short_and_a_long_text_is_one_row(spark):
+    bench = spark.createDataFrame([(1, replaced(12)), (1, "t0 t1")], "item_id long, text string")
+    got = decontaminate.overlaps(spark.createDataFrame([(1, replaced(12)), (2, "t0 t1")], "doc_id long, text string"), bench).collect()
+    assert sorted((r["doc_id"], r["score"]) for r in got) == [(1, 12), (2, 2)]

@@ -2,7 +2,8 @@
 
 Fixed masks over a few words ignore the words in between, so a hash still meets its partner when an ignored word was
 replaced. Hashes of the benchmark's windows are joined with those of all documents' windows; around each hit the two
-texts are laid side by side and the best stretch is scored, a word that agrees +1 and one that differs -1.
+texts are laid side by side and the best stretch is scored, a word that agrees +1 and one that differs -1. Items of
+fewer words than a mask are found where all their words follow each other in a document.
 """
 
 from __future__ import annotations
@@ -16,9 +17,10 @@ from vitaspan.llm.common import let, words
 MASKS = ("11011011", "110011011", "110110011")
 #: Signs that part words like white space does.
 PUNCTUATION = ".,;:!?\"'()"
-#: Least score of a stretch; items of fewer words need four fifths of their words.
+#: Least score of a stretch; items of fewer than MIN_SCORE / MIN_SHARE words need this share of their words, which is
+#: four matches to one difference over the whole item.
 MIN_SCORE = 12
-MIN_SHARE = 0.8
+MIN_SHARE = 0.6
 #: Bits of the table that passes over document windows without a partner; every hit is joined exactly after it.
 FILTER_BITS = 1 << 22
 #: Benchmark windows up to this number are broadcast (24 bytes each); beyond, both sides are shuffled.
@@ -79,17 +81,37 @@ def _hashed(table: DataFrame, key: str) -> DataFrame:
     return table.where(F.col(key).isNotNull()).select(key, _word_hashes().alias("h"))
 
 
+def _sequences(rows: DataFrame, lengths: list[int], listed) -> DataFrame:
+    """doc_id, n, seed and at of all runs of ``lengths`` words whose hash is ``listed``; rows have word hashes ``h``."""
+    rows = rows.withColumn("s1", F.col("h"))
+    for n in range(2, max(lengths) + 1):
+        rows = rows.withColumn(f"s{n}", F.zip_with(f"s{n - 1}", F.slice("h", n, F.greatest(F.size("h"), F.lit(1))), lambda x, y: F.xxhash64(x, y)))
+
+    def found(n: int) -> Column:
+        whole = F.slice(f"s{n}", 1, F.greatest(F.size("h") - n + 1, F.lit(0)))
+        at = F.transform(whole, lambda x, i: F.when(listed(x), F.struct(F.lit(n).alias("n"), x.alias("seed"), i.alias("at"))))
+        return F.filter(at, lambda x: x.isNotNull())
+
+    # outer, or Spark infers a filter on the list and computes it twice
+    return rows.select("doc_id", F.explode_outer(F.concat(*[found(n) for n in lengths])).alias("f")).where("f IS NOT NULL").select("doc_id", "f.*")
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, min_score: int = MIN_SCORE) -> DataFrame:
     """One row per document and item that overlap: doc_id, item_id, score, n_matched, n_differing, doc_word, item_word.
 
     The stretch with the highest score counts; side by side the one that ends first and then the shortest, of several
-    places the earliest in the document. doc_word and item_word are where it begins. An item reaches a document only through a hit, so items of fewer words than a mask are never reported. Rows without
-    an id and NULL or empty texts give nothing; rows that repeat an id count together; other columns are ignored.
+    places the earliest in the document. doc_word and item_word are where it begins. An item reaches a document only
+    through a hit; items of fewer words than a mask are reported where the document has all their words in a row. Rows
+    without an id and NULL or empty texts give nothing; rows that repeat an id count together; other columns are ignored.
     """
-    items = _hashed(benchmark, "item_id").where(F.size("h") >= len(MASKS[0])).distinct()
+    every = _hashed(benchmark, "item_id").where(F.size("h") > 0).distinct()
+    items = every.where(F.size("h") >= len(MASKS[0]))
+    short = every.where(F.size("h") < len(MASKS[0])).select("item_id", F.size("h").alias("n"), F.aggregate(
+        F.slice("h", 2, len(MASKS[0])), F.get("h", F.lit(0)), lambda a, x: F.xxhash64(a, x)).alias("seed")).distinct()
+    lengths = sorted(r["n"] for r in short.select("n").distinct().collect())
     seeds = _exploded(items, "item_id").select("item_id", F.col("n").alias("n_item"), "seed", F.col("at").alias("item_at")).distinct()
     place = F.pmod("seed", F.lit(FILTER_BITS))
-    bits = (seeds.select((place / 64).cast("int").alias("i"), F.expr(f"shiftleft(1L, int(pmod(seed, {FILTER_BITS}) % 64))").alias("bit"))
+    bits = (seeds.select("seed").unionAll(short.select("seed")).select((place / 64).cast("int").alias("i"), F.expr(f"shiftleft(1L, int(pmod(seed, {FILTER_BITS}) % 64))").alias("bit"))
             .groupBy("i").agg(F.bit_or("bit").alias("bits"), F.count("*").alias("n")).collect())
     table_bits = [0] * (FILTER_BITS // 64)
     for r in bits:
@@ -98,9 +120,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_score: int = MIN_SCORE)
     partner = (lambda d: F.broadcast(d)) if small else (lambda d: d)
     # a constant of the plan, of one size whatever the benchmark's; it only spares the join windows without a partner
     table = F.split(F.lit(",".join(map(str, table_bits))), ",").cast("array<bigint>")
+    listed = lambda x: F.getbit(F.get(table, (F.pmod(x, F.lit(FILTER_BITS)) / 64).cast("int")),
+                                (F.pmod(x, F.lit(FILTER_BITS)) % 64).cast("int")) == 1
 
     hashed = _hashed(docs, "doc_id")
-    kept = _exploded(hashed, "doc_id").where(F.getbit(F.get(table, (place / 64).cast("int")), (place % 64).cast("int")) == 1)
+    kept = _exploded(hashed, "doc_id").where(listed(F.col("seed")))
     hits = (kept.select("doc_id", "seed", F.col("at").alias("doc_at")).join(partner(seeds), "seed")
             .select("doc_id", "item_id", "n_item", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct())
     by_doc = hits.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "n_item", "shift")).alias("hits"))
@@ -120,7 +144,22 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_score: int = MIN_SCORE)
         (F.col("s.start") - F.least("shift", F.lit(0))).alias("item_word"))
     best = good.groupBy("doc_id", "item_id").agg(F.min(F.struct(
         (-F.col("score")).alias("minus"), "doc_word", "item_word", "n_matched", "n_differing")).alias("b"))
-    return best.select("doc_id", "item_id", (-F.col("b.minus")).alias("score"), "b.n_matched", "b.n_differing", "b.doc_word", "b.item_word")
+    found = best.select("doc_id", "item_id", (-F.col("b.minus")).alias("score"), "b.n_matched", "b.n_differing", "b.doc_word", "b.item_word")
+    if not lengths:
+        return found
+    # one row per document and run of words before the join, however often the document repeats it
+    runs = _sequences(hashed, lengths, listed).groupBy("doc_id", "n", "seed").agg(F.min("at").alias("at"))
+    whole = runs.join(partner(short), ["n", "seed"]).groupBy("doc_id", "item_id", "n").agg(F.min("at").alias("at"))
+    longest = whole.groupBy("doc_id", "item_id").agg(F.min(F.struct((-F.col("n")).alias("minus"), "at")).alias("b"))
+    exact = longest.select("doc_id", "item_id", (-F.col("b.minus")).alias("score"), (-F.col("b.minus")).alias("n_matched"),
+                           F.lit(0).alias("n_differing"), F.col("b.at").alias("doc_word"), F.lit(0).alias("item_word"))
+    if every.groupBy("item_id").agg(F.min(F.size("h")).alias("a"), F.max(F.size("h")).alias("b")).where(
+            (F.col("a") < len(MASKS[0])) & (F.col("b") >= len(MASKS[0]))).limit(1).collect():
+        # an id with a short and a long text: still one row
+        both = found.unionByName(exact).groupBy("doc_id", "item_id").agg(F.max_by(F.struct(
+            "score", "n_matched", "n_differing", "doc_word", "item_word"), F.struct("score", -F.col("doc_word"), -F.col("item_word"))).alias("b"))
+        return both.select("doc_id", "item_id", "b.*")
+    return found.unionByName(exact)
 
 
 def _best(agree: Column) -> Column:
