@@ -33,6 +33,29 @@ def test_small_pages(page, text):
     assert main_text(page) == text
 
 
+TEXT = LONG.strip()
+SIDE = '<div class="sidebar"><p>Side text of the page.</p></div>'
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<html><head><title>T</title><body><article><p>{LONG}</p></article></body>", TEXT),
+    (f"<head><title>T</title><meta name=a><style>p{{}}</style><article><p>{LONG}</p></article>", TEXT),
+    (f"<head><title>T</title><span>{LONG * 2}</span>", (LONG * 2).strip()), (f"<head><title>T</title>{LONG * 2}", (LONG * 2).strip()),
+    ("<head><title>T</title><script>x</script></head><article>y</article>", "y"),
+    (f'<body><div class="layout has-sidebar"><article><p>{LONG}</p></article>{SIDE}</div>', TEXT),
+    (f'<div class="header"><main><p>{LONG}</p></main></div><footer>f</footer>', TEXT),
+    (f'<div class="social"><div>{LONG * 2}</div></div><div class="ad">Buy.</div>', (LONG * 2).strip()),
+    (f'<article><p>{LONG}</p>{SIDE}</article>', TEXT),
+    (f'<article><p>{LONG}</p></article><div id="comments"><article class="comment"><p>{LONG * 3}</p></article></div>', TEXT),
+    (f'<article><svg class="i" /><p>{LONG}</p><math/><p>End.</p></article>', f"{TEXT} End."),
+    (f'<article><svg><path d="x"/><text>t</text></svg><p>{LONG}</p></article>', TEXT),
+    (f'<body><form action="/a.aspx"><input type=hidden><article><p>{LONG}</p><select><option>o</select></article></form>', TEXT),
+    (f'<article><p>{LONG}</p><form><p>Write to us</p></form></article>', TEXT),
+])
+def test_containers_do_not_lose_the_page(page, text):
+    assert main_text(page) == text
+
+
 def test_long_page():
     assert len(main_text("<article>" + f"<p>{LONG}</p>" * 20_000)) == 20_000 * len(LONG) - 1
 

@@ -2,7 +2,8 @@
 
 A page is cut into blocks at block-level tags. The first pass decides blocks from their containers, length, link
 density and density of stop words; short blocks stay open. The second gives an open block the label of the nearest
-decided neighbours. Everything happens inside one row, so pages are handled independently.
+decided neighbours. Forms and elements with the class or id of boilerplate are left out, unless they hold most of the
+page's text. Everything happens inside one row, so pages are handled independently.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ le la les de des du un une et en que qui dans pour pas sur au avec ce il par plu
 el los las del y por con para una no su al lo como más pero sus este ya o fue ha sí porque esta son entre cuando muy
 """.split())
 SKIPPED = frozenset("script style noscript template svg math iframe object canvas head title select option button "
-                    "textarea form fieldset audio video map datalist dialog".split())
+                    "textarea fieldset audio video map datalist dialog".split())
 BOILER_TAGS = frozenset("nav footer aside menu".split())
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 #: Words in class or id names that mark what is not the article.
@@ -36,7 +37,11 @@ cookies consent gdpr notice notices alert popup modal overlay promo promotion sp
 comment comments reply replies respond disqus related recommended recommendations newsletter subscribe subscription
 signup login breadcrumb breadcrumbs pagination pager widget toolbar copyright legal disclaimer skip search form tags
 """.split())
+#: Of these, names of what readers wrote; it stays out however long it is.
+READER_NAMES = frozenset("comment comments reply replies respond disqus".split())
 MAIN_TAGS = frozenset(["article", "main"])
+#: Tags that may stand in a head; any other one ends it.
+HEAD_TAGS = frozenset("head base basefont bgsound link meta title noscript noframes style script template".split())
 BLOCKS = frozenset("""
 address article aside blockquote body caption center dd details div dl dt figcaption figure footer form h1 h2 h3 h4 h5
 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul
@@ -49,31 +54,59 @@ SHORT, LONG = 70, 200
 LINKS, FEW_STOPS, MANY_STOPS = 0.33, 0.10, 0.25
 
 
+#: skipped, boilerplate, main, link, mark: of a place outside all elements.
+NOTHING = (False, False, False, False, None)
+
+
+class _Mark:
+    """An element that looks like boilerplate by its class, id or tag; ``n`` counts the characters of its blocks."""
+
+    __slots__ = ("outer", "form", "n", "dropped", "unseen")
+
+    def __init__(self, outer: _Mark | None, form: bool = False):
+        self.outer, self.form, self.n, self.dropped, self.unseen = outer, form, 0, True, False
+
+
 class _Blocks(HTMLParser):
-    """Collects (text, characters in links, is boilerplate, is inside the article, is a heading)."""
+    """Collects (text, characters in links, is boilerplate, is inside the article, is a heading, innermost mark)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.found: list[tuple[str, int, bool, bool, bool]] = []
-        self.open: list[tuple[str, bool, bool, bool, bool]] = []  # tag, skipped, boilerplate, main, link
+        self.found: list[tuple[str, int, bool, bool, bool, _Mark | None]] = []
+        self.open: list[tuple[str, bool, bool, bool, bool, _Mark | None]] = []  # tag, skipped, boilerplate, main, link, mark
+        self.marks: list[_Mark] = []
         self.parts: list[str] = []
         self.linked = 0
-        self.state = (False, False, False, False)
+        self.state = NOTHING
 
     def flush(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
                 heading = any(t[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for t in self.open)
-                self.found.append((text, self.linked, self.state[1], self.state[2], heading))
+                self.found.append((text, self.linked, self.state[1], self.state[2], heading, self.state[4]))
+                if self.state[4] and not self.state[1]:
+                    self.state[4].n += len(text)
         self.parts, self.linked = [], 0
 
     def cut(self, k: int) -> None:
         """Close all elements from the k-th on."""
         del self.open[k:]
-        self.state = self.open[-1][1:] if self.open else (False, False, False, False)
+        self.state = self.open[-1][1:] if self.open else NOTHING
+
+    def end_head(self) -> None:
+        if self.open and self.open[-1][0] == "head":
+            self.flush()
+            self.cut(len(self.open) - 1)
 
     def handle_starttag(self, tag, attrs):
+        if tag == "body":
+            for k in range(len(self.open)):
+                if self.open[k][0] == "head":
+                    self.cut(k)
+                    break
+        elif tag not in HEAD_TAGS:
+            self.end_head()
         if tag in BLOCKS:
             self.flush()
             ends = CLOSES.get(tag, ()) + (("p",) if tag != "html" else ())
@@ -88,7 +121,7 @@ class _Blocks(HTMLParser):
             self.parts.append(" ")
         if tag in VOID:
             return
-        skipped, boiler, main, link = self.state
+        skipped, boiler, main, link, mark = self.state
         skipped = skipped or tag in SKIPPED
         if not skipped:
             if tag in BOILER_TAGS or tag == "header" and not main:
@@ -98,19 +131,25 @@ class _Blocks(HTMLParser):
             if attrs and not boiler and tag not in ("html", "body"):
                 given = dict(attrs)
                 names = _NAME.findall(f"{given.get('class') or ''} {given.get('id') or ''}")
-                boiler = (any(n.lower() in BOILER_NAMES for n in names) and not (main and tag in ("header", *MAIN_TAGS))
-                          or (given.get("role") or "").lower() in BOILER_ROLES
+                named = {n.lower() for n in names} & BOILER_NAMES if not (main and tag in ("header", *MAIN_TAGS)) else set()
+                boiler = (bool(named & READER_NAMES) or (given.get("role") or "").lower() in BOILER_ROLES
                           or "hidden" in given or given.get("aria-hidden") == "true")
                 main = main or (given.get("role") or "").lower() in MAIN_TAGS and not boiler
-        self.open.append((tag, skipped, boiler, main, link or tag == "a"))
+                if named and not boiler:
+                    self.marks.append(mark := _Mark(mark))
+            if tag == "form":
+                self.marks.append(mark := _Mark(mark, True))
+        self.open.append((tag, skipped, boiler, main, link or tag == "a", mark))
         self.state = self.open[-1][1:]
 
     def handle_startendtag(self, tag, attrs):
         if tag in VOID:
             self.handle_starttag(tag, attrs)
         else:
-            # a slash does not close an element in HTML
+            # a slash closes no element of HTML, but those of other markup
             self.handle_starttag(tag, attrs)
+            if tag in ("svg", "math"):
+                self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
         if tag in BLOCKS:
@@ -121,13 +160,29 @@ class _Blocks(HTMLParser):
                 return
 
     def handle_data(self, data):
-        skipped, _, _, link = self.state
+        if data.strip():
+            self.end_head()
+        skipped, _, _, link, _ = self.state
         if not skipped:
             self.parts.append(data)
             if link:
                 self.linked += len(data.strip())
 
 
+def _blocks(parser: _Blocks) -> list[tuple[str, int, bool, bool, bool]]:
+    """The blocks, boilerplate if a mark holds; a mark does not hold on more than half of the text that is no other boilerplate."""
+    for m in reversed(parser.marks):
+        if m.outer:
+            m.outer.n += m.n
+    total = sum(len(b[0]) for b in parser.found if not b[2])
+    for m in parser.marks:
+        m.dropped = 2 * m.n <= total or m.outer is not None and m.outer.dropped
+        # neighbours are not judged by what a form says
+        m.unseen = m.dropped and (m.form or m.outer is not None and m.outer.unseen)
+    return [(text, linked, boiler or mark is not None and mark.dropped, main, heading)
+            for text, linked, boiler, main, heading, mark in parser.found if mark is None or not mark.unseen]
+
+
 def _first_pass(block: tuple[str, int, bool, bool, bool], has_main: bool) -> bool | None:
     """True: text of the article; False: not; None: open."""
     text, linked, boiler, main, heading = block
@@ -152,7 +207,7 @@ def main_text(html: str | None) -> str:
     parser.feed(html)
     parser.close()
     parser.flush()
-    blocks = parser.found
+    blocks = _blocks(parser)
     has_main = any(b[3] and not b[2] for b in blocks)
     labels = [_first_pass(b, has_main) for b in blocks]
     n = len(labels)
