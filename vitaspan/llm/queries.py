@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from vitaspan.llm import (chat, decontaminate, html_text, lm, ordinal, packing, quality_rules, simhash, token_counts,
+from pyspark.sql import functions as F
+
+from vitaspan.llm import (chat, decontaminate, fill_in_middle, html_text, lm, ordinal, packing, quality_rules, simhash, token_counts,
                           toxicity)
 from vitaspan.llm.common import table
 from vitaspan.llm.registry import query
@@ -62,3 +64,11 @@ def op1_chat_format(spark, folder):
 def op8_quality_classifier(spark, folder):
     docs = table(spark, folder, "documents")
     return ordinal.grade_documents(docs, ordinal.fit_quality(docs, ordinal.grades_of(table(spark, folder, "labels"))))
+
+
+@query()
+def op11_fill_in_middle(spark, folder):
+    made = fill_in_middle.transform(table(spark, folder, "documents"))
+    text = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256"))
