@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vitaspan.llm import (chat, decontaminate, fill_in_middle, html_text, lm, ordinal, packing, quality_rules, simhash, token_counts,
-                          toxicity)
-from vitaspan.llm.common import table
+from vitaspan.llm import (chat, decontaminate, fill_in_middle, html_text, lm, ordinal, packing, periodic_runs,
+                          quality_rules, simhash, token_counts, toxicity)
+from vitaspan.llm.common import let, table, words
 from vitaspan.llm.registry import query
 
 
@@ -72,3 +72,30 @@ def op11_fill_in_middle(spark, folder):
     text = fill_in_middle.restored(F.col("output"), F.col("form"))
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
                        F.sha2("output", 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256"))
+
+
+def _with_loops(doc_id, text):
+    """Text in which the last words of every tenth document, by a hash of its id, repeat themselves."""
+    h = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+    g = F.floor(h / 10)
+
+    def build(w):
+        n = F.size(w)
+        a = F.pmod(g, n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        times = F.ceil((n - a) / p).cast("int")
+        tail = F.slice(F.flatten(F.array_repeat(F.slice(w, a + 1, p), times)), F.lit(1), n - a)
+        return F.when(n > 0, F.array_join(F.concat(F.slice(w, F.lit(1), a), tail), " ")).otherwise(F.lit(""))
+
+    return F.when(h % 10 == 0, let(words(text), build)).otherwise(text)
+
+
+@query()
+def op12_periodic_runs(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", _with_loops(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic_runs.detect(docs).withColumn("best", periodic_runs.strongest(F.col("runs")))
+    best = [F.col(f"best.{x}").alias(x) for x in ("start", "length", "period")]
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), *best,
+                        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+                        F.sha2(periodic_runs.listed(F.col("runs")), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
