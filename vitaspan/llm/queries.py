@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vitaspan.llm import (chat, decontaminate, fill_in_middle, html_text, lm, ordinal, packing, periodic_runs,
-                          quality_rules, simhash, token_counts, toxicity)
+                          quality_rules, simhash, token_counts, toxicity, warc)
 from vitaspan.llm.common import let, table, words
 from vitaspan.llm.registry import query
 
@@ -99,3 +99,9 @@ def op12_periodic_runs(spark, folder):
                         F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
                         F.sha2(periodic_runs.listed(F.col("runs")), 256).alias("runs_sha256"),
                         F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query()
+def op13_warc(spark, folder):
+    return warc.archive_pages(table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", warc.urn_page(F.col("refers_to")).alias("refers_to"), "url")
