@@ -165,33 +165,116 @@ def events_by_level(t):
 # --- regression ------------------------------------------------------------------------------------
 
 _COX = ["model", "term", "level", "n", "n_event", "log_hr", "se", "hr", "lo", "hi", "p_value", "significant"]
+_FITTED = """round(b, 6) AS log_hr, round(s, 6) AS se, round(exp(b), 6) AS hr, round(exp(b - 1.959963984540054 * s), 6) AS lo, round(exp(b +
+    1.959963984540054 * s), 6) AS hi, round({p}, 6) AS p_value, {p} < 0.05 AS significant"""
+
+
+def _newton(tag: str, source: str, key: str, xs: list[str], steps: int) -> str:
+    """Newton's method in SQL: moments of the risk sets by time, Efron's ties expanded row by row, Gauss-Jordan elimination.
+
+    The last CTE, ``{tag}_fit(key, j, b, s)``, has estimate and standard error of every covariate.
+    """
+    p = len(xs)
+    one, two = range(1, p + 1), [(j, k) for j in range(1, p + 1) for k in range(j, p + 1)]
+    moments = {"0": "1", **{f"{j}": f"x{j}" for j in one}, **{f"{j}_{k}": f"x{j} * x{k}" for j, k in two}}
+    names = ", ".join(f"x{j}" for j in one)
+    out = [f"{tag}c AS MATERIALIZED (SELECT {key} AS key, time, event, " + ", ".join(f"({x})::DOUBLE AS x{j}" for j, x in zip(one, xs))
+           + f", count(*)::DOUBLE AS n FROM {source} GROUP BY ALL)",
+           f"{tag}m AS (SELECT key, " + ", ".join(f"sum(n * x{j}) / sum(n) AS x{j}" for j in one) + f" FROM {tag}c GROUP BY 1)",
+           f"{tag}z AS MATERIALIZED (SELECT c.key, time, event, n, " + ", ".join(f"c.x{j} - m.x{j} AS x{j}" for j in one) + f" FROM {tag}c c JOIN {tag}m m "
+           "USING (key))",
+           f"{tag}b0 AS (SELECT key, " + ", ".join(f"0.0::DOUBLE AS b{j}" for j in one) + f" FROM {tag}m)"]
+    for i in range(steps):
+        t = f"{tag}{i}"
+        linear = " + ".join(f"b{j} * x{j}" for j in one)
+        out.append(f"{t}w AS (SELECT z.key, time, event, n, {names}, n * exp({linear}) AS w FROM {tag}z z JOIN {tag}b{i} USING (key))")
+        out.append(f"{t}t AS (SELECT key, time, " + ", ".join(f"sum(w * {e}) AS a{m}, sum(w * {e} * event) AS e{m}" for m, e in moments.items())
+                   + ", sum(n * event) AS d, " + ", ".join(f"sum(n * event * x{j}) AS g{j}" for j in one) + f" FROM {t}w GROUP BY ALL)")
+        out.append(f"{t}r AS (SELECT *, " + ", ".join(f"sum(a{m}) OVER (PARTITION BY key ORDER BY time DESC ROWS UNBOUNDED PRECEDING) AS s{m}" for m in moments)
+                   + f" FROM {t}t)")
+        out.append(f"{t}l AS (SELECT *, unnest(range(d::BIGINT)) / d AS u FROM {t}r WHERE d > 0)")
+        out.append(f"{t}v AS (SELECT key, d, " + ", ".join(f"g{j}" for j in one) + ", " + ", ".join(f"s{m} - u * e{m} AS v{m}" for m in moments) + f" FROM {t}l)")
+        cells = [(j, k, f"sum(v{j}_{k} / v0 - v{j} * v{k} / (v0 * v0))") for j, k in two]
+        cells = cells + [(k, j, e) for j, k, e in cells if j != k] + [(j, p + 1, f"sum(g{j} / d - v{j} / v0)") for j in one]
+        if i == steps - 1:
+            cells += [(j, p + 1 + k, "1.0" if j == k else "0.0") for j in one for k in one]
+        out.append(f"{t}m0 AS MATERIALIZED (SELECT key, unnest([{', '.join(str(x[0]) for x in cells)}]) AS i, unnest([{', '.join(str(x[1]) for x in cells)}]) AS j, "
+                   f"unnest([{', '.join(x[2] for x in cells)}]) AS v FROM {t}v GROUP BY key)")
+        for k in one:
+            m = f"{t}m{k - 1}"
+            out.append(f"{t}m{k} AS MATERIALIZED (SELECT a.key, a.i, a.j, CASE WHEN a.i = {k} THEN a.v / p.v ELSE a.v - c.v * r.v / p.v END AS v FROM {m} a JOIN "
+                       f"{m} p ON p.key = a.key AND p.i = {k} AND p.j = {k} JOIN {m} c ON c.key = a.key AND c.i = a.i AND c.j = {k} JOIN {m} r ON r.key = a.key "
+                       f"AND r.i = {k} AND r.j = a.j)")
+        out.append(f"{tag}b{i + 1} AS MATERIALIZED (SELECT key, " + ", ".join(f"any_value(b{j}) + max(v) FILTER (i = {j}) AS b{j}" for j in one)
+                   + f" FROM {t}m{p} JOIN {tag}b{i} USING (key) WHERE j = {p + 1} GROUP BY key)")
+    last = f"{tag}{steps - 1}m{p}"
+    out.append(f"{tag}_fit AS (SELECT b.key, v.i AS j, [{', '.join(f'b{j}' for j in one)}][v.i] AS b, sqrt(v.v) AS s FROM {tag}b{steps} b JOIN {last} v ON v.key = "
+               f"b.key AND v.j = {p + 1} + v.i)")
+    return ", ".join(out)
+
+
+def _cox_sql(with_: str, source: str, models: dict[str, dict[str, list[str] | str]], slice: str | None = None, steps: int = 7) -> str:
+    """All models over their complete rows. A term is an expression, or the list of its levels, of which the first is the reference."""
+    ctes, selects = [], []
+    key = slice or "'all'"
+    lead = f"key AS {slice}, " if slice else ""
+    for m, (name, terms) in enumerate(models.items()):
+        tag = f"q{m}"
+        whole = " AND ".join(f"({t if isinstance(x, list) else x}) IS NOT NULL" for t, x in terms.items())
+        rows, xs = f"(SELECT * FROM {source} WHERE {whole})", []
+        for t, x in terms.items():
+            first = len(xs)
+            xs += [f"CASE WHEN {t} = '{level}' THEN 1 ELSE 0 END" for level in x[1:]] if isinstance(x, list) else [x]
+            kept = "count(*) AS n, sum(event)::BIGINT AS n_event"
+            if isinstance(x, list):
+                places = "CASE l " + " ".join(f"WHEN '{level}' THEN {first + k}" for k, level in enumerate(x[1:], 1)) + " END"
+                selects.append(f"SELECT {lead}'{name}' AS model, '{t}' AS term, l AS level, n, n_event, {_FITTED} FROM (SELECT {key} AS key, {t} AS l, {kept} FROM {rows} "
+                               f"GROUP BY ALL) c LEFT JOIN {tag}_fit f USING (key) WHERE f.j = {places} UNION ALL SELECT {lead}'{name}', '{t}', l, n, n_event, NULL, "
+                               f"NULL, NULL, NULL, NULL, NULL, NULL FROM (SELECT {key} AS key, {t} AS l, {kept} FROM {rows} GROUP BY ALL) WHERE l = '{x[0]}'")
+            else:
+                selects.append(f"SELECT {lead}'{name}' AS model, '{t}' AS term, NULL::VARCHAR AS level, n, n_event, {_FITTED} FROM (SELECT {key} AS key, {kept} FROM {rows} "
+                               f"GROUP BY ALL) c JOIN {tag}_fit f USING (key) WHERE f.j = {first + 1}")
+        ctes.append(_newton(tag, rows, key, xs, steps))
+    return f"WITH {with_}, {', '.join(ctes)} " + " UNION ALL ".join(selects).replace("{p}", f"({_p('b * b / (s * s)', '1')})")
+
+
+_GROUPED = f"""{_CUST}, grouped AS (SELECT * REPLACE (CASE WHEN pri IN ('1-URGENT', '2-HIGH') THEN substr(pri, 3) WHEN pri IS NOT NULL THEN 'OTHER' END AS pri)
+    FROM subjects)"""
+_PRIORITIES = ["HIGH", "OTHER", "URGENT"]
+_MARKETS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
 
+def _grouped(t):
+    """Subjects with three groups of priorities, each with events at every scale."""
+    pri = F.when(F.col("pri").isin("1-URGENT", "2-HIGH"), F.substring("pri", 3, 10)).when(F.col("pri").isNotNull(), "OTHER")
+    return subjects(t).withColumns({"pri": pri, "balance": F.col("c_acctbal") / 1000})
 
-@query()
+
+@query(_cox_sql(_ITEMS, "items", {"multivariable": {"l_linestatus": ["F", "O"], "band": ["low", "mid", "high"], "l_discount": "l_discount"}}))
 def cox_multivariable(t):
     return rounded(cox(items(t), "time", "event", ["l_linestatus", "band", "l_discount"], levels={"band": ["low", "mid", "high"]}).select(*_COX))
 
 
-@query()
+@query(_cox_sql(_GROUPED, "grouped", {"c_mktsegment": {"c_mktsegment": _MARKETS}, "pri": {"pri": _PRIORITIES}, "balance": {"balance": "c_acctbal / 1000"}}))
 def cox_univariable_set(t):
     """One model per covariate, all fitted in the same passes; rows without a priority drop out of that model only."""
-    df = subjects(t).withColumn("balance", F.col("c_acctbal") / 1000)
-    return rounded(cox_univariable(df, "time", "event", ["c_mktsegment", "pri", "balance"]).select(*_COX))
+    return rounded(cox_univariable(_grouped(t), "time", "event", ["c_mktsegment", "pri", "balance"]).select(*_COX))
 
 
-@query()
+@query(_cox_sql(_ITEMS, "items", {"multivariable": {"l_linestatus": ["F", "O"], "tax_percent": "100 * l_tax"}}, slice="band"))
 def cox_by_slice(t):
-    return rounded(cox(items(t), "time", "event", ["l_linestatus", "l_tax"], ["band"]).select("band", *_COX))
+    df = items(t).withColumn("tax_percent", 100 * F.col("l_tax"))
+    return rounded(cox(df, "time", "event", ["l_linestatus", "tax_percent"], ["band"]).select("band", *_COX))
 
 
-@query()
+@query(_cox_sql(_GROUPED, "grouped", {"full": {"c_mktsegment": _MARKETS, "pri": _PRIORITIES, "balance": "c_acctbal / 1000"},
+                                      "reduced": {"pri": _PRIORITIES, "balance": "c_acctbal / 1000"}}))
 def cox_reduced_models(t):
     """Full and reduced models side by side."""
-    df = subjects(t).withColumn("balance", F.col("c_acctbal") / 1000)
-    return rounded(cox_models(df, "time", "event", {"full": ["c_mktsegment", "pri", "balance"], "reduced": ["pri", "balance"]}).select(*_COX))
+    return rounded(cox_models(_grouped(t), "time", "event", {"full": ["c_mktsegment", "pri", "balance"], "reduced": ["pri", "balance"]}).select(*_COX))
 
 
-def _cox_sql(source: str, key: str, x1: str, x2: str, steps: int = 6) -> str:
+def _cox_pair_sql(source: str, key: str, x1: str, x2: str, steps: int = 6) -> str:
     """Newton's method for two covariates written out in SQL, with Efron's ties expanded row by row."""
     out = [f"cb AS (SELECT {key}, time, event, ({x1})::DOUBLE AS x1, ({x2})::DOUBLE AS x2, count(*)::DOUBLE AS n FROM {source} GROUP BY ALL)",
            f"be0 AS (SELECT DISTINCT {key}, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2 FROM cb)"]
@@ -215,15 +298,15 @@ def _cox_sql(source: str, key: str, x1: str, x2: str, steps: int = 6) -> str:
     return ", ".join(out)
 
 
-_ESTIMATE = """round(b, 4) AS log_hr, round(s, 4) AS se, round(exp(b), 4) AS hr, round(exp(b - 1.959963984540054 * s), 4) AS lo,
-    round(exp(b + 1.959963984540054 * s), 4) AS hi"""
+_ESTIMATE = f"""round(b, 4) AS log_hr, round(s, 4) AS se, round(exp(b), 4) AS hr, round(exp(b - 1.959963984540054 * s), 4) AS lo,
+    round(exp(b + 1.959963984540054 * s), 4) AS hi, round({_p('b * b / (s * s)', '1')}, 4) AS p_value"""
 
 
 def _estimates(df, *keys):
-    return df.where("hr is not null").select(*keys, *[F.round(x, 4).alias(x) for x in ("log_hr", "se", "hr", "lo", "hi")])
+    return df.where("hr is not null").select(*keys, *[F.round(x, 4).alias(x) for x in ("log_hr", "se", "hr", "lo", "hi", "p_value")])
 
 
-@query(f"""WITH {_ITEMS}, {_cox_sql('items', 'band', "l_linestatus = 'O'", '100 * l_tax')}, n AS (SELECT band, count(*) AS n, sum(event)::BIGINT AS e, count(*) FILTER
+@query(f"""WITH {_ITEMS}, {_cox_pair_sql('items', 'band', "l_linestatus = 'O'", '100 * l_tax')}, n AS (SELECT band, count(*) AS n, sum(event)::BIGINT AS e, count(*) FILTER
     (l_linestatus = 'O') AS no, (sum(event) FILTER (l_linestatus = 'O'))::BIGINT AS eo FROM items GROUP BY 1) SELECT band, CASE x WHEN 'x1' THEN 'l_linestatus'
     ELSE 'tax_percent' END AS term, CASE x WHEN 'x1' THEN no ELSE n END AS n, CASE x WHEN 'x1' THEN eo ELSE e END AS n_event, {_ESTIMATE} FROM fitted JOIN n USING
     (band)""")
@@ -233,7 +316,7 @@ def cox_estimates_by_slice(t):
     return _estimates(cox(df, "time", "event", ["l_linestatus", "tax_percent"], ["band"]), "band", "term", "n", "n_event")
 
 
-@query(f"""WITH {_CUST}, one AS (SELECT *, 'all' AS k FROM subjects WHERE c_acctbal > 0), {_cox_sql('one', 'k', 'c_acctbal / 1000', 'n_orders')}
+@query(f"""WITH {_CUST}, one AS (SELECT *, 'all' AS k FROM subjects WHERE c_acctbal > 0), {_cox_pair_sql('one', 'k', 'c_acctbal / 1000', 'n_orders')}
     SELECT CASE x WHEN 'x1' THEN 'balance' ELSE 'n_orders' END AS term, {_ESTIMATE} FROM fitted""")
 def cox_estimates_multivariable(t):
     """Days to the first urgent finished order; customers without a positive balance are not complete."""

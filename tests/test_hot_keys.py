@@ -7,8 +7,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from vitaspan import session
-from vitaspan import (closest_per_key, dense_rank_nulls_out, fill, group_any, group_first, group_values, quantiles, running,
-                      sequence_no, spread_flag, top_per_key)
+from vitaspan import (closest_per_key, dense_rank_nulls_out, fill, group_any, group_first, group_size, group_values, quantiles,
+                      running, scan, sequence_no, spread_flag, top_per_key)
 from vitaspan.operators.scan import value_bucket
 
 
@@ -73,6 +73,55 @@ def test_a_compressible_hot_key_is_split(spark):
     assert len(files) >= 25
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("operator", [
+    lambda d, **more: sequence_no(d, ["k"], ["t"], "n", **more),
+    lambda d, **more: fill(d, ["k"], ["t", "id"], ["v"], "updown", **more),
+    lambda d, **more: dense_rank_nulls_out(d, ["k"], ["id"], "n", **more)], ids=["sequence", "fill", "rank"])
+def test_ranges_grow_with_the_rows_of_a_hot_key(spark, operator):
+    """Rows of other keys are sorted by their keys and never written; those of a hot one go to as many ranges as they need."""
+    def pieces(n):
+        df = spark.range(n).select(F.col("id"), F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 400).cast("string")).alias("k"),
+                                   F.lit(7).alias("t"), F.when(F.col("id") % 5 == 0, F.col("id")).alias("v"))
+        with session.owning() as owner:
+            operator(df, piece_rows=500).count()
+            sorted_tables = [d for d in map(spark.read.parquet, owner.paths) if "__piece" in d.columns]
+            assert {r[0] for d in sorted_tables for r in d.select("k").distinct().collect()} == {"hot"}
+            sizes = [r["count"] for d in sorted_tables for r in d.groupBy("__piece").count().collect()]
+            owner.drop(spark)
+        return len(sizes), max(sizes)
+    (few, most), (many, most_of_many) = pieces(9_000), pieces(36_000)
+    assert 4 <= few <= 6 and 22 <= many <= 24 and max(most, most_of_many) < 1500
+
+
+def test_keys_that_fit_are_scanned_in_one_shuffle(spark):
+    df = spark.createDataFrame([(i, i % 7, i * 13 % 11) for i in range(100)], "id int, k int, t int")
+    with session.owning() as owner:
+        text = plan(sequence_no(df, ["k"], ["t"], "n"))
+    assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text and owner.paths == []
+
+
+def test_one_scan_numbers_counts_and_fills(skewed, rows):
+    """The same from one layout as from three operators, with and without ranges."""
+    want = fill(group_size(sequence_no(skewed, ["k"], ["t"], "n"), ["k"], "size"), ["k"], ["n"], ["v", "c"], ties=[])
+    for piece_rows in (50, 10_000):
+        got = scan(skewed, ["k"], ["t"], number="n", size="size", fills=["v", "c"], piece_rows=piece_rows)
+        assert rows(got.select("id", "n", "size", "v", "c")) == rows(want.select("id", "n", "size", "v", "c"))
+
+
+def test_sharing_looks_at_plan_nodes_only(spark):
+    df = spark.range(4).select(F.col("id").alias("Sort_key"), F.lit("Join Aggregate").alias("Window"))
+    with session.owning() as owner:
+        session.shared(df)
+        assert owner.paths == []
+        session.shared(df.distinct())
+        assert len(owner.paths) == 1
+        owner.drop(spark)
+
+
 def test_frozen_tables_have_owners(spark):
     with session.owning() as one:
         a = session.freeze(spark.range(5))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from vitaspan import cox, cox_models, cox_univariable, kaplan_meier, level_counts, logrank, logrank_counts, median_survival, risk_table
 from vitaspan.functions.ties import tied_sums
+from vitaspan.operators import cox as cox_module
 
 SMALL = [("A", 1.0, 1), ("A", 2.0, 0), ("A", 3.0, 1), ("A", 3.0, 1), ("A", 5.0, 0), ("B", 1.0, 1), ("B", 4.0, 1), ("B", 4.0, 0),
          ("B", 6.0, 1), ("B", None, 1)]
@@ -137,12 +138,54 @@ def test_reference_is_the_first_level_that_occurs(spark):
     assert ("s", "a") not in fit and fit["s", "b"] is None and fit["s", "c"] is not None and fit["u", "a"] is None
 
 
-@pytest.mark.parametrize("s, e, d", [(10.0, 3.0, 5), (1e6, 9e5, 5000), (5000.0, 5000.0, 5000), (1e9, 1e3, 100_000), (3e4, 2.9e4, 30_000)])
+@pytest.fixture(scope="module")
+def patterns(spark):
+    """One time holds a third of the rows, all with covariates of their own; two slices; some values missing."""
+    r = random.Random(11)
+    data = [(r.choice("st"), 5.0 if i % 3 == 0 else r.choice([r.uniform(0, 10), float(r.randrange(12))]), int(r.random() < 0.6), r.choice("abc"),
+             None if i % 17 == 0 else r.gauss(0, 1), r.uniform(-1, 1)) for i in range(600)]
+    return spark.createDataFrame(data, "s string, time double, event int, g string, v double, w double")
+
+
+@pytest.mark.parametrize("ties", ["efron", "breslow"])
+def test_cox_over_many_ranges(patterns, ties):
+    """The same estimates from one range, from many, and from ranges that the most frequent time fills alone."""
+    def fit(n):
+        out = cox_models(patterns, "time", "event", {"all": ["g", "v", "w"], "v": ["v"]}, ["s"], ties, range_rows=n).collect()
+        return {(f.s, f.model, f.term, f.level): f for f in out}
+    one = fit(10_000)
+    for n in (200, 37, 5):
+        many = fit(n)
+        assert many.keys() == one.keys()
+        for k, f in one.items():
+            assert many[k].n == f.n and many[k].n_event == f.n_event
+            for c in ("log_hr", "se", "p_value", "score", "loglik", "null_loglik"):
+                assert getattr(many[k], c) == (None if getattr(f, c) is None else pytest.approx(getattr(f, c), rel=1e-8, abs=1e-9))
+
+
+def test_cox_steps_do_not_move_the_layout(patterns):
+    """The frozen ranges are scanned by Python tasks; there is no exchange, sort or join in a step."""
+    slots = {"v": [cox_module._Slot("v")], "g": [cox_module._Slot("g", x) for x in "abc"]}
+    frozen, slices = cox_module._layout(patterns, "time", "event", slots, ["s"], 50)
+    assert slices == [("s",), ("t",)] and frozen.select("piece").distinct().count() > 8
+    text = frozen.mapInArrow(lambda batches: batches, frozen.schema)._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in text for x in ("Exchange", "Sort", "Join"))
+    spans = frozen.groupBy("piece").agg(F.min("time").alias("lo"), F.max("time").alias("hi")).orderBy("piece").collect()
+    assert all(a.hi <= b.lo for a, b in zip(spans, spans[1:])) and sum(a.lo == a.hi == 5.0 for a in spans) >= 2
+
+
+def test_cox_without_complete_rows(spark):
+    df = spark.createDataFrame([(1.0, 1, None, "a"), (2.0, 0, None, "b")], "time double, event int, v double, g string")
+    assert cox(df, "time", "event", ["v"]).collect() == []
+    assert cox(df.limit(0), "time", "event", ["g"], levels={"g": ["a", "b"]}).collect() == []
+
+
+@pytest.mark.parametrize("s, e, d", [(10.0, 3.0, 5), (7.0, 1e-30, 4), (2.0, 2.0, 1), (64.0, 1.0, 31), (63.9, 1.0, 33), (1e6, 9e5, 5000), (5000.0, 5000.0, 5000), (1e9, 1e3, 100_000), (3e4, 2.9e4, 30_000)])
 def test_many_ties(s, e, d):
     u = np.arange(d) / d
     a = s - u * e
     want = [np.log(a).sum(), (1 / a).sum(), (u / a).sum(), (1 / a**2).sum(), (u / a**2).sum(), (u**2 / a**2).sum()]
-    assert tied_sums([s], [e], [d])[0].tolist() == pytest.approx(want, rel=1e-9)
+    assert tied_sums([s], [e], [d])[0].tolist() == pytest.approx(want, rel=1e-10, abs=1e-14)
 
 
 def test_level_counts(small, rows):

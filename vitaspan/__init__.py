@@ -8,7 +8,7 @@ from vitaspan.operators.frames import (across, add_after, cols_between, cols_lik
 from vitaspan.operators.joins import (assemble, assert_unique, duplicates, join_ns, member_update, pair_lookup,
                                       semi_by_list, tagged_union, tiered_union_first, union_fill)
 from vitaspan.operators.ordered import (closest_per_key, dense_rank_nulls_out, fill, first_per_key, group_any,
-                                        group_first, group_min, group_size, group_values, last_per_key, sequence_no,
+                                        group_first, group_min, group_size, group_values, last_per_key, scan, sequence_no,
                                         spread_flag, strongest_per_key, top_per_key)
 from vitaspan.operators.reshape import (collect_ordered, concat_ordered, pivot_ordinal, pivot_wide, unpivot_long)
 from vitaspan.operators.scan import quantiles, running

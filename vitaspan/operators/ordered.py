@@ -8,8 +8,8 @@ One plan holds for every size; none sorts an unbounded group in one task:
 * top-1 / top-n per key is a ranked filter, for which Spark limits every key on the map side
   (``WindowGroupLimit Partial``) before the shuffle;
 * a value per key is an aggregate (map-side combine) joined back to the rows;
-* for numbering, ranking and filling the rows are range-partitioned by (key, order), frozen in files of bounded
-  size, handled file by file, and the files linked through a small summary table.
+* numbering, ranking and filling sort the rows of a key in one task; a key with too many rows for that is found by a
+  count and cut into frozen ranges of (key, order), as many as it has rows for, which a small table links.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vitaspan.functions.scalars import col, level_index
-from vitaspan.session import PIECE_ROWS, freeze_sorted, shared
+from vitaspan.session import PIECE_ROWS, freeze, freeze_ranges, shared
 
 _PIECE = "__piece"
 _RANK = "__rank"
@@ -40,12 +40,17 @@ def order_by(order: Sequence[str | Column]) -> list[Column]:
     return out
 
 
+def _ties(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+          ties: Sequence[str | Column] | None) -> Sequence[str | Column]:
+    if ties is not None:
+        return ties
+    used = set(keys) | {o.lstrip("-") for o in order if isinstance(o, str)}
+    return [c for c, kind in df.dtypes if c not in used and "map<" not in kind]
+
+
 def _total_order(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                  ties: Sequence[str | Column] | None) -> list[Column]:
-    if ties is None:
-        used = set(keys) | {o.lstrip("-") for o in order if isinstance(o, str)}
-        ties = [c for c, kind in df.dtypes if c not in used and "map<" not in kind]
-    return order_by([*order, *ties])
+    return order_by([*order, *_ties(df, keys, order, ties)])
 
 
 def _by(keys: Sequence[str]) -> list[Column]:
@@ -157,57 +162,95 @@ def spread_flag(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> Data
 
 # --- numbering, ranking, filling -------------------------------------------------------------------
 
-def _pieces(df: DataFrame, keys: Sequence[str], order: list[Column], piece_rows: int) -> DataFrame:
-    """Freeze the rows sorted by (key, order); rows of a lower piece come before those of a higher one."""
-    return freeze_sorted(df, [*[col(k).asc_nulls_last() for k in keys], *order], _PIECE, piece_rows)
+def _same_key(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> Column:
+    test = F.lit(True)
+    for i, k in enumerate(keys):
+        test = test & df[f"`{k}`"].eqNullSafe(small[f"__key{i}"])
+    return test
 
 
-def sequence_no(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], out: str,
-                ties: Sequence[str | Column] | None = None, piece_rows: int = PIECE_ROWS) -> DataFrame:
-    """Number the rows of every key from 1."""
-    full = _total_order(df, keys, order, ties)
-    rows = _pieces(df, keys, full, piece_rows)
-    sizes = rows.groupBy(*_by(keys), _PIECE).agg(F.count(F.lit(1)).alias("__size"))
-    before = W.partitionBy(*_by(keys)).orderBy(_PIECE).rowsBetween(W.unboundedPreceding, -1)
-    start = sizes.withColumn("__start", F.coalesce(F.sum("__size").over(before), F.lit(0))).drop("__size")
-    local = W.partitionBy(*_by(keys), _PIECE).orderBy(*full)
-    numbered = _attach(rows.withColumn("__no", F.row_number().over(local)), [*keys, _PIECE], start, ["__start"])
-    return numbered.select(*_by(df.columns), (col("__no") + col("__start")).cast("int").alias(out))
+def _split(df: DataFrame, keys: Sequence[str], most: int) -> tuple[DataFrame, DataFrame | None, int]:
+    """Rows of the keys that one task can sort, those of the others (None if there are none), and how many the latter are.
 
+    One count over the key columns finds the keys with more than ``most`` rows; a chain of scans over one table counts
+    without the windows of the earlier ones, which give no key.
+    """
+    df = shared(df, "Window")
+    named = [col(k).alias(f"__key{i}") for i, k in enumerate(keys)]
+    large = df.groupBy(*named).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > most)
+    n = large.agg(F.sum("__rows")).first()[0]
+    if n is None:
+        return df, None, 0
+    df, large = shared(df), freeze(large.drop("__rows"))
+    test = _same_key(df, large, keys)
+    return df.join(large, test, "left_anti"), df.join(large, test, "left_semi"), n
 
-def dense_rank_nulls_out(df: DataFrame, keys: Sequence[str], by: Sequence[str], out: str,
-                         piece_rows: int = PIECE_ROWS) -> DataFrame:
-    """Dense rank of ``by`` (most significant column first) within the key.
 
-    A row with NULL in any of ``by`` has no rank and takes no number.
+def _pieces(df: DataFrame, keys: Sequence[str], order: list[Column], n: int, most: int) -> DataFrame:
+    """Rows in ranges of (key, order), as many as the rows need; those of a lower piece come before those of a higher one.
+
+    Rows that ``order`` does not tell apart are told apart by a hash, so that they fit into ranges too.
     """
-    known = F.lit(True)
-    for b in by:
-        known = known & col(b).isNotNull()
-    df = shared(df)
-    values = df.where(known).select(*_by(keys), *_by(by)).distinct()
-    ranks = sequence_no(values, keys, by, out, ties=[], piece_rows=piece_rows)
-    return _attach(df, [*keys, *by], ranks, [out])
+    told = F.xxhash64(*[col(c) for c, kind in df.dtypes if "map<" not in kind])
+    return freeze_ranges(df, [*[col(k).asc_nulls_last() for k in keys], *order, told], _PIECE, max(2, -(-n // most)))
+
+
+def sequence_no(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], out: str,
+                ties: Sequence[str | Column] | None = None, piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """Number the rows of every key from 1."""
+    return scan(df, keys, order, number=out, ties=ties, piece_rows=piece_rows)
 
 
 def fill(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
          direction: str = "updown", ties: Sequence[str] | None = None,
          piece_rows: int = PIECE_ROWS) -> DataFrame:
-    """Fill NULLs within the key: ``updown`` takes the next value, else the previous; ``downup`` reversed.
+    """Fill NULLs within the key: ``updown`` takes the next value, else the previous; ``downup`` reversed."""
+    return scan(df, keys, order, fills=cols, direction=direction, ties=ties, piece_rows=piece_rows)
+
 
-    The next value is the last known one in reversed order: a frame that grows from the start costs one pass,
-    one that reaches to the end of the key is computed anew for every row.
+def scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], number: str | None = None, size: str | None = None,
+         fills: Sequence[str] = (), direction: str = "updown", ties: Sequence[str | Column] | None = None,
+         piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """Go through the rows of every key in order: number them, count them, fill NULLs of some columns, all in one layout.
+
+    The rows of a key are sorted in one task, unless they are more than ``piece_rows``: then they are cut into ranges, each is
+    scanned on its own, and what the ranges hand on to each other (rows so far, last and first known values) is
+    added from a table with a row per key and range.
     """
     if direction not in ("updown", "downup"):
         raise ValueError("direction is 'updown' or 'downup'")
-    forward = _total_order(df, keys, order, ties)
-    backward = [_flip(spec) for spec in _specs(df, keys, order, ties)]
-    rows = _pieces(df, keys, forward, piece_rows)
+    full = _total_order(df, keys, order, ties)
+    back = _reversed(df, keys, order, ties) if fills else []
+    few, many, n = _split(df, keys, piece_rows)
+    done = _scan_keys(few, keys, full, back, number, size, fills, direction)
+    if many is None:
+        return done
+    pieces = _pieces(many, keys, full, n, piece_rows)
+    return done.unionByName(_scan_pieces(pieces, keys, full, back, number, size, fills, direction).select(*_by(done.columns)))
+
+
+def _scan_keys(df: DataFrame, keys: Sequence[str], order: list[Column], back: list[Column], number: str | None, size: str | None,
+               fills: Sequence[str], direction: str) -> DataFrame:
+    forward, backward = (W.partitionBy(*_by(keys)).orderBy(*o) for o in (order, back))
+    new = {}
+    if number:
+        new[number] = F.row_number().over(forward)
+    if size:
+        new[size] = F.count(F.lit(1)).over(W.partitionBy(*_by(keys)))
+    for c in fills:
+        down, up = _last_known(c, forward), _last_known(c, backward)
+        new[c] = F.coalesce(up, down) if direction == "updown" else F.coalesce(down, up)
+    return df.withColumns(new)
+
+
+def _scan_pieces(rows: DataFrame, keys: Sequence[str], order: list[Column], back: list[Column], number: str | None,
+                 size: str | None, fills: Sequence[str], direction: str) -> DataFrame:
+    """The same over frozen ranges."""
     piece = [*keys, _PIECE]
-    # first and last known value of every piece, found by rank filters on the known rows only
-    ends = rows.select(*_by(piece)).distinct()
-    for c in cols:
-        for side, rank in (("head", forward), ("tail", backward)):
+    # what a range holds: its rows, and the first and last known value of each column
+    ends = rows.groupBy(*_by(piece)).agg(F.count(F.lit(1)).alias("__size"))
+    for c in fills:
+        for side, rank in (("head", order), ("tail", back)):
             one = (rows.where(col(c).isNotNull())
                    .withColumn(_RANK, F.row_number().over(W.partitionBy(*_by(piece)).orderBy(*rank)))
                    .where(col(_RANK) == 1)
@@ -215,28 +258,53 @@ def fill(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequenc
             ends = _attach(ends, piece, one, [f"__{side}_{c}"])
     earlier = W.partitionBy(*_by(keys)).orderBy(_PIECE).rowsBetween(W.unboundedPreceding, -1)
     later = W.partitionBy(*_by(keys)).orderBy(F.col(_PIECE).desc()).rowsBetween(W.unboundedPreceding, -1)
-    carried = ends.select(*_by(piece), *[F.last(f"__tail_{c}", True).over(earlier).alias(f"__prev_{c}") for c in cols],
-                          *[F.last(f"__head_{c}", True).over(later).alias(f"__next_{c}") for c in cols])
-    local = rows.withColumns({f"__{side}_{c}": _last_known(c, W.partitionBy(*_by(piece)).orderBy(*o))
-                              for side, o in (("dn", forward), ("up", backward)) for c in cols})
-    joined = _attach(local, piece, carried, [f"__{side}_{c}" for side in ("prev", "next") for c in cols])
-    down = {c: F.coalesce(col(f"__dn_{c}"), col(f"__prev_{c}")) for c in cols}
-    up = {c: F.coalesce(col(f"__up_{c}"), col(f"__next_{c}")) for c in cols}
-    first, second = (up, down) if direction == "updown" else (down, up)
-    return joined.withColumns({c: F.coalesce(first[c], second[c]) for c in cols}).select(*_by(df.columns))
+    handed = {"__start": F.coalesce(F.sum("__size").over(earlier), F.lit(0)), "__all": F.sum("__size").over(W.partitionBy(*_by(keys)))}
+    for c in fills:
+        handed |= {f"__prev_{c}": F.last(f"__tail_{c}", True).over(earlier), f"__next_{c}": F.last(f"__head_{c}", True).over(later)}
+    carried = ends.select(*_by(piece), *[e.alias(name) for name, e in handed.items()])
+    forward, backward = (W.partitionBy(*_by(piece)).orderBy(*o) for o in (order, back))
+    local = {"__no": F.row_number().over(forward)} if number else {}
+    for c in fills:
+        local |= {f"__dn_{c}": _last_known(c, forward), f"__up_{c}": _last_known(c, backward)}
+    joined = _attach(rows.withColumns(local) if local else rows, piece, carried, list(handed))
+    new = {}
+    if number:
+        new[number] = (col("__no") + col("__start")).cast("int")
+    if size:
+        new[size] = col("__all")
+    for c in fills:
+        down, up = (F.coalesce(col(f"__{a}_{c}"), col(f"__{b}_{c}")) for a, b in (("dn", "prev"), ("up", "next")))
+        new[c] = F.coalesce(up, down) if direction == "updown" else F.coalesce(down, up)
+    return joined.withColumns(new)
 
 
-def _last_known(c: str, w) -> Column:
-    return F.last(col(c), True).over(w.rowsBetween(W.unboundedPreceding, 0))
+def dense_rank_nulls_out(df: DataFrame, keys: Sequence[str], by: Sequence[str], out: str,
+                         piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """Dense rank of ``by`` (most significant column first) within the key.
 
+    A row with NULL in any of ``by`` has no rank and takes no number. In a key with more than ``piece_rows`` rows only the
+    different values are numbered, and the numbers joined back.
+    """
+    known = F.lit(True)
+    for b in by:
+        known = known & col(b).isNotNull()
+    few, many, _ = _split(df, keys, piece_rows)
+    rank = F.dense_rank().over(W.partitionBy(*_by(keys), known).orderBy(*order_by(by)))
+    done = few.withColumn(out, F.when(known, rank))
+    if many is None:
+        return done
+    values = many.where(known).select(*_by(keys), *_by(by)).distinct()
+    ranks = sequence_no(values, keys, by, out, ties=[], piece_rows=piece_rows)
+    return done.unionByName(_attach(many, [*keys, *by], ranks, [out]).select(*_by(done.columns)))
 
-def _specs(df, keys, order, ties) -> list[tuple[str, bool]]:
-    used = set(keys) | {o.lstrip("-") for o in order}
-    rest = ties if ties is not None else [c for c, kind in df.dtypes if c not in used and "map<" not in kind]
-    return [(o.lstrip("-"), o.startswith("-")) for o in [*order, *rest]]
+
+def _last_known(c: str, w) -> Column:
+    return F.last(col(c), True).over(w.rowsBetween(W.unboundedPreceding, 0))
 
 
-def _flip(spec: tuple[str, bool]) -> Column:
-    """Exact reverse of the NULLs-last sort of the column."""
-    name, descending = spec
-    return col(name).asc_nulls_first() if descending else col(name).desc_nulls_first()
+def _reversed(df: DataFrame, keys: Sequence[str], order: Sequence[str], ties: Sequence[str] | None) -> list[Column]:
+    """Exact reverse of the total order of the same arguments; all of them names."""
+    out = []
+    for item in [*order, *_ties(df, keys, order, ties)]:
+        out.append(col(item[1:]).asc_nulls_first() if item.startswith("-") else col(item).desc_nulls_first())
+    return out

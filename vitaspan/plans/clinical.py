@@ -12,7 +12,7 @@ from vitaspan.functions.scalars import (CAPPED_AGE, UNKNOWN, bucket, capture, co
                                         to_number)
 from vitaspan.operators.frames import across, null_if_all_strings
 from vitaspan.operators.joins import join_ns, member_update, pair_lookup, tagged_union, tier_of, tiered_union_first
-from vitaspan.operators.ordered import (closest_per_key, fill, first_per_key, group_any, group_min, group_size,
+from vitaspan.operators.ordered import (closest_per_key, fill, first_per_key, group_any, group_min, scan,
                                         sequence_no, spread_flag, strongest_per_key)
 from vitaspan.operators.reshape import any_flag_by_sample, collect_ordered, concat_ordered, pivot_ordinal, pivot_wide
 from vitaspan.session import freeze
@@ -146,10 +146,8 @@ def diagnoses(table: DataFrame, key: str = KEY) -> DataFrame:
         "AgeAtDiagnosis": decode_age("AgeAtDiagnosis"),
         "ECOG": ecog("PerformStatusAtDiagnosis"), "Karnofsky": karnofsky("PerformStatusAtDiagnosis"),
         "iss_stage": staged_as("OtherStagingSystem", "OtherStagingValue")})
-    df = sequence_no(df, [key], ["AgeAtDiagnosis"], "diagnosis_sequence")
-    df = group_size(df, [key], "how_many_dx")
-    df = df.withColumn("has_subsequent_cancer", F.when(F.col("how_many_dx") > 1, F.lit("Yes")))
-    return fill(df, [key], ["diagnosis_sequence"], ["iss_stage"], "updown", ties=[])
+    df = scan(df, [key], ["AgeAtDiagnosis"], number="diagnosis_sequence", size="how_many_dx", fills=["iss_stage"])
+    return df.withColumn("has_subsequent_cancer", F.when(F.col("how_many_dx") > 1, F.lit("Yes")))
 
 
 def subsequent_diagnoses(table: DataFrame, key: str = KEY,
@@ -192,8 +190,8 @@ def target_timeline(decoded: DataFrame, key: str = KEY, target: str = "Multiple
         first: F.when(is_target & (F.col("__nth") == 1), F.col("AgeAtDiagnosis")),
         last: F.when(is_target & (F.col("__nth") <= 3), F.col("AgeAtDiagnosis")),
         before: F.when(col("Histology") == precursor, F.col("AgeAtDiagnosis"))}).drop("__nth")
-    df = spread_flag(df, [key], [f"had_{short}_at_anytime"])
-    df = fill(df, [key], ["diagnosis_sequence"], [first, last, before], "updown", ties=[])
+    # the flag has one value only, so filling spreads it
+    df = fill(df, [key], ["diagnosis_sequence"], [f"had_{short}_at_anytime", first, last, before], "updown", ties=[])
     had = F.col(f"had_{short}_at_anytime")
     is_patient = (F.when(F.col(last) >= F.col(before), "Yes").when(F.col(last) < F.col(before), f"{precursor_short} patient")
                   .when(had == "Yes", "Yes").otherwise("No"))

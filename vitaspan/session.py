@@ -10,7 +10,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of one file of a sorted frozen table; a file is what one task handles at once.
+#: Rows of a key that one task sorts; a key with more is cut into ranges of about that many rows.
 PIECE_ROWS = 1_000_000
 
 
@@ -77,39 +77,44 @@ def own_path(spark: SparkSession, prefix: str) -> str:
     return path
 
 
-def freeze(df: DataFrame) -> DataFrame:
+def freeze(df: DataFrame, **options) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and return a scan of it.
 
     Cuts lineage (a lost executor costs no recomputation of the input), lets several jobs read one
     result, and keeps column pruning and filter pushdown for those readers.
     """
     path = own_path(df.sparkSession, "frozen")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_WIDE = ("Join", "Aggregate", "Window", "Generate", "Sort", "Repartition", "Distinct", "Python", "Arrow", "Pandas", "Union")
+#: Plan nodes that do no more than read rows and compute columns of them.
+_NARROW = {"LogicalRelation", "Relation", "LocalRelation", "LogicalRDD", "Range", "Project", "Filter", "SubqueryAlias", "View"}
 
 
-def shared(df: DataFrame) -> DataFrame:
-    """``df`` for several readers: frozen if computing it takes more than a scan, whatever its size."""
-    plan = df._jdf.queryExecution().analyzed().toString()
-    return freeze(df) if any(w in plan for w in _WIDE) else df
+def _nodes(plan) -> Iterator[str]:
+    yield plan.nodeName()
+    children = plan.children()
+    for i in range(children.size()):
+        yield from _nodes(children.apply(i))
 
 
-def freeze_sorted(df: DataFrame, order: list, piece: str, piece_rows: int = PIECE_ROWS) -> DataFrame:
-    """``df`` in files of at most ``piece_rows`` rows that follow each other in ``order``; ``piece`` numbers the files.
+def shared(df: DataFrame, *cheap: str) -> DataFrame:
+    """``df`` for several readers: frozen if computing it takes more than a scan, whatever its size.
 
-    Frozen, because the range bounds come from a sample. The number of files follows the data.
+    ``cheap`` names further plan nodes that the readers do not mind.
     """
-    spark = df.sparkSession
-    path = own_path(spark, "sorted")
-    n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    df.repartitionByRange(n, *order).sortWithinPartitions(*order).write.option("maxRecordsPerFile", piece_rows).parquet(path)
-    name = F.col("_metadata.file_name")
-    number = F.regexp_extract(name, r"^part-(\d+)", 1).cast("long") * F.lit(1 << 32) + F.coalesce(
-        F.regexp_extract(name, r"-c(\d+)", 1).cast("long"), F.lit(0))
-    return spark.read.schema(df.schema).parquet(path).select("*", number.alias(piece))
+    known = _NARROW.union(cheap)
+    return df if all(n.split(" ")[0] in known for n in _nodes(df._jdf.queryExecution().analyzed())) else freeze(df)
+
+
+def freeze_ranges(df: DataFrame, order: list, piece: str, ranges: int) -> DataFrame:
+    """``df`` in ``ranges`` pieces that follow each other in ``order``; the column ``piece`` numbers them.
+
+    Frozen, because the bounds come from a sample. A piece is one file of one row group, which no scan splits.
+    """
+    placed = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    return freeze(placed.withColumn(piece, F.spark_partition_id()), **{"parquet.block.size": 1 << 30})
 
 
 def drop_frozen(spark: SparkSession) -> int:
