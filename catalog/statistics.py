@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import longs, query, rounded
-from vitaspan import (box_outliers, box_stats, by_frequency, cox, cox_models, cox_univariable, group_tests, header_counts,
+from vitaspan import (box_outliers, box_stats, by_frequency, cox, cox_models, cox_univariable, first_per_key, group_tests, header_counts,
                       histogram, kaplan_meier, level_counts, logrank, logrank_counts, median_survival, merge_tables,
                       null_if, quantiles, rank_sums, risk_table, summary_table)
 from vitaspan.operators.tables import chi_square
@@ -133,7 +133,7 @@ def logrank_three_groups(t):
 def _p(x: str, df: str) -> str:
     """Upper tail of the chi-square distribution, from the series of the incomplete gamma function."""
     a, h = f"({df}) / 2.0", f"({x}) / 2.0"
-    return (f"CASE WHEN ({x}) <= 0 THEN 1.0 ELSE greatest(0.0, 1 - list_sum(list_transform(range(0, 3000), lambda j: "
+    return (f"CASE WHEN ({x}) <= 0 THEN 1.0 WHEN ({x}) > 1500 THEN 0.0 ELSE greatest(0.0, 1 - list_sum(list_transform(range(0, 3000), lambda j: "
             f"exp(({a} + j) * ln({h}) - {h} - lgamma({a} + j + 1))))) END")
 
 
@@ -419,6 +419,33 @@ def chi_square_stat(t):
     return rounded(chi_square(_patients(t), ["c_mktsegment", "pri", "ever"], "g").drop("test", "p_value"))
 
 
+def _fisher(name: str, counts: str, levels: int, groups: int) -> str:
+    """Exact test in SQL: every table with the margins of ``counts`` (l, g0, g1, ...), if its flag ``low`` is set."""
+    free = [(i, j) for i in range(1, levels) for j in range(1, groups)]
+    source = f"{name}m"
+    for i, j in free:
+        source = f"(SELECT *, unnest(range(0, least(r{i}, c{j}) + 1)) AS x{i}_{j} FROM {source})"
+    cell = {(i, j): f"x{i}_{j}" for i, j in free}
+    for i in range(1, levels):
+        cell[i, groups] = f"(r{i} - " + " - ".join(f"x{i}_{j}" for j in range(1, groups)) + ")"
+    for j in range(1, groups):
+        cell[levels, j] = f"(c{j} - " + " - ".join(f"x{i}_{j}" for i in range(1, levels)) + ")"
+    cell[levels, groups] = f"(r{levels} - " + " - ".join(cell[levels, j] for j in range(1, groups)) + ")"
+    rows = ", ".join(f"coalesce(list_sum(m[{i}]), 0)::BIGINT AS r{i}" for i in range(1, levels + 1))
+    columns = ", ".join(f"list_sum([" + ", ".join(f"coalesce(m[{i}][{j}], 0)" for i in range(1, levels + 1)) + f"])::BIGINT AS c{j}" for j in range(1, groups + 1))
+    seen = " + ".join(f"lgamma(coalesce(m[{i}][{j}], 0) + 1)" for i in range(1, levels + 1) for j in range(1, groups + 1))
+    return f"""{name}l AS (SELECT list([{', '.join(f'g{j}' for j in range(groups))}] ORDER BY l) AS m, bool_or(low) AS low FROM {counts}),
+        {name}m AS (SELECT *, {rows}, {columns}, {seen} AS seen FROM {name}l WHERE low),
+        {name}t AS (SELECT seen, {' + '.join(f'lgamma({x} + 1)' for x in cell.values())} AS w FROM {source} WHERE {' AND '.join(f'{x} >= 0' for x in cell.values())}),
+        {name} AS (SELECT sum(exp(seen - w)) FILTER (w >= seen - 1e-7) / sum(exp(seen - w)) AS p FROM {name}t)"""
+
+
+def _two_groups(v: str) -> str:
+    return f"""(SELECT *, bool_or(least(r * c0, r * c1) / n < 5) OVER () AS low FROM (SELECT {v} AS l, count(*) FILTER (g = 'high') AS g0, count(*) FILTER (g = 'low') AS g1, count(*)
+        AS r, sum(count(*) FILTER (g = 'high')) OVER () AS c0, sum(count(*) FILTER (g = 'low')) OVER () AS c1, sum(count(*)) OVER () AS n FROM p WHERE g IS NOT NULL AND
+        {v} IS NOT NULL GROUP BY 1))"""
+
+
 def _ranks(v: str) -> str:
     return f"""SELECT '{v}' AS variable, g, rank() OVER (ORDER BY {v}) + (count(*) OVER (PARTITION BY {v}) - 1) / 2 AS mid, count(*) OVER (PARTITION BY {v}) AS c FROM p
         WHERE {v} IS NOT NULL AND g IS NOT NULL"""
@@ -444,15 +471,39 @@ def kruskal_stat(t):
 _CHI_ROWS = " UNION ALL ".join(f"SELECT '{v}' AS variable, x, df, low FROM {_chi(v)}" for v in ("c_mktsegment", "pri", "ever"))
 
 
+_LEVELS = {"c_mktsegment": 5, "pri": 5, "ever": 2}
+
+
 @query(f"""{_RANKED}, z AS (SELECT variable, r0 - m0 * (m0 + 1) / 2 AS u, (abs(r0 - m0 * (m0 + 1) / 2 - m0 * m1 / 2) - 0.5) / sqrt(m0 * m1 / 12 * (n + 1 - ties /
-        (n * (n - 1)))) AS z FROM s), c AS ({_CHI_ROWS}), t AS (SELECT variable, 'chi-square' AS test, x AS statistic, df::INT AS df, {_p('x', 'df')} AS p, low AS
-        low_expected FROM c UNION ALL SELECT variable, 'wilcoxon', u, NULL, {_p('z * z', '1')}, false FROM z)
+        (n * (n - 1)))) AS z FROM s), c AS ({_CHI_ROWS}), {', '.join(_fisher(f'f_{v}', _two_groups(v), n, 2) for v, n in _LEVELS.items())},
+    e AS ({' UNION ALL '.join(f"SELECT '{v}' AS variable, p AS exact FROM f_{v}" for v in _LEVELS)}),
+    t AS (SELECT variable, CASE WHEN low THEN 'fisher' ELSE 'chi-square' END AS test, x AS statistic, df::INT AS df, coalesce(exact, {_p('x', 'df')}) AS p, low AS
+        low_expected FROM c JOIN e USING (variable) UNION ALL SELECT variable, 'wilcoxon', u, NULL, {_p('z * z', '1')}, false FROM z)
     SELECT variable, test, round(statistic, 6) AS statistic, df, round(p, 6) AS p_value, low_expected, p < 0.05 AS significant FROM t""")
 def group_difference_tests(t):
     """Chosen test, p-value and significance per variable."""
     return rounded(group_tests(_patients(t), ["c_mktsegment", "pri", "ever", "n_orders", "balance"], "g"))
 
 
+_RICHEST = """best AS (SELECT c_nationkey, arg_max(c_mktsegment, [c_acctbal, -c_custkey]) AS seg FROM customer GROUP BY 1),
+    p AS (SELECT CASE WHEN seg IN ('AUTOMOBILE', 'BUILDING') THEN 'a' WHEN seg = 'FURNITURE' THEN 'b' ELSE 'c' END AS kind, CASE WHEN r_name IN ('AFRICA', 'MIDDLE EAST')
+        THEN 'south' WHEN r_name = 'AMERICA' THEN 'west' ELSE 'east' END AS area FROM best JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey),
+    cells AS (SELECT *, true AS low FROM (SELECT kind AS l, count(*) FILTER (area = 'east') AS g0, count(*) FILTER (area = 'south') AS g1, count(*) FILTER (area = 'west') AS g2
+        FROM p GROUP BY 1))"""
+
+
+@query(f"""WITH {_RICHEST}, {_fisher('f', 'cells', 3, 3)}, x AS (SELECT sum((n - e) ^ 2 / e) AS x, bool_or(e < 5) AS low FROM (SELECT n, sum(n) OVER (PARTITION BY l) *
+        sum(n) OVER (PARTITION BY g) / sum(n) OVER () AS e FROM (SELECT l, unnest([0, 1, 2]) AS g, unnest([g0, g1, g2]) AS n FROM cells)))
+    SELECT 'kind' AS variable, 'fisher' AS test, round(x, 6) AS statistic, 4 AS df, round(p, 6) AS p_value, low AS low_expected FROM f, x""")
+def exact_test_of_three_groups(t):
+    """The richest customer of every nation: kind of business by area, a 3x3 table with low counts at every scale."""
+    best = first_per_key(t.customer.select("c_nationkey", "c_mktsegment", "c_acctbal", "c_custkey"), ["c_nationkey"], ["-c_acctbal", "c_custkey"], ties=[])
+    places = best.join(t.nation, F.col("n_nationkey") == F.col("c_nationkey")).join(t.region, F.col("r_regionkey") == F.col("n_regionkey"))
+    kind = F.when(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING"), "a").when(F.col("c_mktsegment") == "FURNITURE", "b").otherwise("c")
+    area = F.when(F.col("r_name").isin("AFRICA", "MIDDLE EAST"), "south").when(F.col("r_name") == "AMERICA", "west").otherwise("east")
+    return rounded(chi_square(places.select(kind.alias("kind"), area.alias("area")), ["kind"], "area"))
+
+
 _SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
 

@@ -2,12 +2,13 @@
 
 import itertools
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from vitaspan import by_frequency, group_tests, header_counts, histogram, merge_tables, summary_table
-from vitaspan.functions.pvalues import chi_square_tail, fisher_two_by_two, rank_sum_exact
+from vitaspan.functions.pvalues import chi_square_tail, fisher_exact, fisher_two_by_two, rank_sum_exact
 
 
 def test_chi_square_tail():
@@ -40,6 +41,41 @@ def patients(spark):
     return spark.createDataFrame(data, "g string, ever string, age double")
 
 
+def all_tables(rows, columns):
+    """Every table with the given margins."""
+    if len(columns) == 1:
+        yield [[r] for r in rows]
+        return
+    for first in itertools.product(*[range(min(r, columns[0]) + 1) for r in rows]):
+        if sum(first) == columns[0]:
+            for rest in all_tables([r - x for r, x in zip(rows, first)], columns[1:]):
+                yield [[x, *more] for x, more in zip(first, rest)]
+
+
+@pytest.mark.parametrize("shape, n", [((2, 3), 14), ((3, 2), 20), ((3, 3), 12), ((4, 3), 11), ((2, 5), 15), ((3, 4), 9)])
+def test_fisher_of_any_shape_against_all_tables(shape, n):
+    r = random.Random(n)
+    for _ in range(4):
+        cells = [[0] * shape[1] for _ in range(shape[0])]
+        for _ in range(n):
+            cells[r.randrange(shape[0])][r.choice([0, *range(shape[1])])] += 1
+        rows, columns = [sum(x) for x in cells], [sum(x) for x in zip(*cells)]
+        weight = lambda t: math.prod(1 / math.factorial(x) for row in t for x in row)
+        weights = [weight(t) for t in all_tables(rows, columns)]
+        want = sum(w for w in weights if w <= weight(cells) * (1 + 1e-7)) / sum(weights)
+        assert fisher_exact(cells) == pytest.approx(want, rel=1e-9)
+        assert fisher_exact([list(x) for x in zip(*cells)]) == pytest.approx(want, rel=1e-9)
+
+
+def test_fisher_published_values():
+    """The job satisfaction table of the R manual (p = 0.7827), a table without variation, and one too large for the walk."""
+    assert fisher_exact([[1, 2, 1, 0], [3, 3, 6, 1], [10, 10, 14, 9], [6, 7, 12, 11]]) == pytest.approx(0.7827, abs=5e-5)
+    assert fisher_exact([[4, 0, 0], [0, 0, 0], [0, 0, 5]]) == pytest.approx(1 / 126)
+    assert fisher_exact([[3, 4, 5]]) == 1.0 and fisher_exact([]) == 1.0
+    assert fisher_exact([[900, 800, 700, 3]] * 40) is None
+    assert fisher_exact([[2_000_000, 1], [3_000_000, 2], [1, 3]]) == pytest.approx(0, abs=1e-6)
+
+
 def test_summary(patients):
     got = {(r.variable, r.level, r.group, r.stat): r.value for r in summary_table(patients, ["ever", "age"], by="g", overall=True).collect()}
     assert got["ever", "Yes", "t", "n"] == 1 and got["ever", "Yes", "t", "p"] == 50 and got["ever", None, "t", "missing"] == 1

@@ -56,6 +56,97 @@ def fisher_two_by_two(a: int, b: int, c: int, d: int) -> float:
     return float(min(1.0, weight[weight <= seen * (1 + 1e-7)].sum() / weight.sum()))
 
 
+#: Largest number whose log-factorials are tabulated.
+_TABULATED = 1_000_000
+
+
+def _log_factorial(n: int):
+    """Log-factorial of numbers up to ``n``."""
+    if n > _TABULATED:
+        each = np.frompyfunc(lambda x: math.lgamma(x + 1), 1, 1)
+        return lambda x: np.asarray(each(x), dtype=np.float64)
+    table = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, n + 1)))])
+    return lambda x: table[x]
+
+
+def _splits(total: int, room: tuple[int, ...], most: int) -> np.ndarray | None:
+    """All ways to deal ``total`` over cells that hold at most ``room``, one per row; None if they are more than ``most``."""
+    dealt = np.zeros((1, 0), dtype=np.int64)
+    left = np.array([total])
+    behind = sum(room)
+    for r in room:
+        behind -= r
+        low, high = np.maximum(0, left - behind), np.minimum(r, left)
+        n = high - low + 1
+        if n.sum() > most:
+            return None
+        at = np.repeat(np.arange(len(left)), n)
+        x = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + low[at]
+        dealt, left = np.column_stack([dealt[at], x]), left[at] - x
+    return dealt
+
+
+def fisher_exact(table: list[list[int]], most: int = 50_000_000) -> float | None:
+    """Two-sided exact test of a table of any shape: total probability of the tables with its margins that are no likelier.
+
+    The tables are walked column by column. A stage's nodes are what is left of the row margins, in order of size, as rows can
+    change places; a node keeps the different products of the paths that lead to it, with the number of those paths. A
+    path leaves the walk as soon as its best completion is unlikely enough (then all its completions count, and their sum is
+    known) or its worst one is too likely. NULL when a stage has more than ``most`` products; the walk has no end then.
+    """
+    cells = np.array([r for r in table if sum(r)], dtype=np.int64)
+    cells = cells[:, cells.sum(axis=0) > 0] if len(cells) else cells.reshape(0, 0)
+    if min(cells.shape) < 2:
+        return 1.0
+    if cells.shape[0] > cells.shape[1]:
+        cells = cells.T
+    if cells.shape == (2, 2):
+        return fisher_two_by_two(*cells.ravel().tolist())
+    cells = cells[:, np.argsort(-cells.sum(axis=0), kind="stable")]
+    rows, columns = cells.sum(axis=1), cells.sum(axis=0).tolist()
+    log = _log_factorial(int(cells.sum()))
+    even = lambda n, k: -(n % k) * float(log(n // k + 1 if n % k else 0)) - (k - n % k) * float(log(n // k))
+    total = float(log(int(cells.sum())))
+    given = -log(cells).sum() + max(1e-7, 1e-14 * total)
+    scale = log(rows).sum() + log(np.array(columns)).sum() - total
+    nodes = {tuple(sorted(rows.tolist())): (np.zeros(1), np.ones(1))}
+    chance, work = 0.0, 0
+    for j, column in enumerate(columns):
+        rest = columns[j + 1:]
+        ahead: dict[tuple[int, ...], list[tuple[np.ndarray, np.ndarray]]] = {}
+        for room, (values, paths) in nodes.items():
+            dealt = _splits(column, room, most // 10)
+            if dealt is None:
+                return None
+            left = np.sort(np.array(room) - dealt, axis=1)
+            steps = -log(dealt).sum(axis=1)
+            # ways with the same step to the same node are taken together
+            kinds, which, ways = np.unique(np.column_stack([left, np.round(steps * 1e9).astype(np.int64)]), axis=0, return_index=True, return_counts=True)
+            # a row of the table of steps costs about as much as a hundred products
+            work += len(kinds) * (100 + len(values)) + len(dealt)
+            if work > most:
+                return None
+            for kind, at, n in zip(kinds[:, :-1].tolist(), which.tolist(), ways.tolist()):
+                ahead.setdefault(tuple(kind), []).append((values + steps[at], paths * n))
+        nodes = {}
+        for room, parts in ahead.items():
+            values, paths = (np.concatenate(x) for x in zip(*parts))
+            key, at, back = np.unique(np.round(values * 1e9).astype(np.int64), return_index=True, return_inverse=True)
+            values, paths = values[at], np.bincount(back, paths)
+            every = best = worst = 0.0
+            if rest:
+                by_row, by_column = log(np.array(room)).sum(), log(np.array(rest)).sum()
+                every = float(log(sum(room))) - by_row - by_column
+                best = min(sum(even(c, len(room)) for c in rest), sum(even(r, len(rest)) for r in room))
+                worst = max(-by_row, -by_column)
+            done = values + best <= given
+            chance += float((paths[done] * np.exp(values[done] + every + scale)).sum())
+            open_ = ~done & (values + worst <= given)
+            if open_.any():
+                nodes[room] = values[open_], paths[open_]
+    return min(1.0, chance)
+
+
 def rank_sum_exact(u: float, m: int, n: int) -> float:
     """Two-sided exact tail of the two-sample rank statistic ``U`` without ties."""
     ways = np.zeros(m * n + 1)
@@ -83,9 +174,8 @@ def _chi(x: pd.Series, df: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(DoubleType())
-def _fisher(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
-    return pd.Series([None if any(pd.isna(v) for v in t) else fisher_two_by_two(*(int(v) for v in t))
-                      for t in zip(a, b, c, d)], dtype="float64")
+def _fisher(tables: pd.Series) -> pd.Series:
+    return pd.Series([None if t is None else fisher_exact([list(map(int, r)) for r in t]) for t in tables], dtype="float64")
 
 
 @F.pandas_udf(DoubleType())
@@ -103,8 +193,9 @@ def chi_square_p(x: Column, df: Column) -> Column:
     return _chi(x.cast("double"), df.cast("int"))
 
 
-def fisher_p(a: Column, b: Column, c: Column, d: Column) -> Column:
-    return _fisher(*(v.cast("long") for v in (a, b, c, d)))
+def fisher_p(table: Column) -> Column:
+    """Exact p-value of a table given as an array of rows; NULL for no table, or one too large for the exact test."""
+    return _fisher(table)
 
 
 def normal_p(z: Column) -> Column:

@@ -19,6 +19,8 @@ from vitaspan.operators.scan import quantiles, quantiles_of_counts, running
 from vitaspan.operators.survival import level_list
 
 OVERALL = "Overall"
+#: Levels up to which a table is put together for the exact test.
+FISHER_LEVELS = 50
 QUARTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75}
 _NUMERIC = ("double", "float", "int", "bigint", "smallint", "tinyint")
 
@@ -184,8 +186,8 @@ def merge_tables(tables: Mapping[str, DataFrame], on: Sequence[str]) -> DataFram
 def chi_square(df: DataFrame, variables: Sequence[str], by: str, groups: Sequence[str] | None = None) -> DataFrame:
     """Pearson's test of independence between each variable and the group, without continuity correction.
 
-    With an expected count below 5, a 2x2 table gets Fisher's exact test; a larger one keeps the chi-square
-    value and is marked ``low_expected``.
+    A table with an expected count below 5 (``low_expected``) gets Fisher's exact test, whatever its shape. It keeps the
+    chi-square value only if it has more than ``FISHER_LEVELS`` levels or too many tables share its margins.
     """
     names = _groups(df, by, groups)
     k = len(names)
@@ -195,21 +197,19 @@ def chi_square(df: DataFrame, variables: Sequence[str], by: str, groups: Sequenc
     expected = [F.col("__row") * F.col(f"t{i}") / F.col("__all") for i in range(k)]
     share = [F.when(F.col(f"t{i}") > 0, (F.col(f"g{i}") - expected[i]) ** 2 / expected[i]).otherwise(0.0) for i in range(k)]
     low = reduce(lambda a, b: a | b, [(F.col(f"t{i}") > 0) & (expected[i] < 5) for i in range(k)])
-    pair = F.struct(*[F.col(f"g{i}") for i in range(k)])
     tested = rows.groupBy("variable").agg(
         F.sum(reduce(lambda a, b: a + b, share)).alias("statistic"),
         F.bool_or(low).alias("low_expected"), F.count(F.lit(1)).alias("__levels"),
-        *[F.first(f"t{i}").alias(f"t{i}") for i in range(k)],
-        F.min_by(pair, "level").alias("__one"), F.max_by(pair, "level").alias("__two"))
+        *[F.first(f"t{i}").alias(f"t{i}") for i in range(k)])
     live = reduce(lambda a, b: a + b, [F.when(F.col(f"t{i}") > 0, 1).otherwise(0) for i in range(k)])
     tested = tested.withColumn("df", ((F.col("__levels") - 1) * (live - 1)).cast("int"))
-    if k == 2:
-        exact = F.col("low_expected") & (F.col("__levels") == 2)
-        fisher = fisher_p(*[F.when(exact, F.col(f"{row}.g{i}")) for row in ("__one", "__two") for i in range(2)])
-    else:
-        exact, fisher = F.lit(False), F.lit(None).cast("double")
+    few = tested.where(F.col("low_expected") & (F.col("__levels") <= FISHER_LEVELS)).select("variable")
+    tables = cells.join(few, "variable", "left_semi").groupBy("variable").agg(
+        F.collect_list(F.array(*[F.col(f"g{i}").cast("long") for i in range(k)])).alias("__table"))
+    fisher = tables.select("variable", fisher_p(F.col("__table")).alias("__fisher"))
+    exact = F.col("__fisher").isNotNull()
     plain = chi_square_p(F.col("statistic"), F.col("df"))
-    return tested.withColumns({"__fisher": fisher, "__plain": plain}).select(
+    return tested.withColumn("__plain", plain).join(fisher, "variable", "left").select(
         "variable", F.when(exact, "fisher").otherwise("chi-square").alias("test"), "statistic", "df",
         F.when(exact, F.col("__fisher")).otherwise(F.col("__plain")).alias("p_value"), "low_expected")
 
