@@ -1,5 +1,6 @@
 """Operators on hot keys, cut into small pieces, give the same results as plain windows."""
 
+import itertools
 import random
 
 import pytest
@@ -9,7 +10,6 @@ from pyspark.sql import functions as F
 from vitaspan import session
 from vitaspan import (closest_per_key, dense_rank_nulls_out, fill, group_any, group_first, group_size, group_values, quantiles,
                       running, scan, sequence_no, spread_flag, top_per_key)
-from vitaspan.operators.scan import value_bucket
 
 
 @pytest.fixture(scope="module")
@@ -135,20 +135,28 @@ def test_running_totals(spark, rows):
     r = random.Random(5)
     data = {(k, r.choice([r.uniform(-5, 5), r.uniform(0, 1e6), float(r.randrange(40))])) for k in ("a", "b") for _ in range(300)}
     df = spark.createDataFrame([(k, t, r.randrange(5), r.uniform(.9, 1)) for k, t in data], "k string, t double, n int, p double")
-    for reverse in (False, True):
+    for reverse, piece_rows in itertools.product((False, True), (40, 10_000)):
         w = w_k().orderBy(F.desc("t") if reverse else "t").rowsBetween(Window.unboundedPreceding, 0)
-        got = running(df, ["k"], "t", {"s": F.col("n")}, {"q": F.col("p")}, reverse).select("k", "t", "s", F.round("q", 9))
-        assert rows(got) == rows(df.select("k", "t", F.sum("n").over(w), F.round(F.product("p").over(w), 9)))
-    one = df.where("k = 'a'")
-    w = Window.orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-    assert rows(running(one, [], "t", {"s": F.col("n")}).select("t", "s")) == rows(one.select("t", F.sum("n").over(w)))
-
-
-def test_buckets_never_decrease(spark):
-    values = sorted({s * (2.0 ** e) * f for s in (-1, 1) for e in range(-14, 40) for f in (1, 1.0000001, 1.3, 1.9999999)} | {0.0})
-    got = [r[0] for r in spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").orderBy("i")
-           .select(value_bucket("v")).collect()]
-    assert got == sorted(got)
+        got = running(df, ["k"], "t", {"s": F.col("n")}, {"q": F.col("p")}, reverse, {"all": F.col("n")}, piece_rows)
+        want = df.select("k", "t", F.sum("n").over(w), F.round(F.product("p").over(w), 9), F.sum("n").over(w_k()))
+        assert rows(got.select("k", "t", "s", F.round("q", 9), "all")) == rows(want)
+        w = Window.orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+        one = df.where("k = 'a'")
+        assert rows(running(one, [], "t", {"s": F.col("n")}, piece_rows=piece_rows).select("t", "s")) == rows(one.select("t", F.sum("n").over(w)))
+
+
+@pytest.mark.parametrize("low, width", [(1.0, 1.0), (0.0, 2.0 ** -10)], ids=["one-doubling", "near-zero"])
+def test_ranges_of_values_follow_the_data(spark, low, width):
+    """Ten million different values close together: ranges of about a million each, whatever the values are."""
+    n = 10_000_001
+    df = spark.range(n).select((F.lit(low) + F.col("id") * F.lit(width / n)).alias("v"))
+    with session.owning() as owner:
+        got = quantiles(df, [], "v", {"p10": 0.1, "half": 0.5, "top": 1.0}).head()
+        sorted_tables = [d for d in map(spark.read.parquet, owner.paths) if "__piece" in d.columns]
+        sizes = [r["count"] for r in sorted_tables[0].groupBy("__piece").count().collect()]
+        owner.drop(spark)
+    assert list(got) == pytest.approx([low + p * (n - 1) * width / n for p in (0.1, 0.5, 1.0)], rel=1e-12)
+    assert len(sorted_tables) == 1 and 9 <= len(sizes) <= 12 and max(sizes) < 2_000_000
 
 
 def test_quantiles_with_null_key(spark, rows):

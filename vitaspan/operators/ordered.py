@@ -181,7 +181,10 @@ def _split(df: DataFrame, keys: Sequence[str], most: int) -> tuple[DataFrame, Da
     n = large.agg(F.sum("__rows")).first()[0]
     if n is None:
         return df, None, 0
-    df, large = shared(df), freeze(large.drop("__rows"))
+    df = shared(df)
+    if not keys:
+        return df.where(F.lit(False)), df, n
+    large = freeze(large.drop("__rows"))
     test = _same_key(df, large, keys)
     return df.join(large, test, "left_anti"), df.join(large, test, "left_semi"), n
 

@@ -1,8 +1,8 @@
 """Running totals and exact quantiles over collapsed ``(key, value)`` counts.
 
-Values fall into buckets that depend on nothing but the value itself, each bucket is scanned on its own, and
-the totals of the earlier buckets (a few thousand rows per key at most) are added. That is lazy and
-deterministic, and the same at every size.
+The values of a key are run through in one task. A key with too many different values for that, found by a count, is cut
+into ranges of its values that hold about as many each (by a sample of the values themselves), every range is run
+through on its own, and the totals of the earlier ranges, one row per key and range, are added.
 """
 
 from __future__ import annotations
@@ -14,65 +14,52 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vitaspan.functions.scalars import col
-from vitaspan.operators.ordered import _attach
-
-_BUCKET = "__bucket"
-_PER_OCTAVE = 256
-_FLOOR_EXPONENT = -10
-
-
-def value_bucket(value: str | Column) -> Column:
-    """Bucket number that never decreases with the value: 256 buckets per doubling, both signs."""
-    x = col(value).cast("double")
-    size = F.abs(x)
-    exponent = F.floor(F.log2(size)).cast("double")
-    place = F.floor(_PER_OCTAVE * (exponent + size / F.pow(F.lit(2.0), exponent) - 1 - _FLOOR_EXPONENT)) + 1
-    return (F.signum(x) * F.when(size < 2.0 ** _FLOOR_EXPONENT, F.lit(0)).otherwise(place)).cast("long")
+from vitaspan.operators.ordered import _PIECE, _attach, _by, _pieces, _split
+from vitaspan.session import PIECE_ROWS
 
 
 def running(df: DataFrame, keys: Sequence[str], by: str, sums: Mapping[str, Column] | None = None,
-            products: Mapping[str, Column] | None = None, reverse: bool = False,
-            nullable_keys: bool = False) -> DataFrame:
+            products: Mapping[str, Column] | None = None, reverse: bool = False, totals: Mapping[str, Column] | None = None,
+            piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Add inclusive running sums and products over ``by`` within ``keys``; ``reverse`` runs downwards.
 
-    ``(keys, by)`` is unique in ``df``. ``nullable_keys`` lets NULL keys form a group.
+    ``(keys, by)`` is unique in ``df``; NULL keys form a group. ``totals`` adds sums over the whole key.
     """
-    sums, products = dict(sums or {}), dict(products or {})
+    sums, products, totals = dict(sums or {}), dict(products or {}), dict(totals or {})
     parts = {**{n: (F.sum, e) for n, e in sums.items()}, **{n: (F.product, e) for n, e in products.items()}}
-    base = df.withColumn(_BUCKET, value_bucket(by))
-    group = [*keys, _BUCKET]
-    cols = [col(k) for k in keys]
-
-    totals = base.groupBy(*[col(k) for k in group]).agg(*[f(e).alias(f"__t_{n}") for n, (f, e) in parts.items()])
-    bucket_order = F.col(_BUCKET).desc() if reverse else F.col(_BUCKET).asc()
-    before = W.partitionBy(*(cols or [F.lit(0)])).orderBy(bucket_order).rowsBetween(W.unboundedPreceding, -1)
-    carried = [f"__c_{n}" for n in parts]
-    carry = totals.select(*[col(k) for k in group],
-                          *[f(f"__t_{n}").over(before).alias(f"__c_{n}") for n, (f, _) in parts.items()])
-
-    inner_order = col(by).desc() if reverse else col(by).asc()
-    inside = W.partitionBy(*[col(k) for k in group]).orderBy(inner_order).rowsBetween(W.unboundedPreceding, 0)
-    local = base.withColumns({f"__w_{n}": f(e).over(inside) for n, (f, e) in parts.items()})
-    both = _attach(local, group, carry, carried) if nullable_keys else local.join(carry, group, "left")
-    done = {n: F.col(f"__w_{n}") + F.coalesce(F.col(f"__c_{n}"), F.lit(0)) for n in sums}
-    done |= {n: F.col(f"__w_{n}") * F.coalesce(F.col(f"__c_{n}"), F.lit(1.0)) for n in products}
-    kept = [col(c) for c in df.columns if c not in done]
-    return both.select(*kept, *[e.alias(n) for n, e in done.items()])
-
-
-def quantiles_of_counts(counts: DataFrame, keys: Sequence[str], value: str, n: str,
-                        probs: Mapping[str, float], nullable_keys: bool = False) -> DataFrame:
+    order = [col(by).desc() if reverse else col(by).asc()]
+    few, many, n_rows = _split(df, keys, piece_rows)
+    kept = [c for c in df.columns if c not in parts and c not in totals]
+    group = W.partitionBy(*_by(keys))
+    upto = group.orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    done = few.select(*_by(kept), *[f(e).over(upto).alias(n) for n, (f, e) in parts.items()],
+                      *[F.sum(e).over(group).alias(n) for n, e in totals.items()])
+    if many is None:
+        return done
+    pieces = _pieces(many, keys, order, n_rows, piece_rows)
+    piece = [*keys, _PIECE]
+    ends = pieces.groupBy(*_by(piece)).agg(*[f(e).alias(f"__t_{n}") for n, (f, e) in parts.items()],
+                                           *[F.sum(e).alias(f"__a_{n}") for n, e in totals.items()])
+    before = group.orderBy(_PIECE).rowsBetween(W.unboundedPreceding, -1)
+    handed = {f"__c_{n}": f(f"__t_{n}").over(before) for n, (f, _) in parts.items()}
+    handed |= {n: F.sum(f"__a_{n}").over(group) for n in totals}
+    carry = ends.select(*_by(piece), *[e.alias(n) for n, e in handed.items()])
+    inside = W.partitionBy(*_by(piece)).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    local = pieces.select(*_by([*kept, _PIECE]), *[f(e).over(inside).alias(f"__w_{n}") for n, (f, e) in parts.items()])
+    both = _attach(local, piece, carry, list(handed))
+    whole = {n: F.col(f"__w_{n}") + F.coalesce(F.col(f"__c_{n}"), F.lit(0)) for n in sums}
+    whole |= {n: F.col(f"__w_{n}") * F.coalesce(F.col(f"__c_{n}"), F.lit(1.0)) for n in products}
+    return done.unionByName(both.select(*_by(kept), *[e.alias(n) for n, e in whole.items()], *_by(list(totals))))
+
+
+def quantiles_of_counts(counts: DataFrame, keys: Sequence[str], value: str, n: str, probs: Mapping[str, float],
+                        piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Exact quantiles (linear interpolation between order statistics) of values with multiplicities.
 
-    ``counts`` has one row per (keys, value); values are not NULL. The result also has ``__n``, the number
-    of values per key.
+    ``counts`` has one row per (keys, value); values are not NULL, NULL keys form a group. The result also has ``__n``, the
+    number of values per key.
     """
-    placed = running(counts, keys, value, {"__hi": col(n)}, nullable_keys=nullable_keys)
-    totals = counts.groupBy(*[col(k) for k in keys]).agg(F.sum(col(n)).alias("__n"))
-    if not keys:
-        placed, totals = placed.withColumn("__one", F.lit(1)), totals.withColumn("__one", F.lit(1))
-    on = list(keys) or ["__one"]
-    rows = _attach(placed, on, totals, ["__n"]) if nullable_keys else placed.join(totals, on, "left")
+    rows = running(counts, keys, value, {"__hi": col(n)}, totals={"__n": col(n)}, piece_rows=piece_rows)
     low = F.col("__hi") - col(n)
     picks = [F.max("__n").alias("__n")]
     for name, p in probs.items():
@@ -80,17 +67,18 @@ def quantiles_of_counts(counts: DataFrame, keys: Sequence[str], value: str, n: s
         for side, place in (("a", F.floor(at)), ("b", F.ceil(at))):
             here = (low <= place) & (place < F.col("__hi"))
             picks.append(F.max(F.when(here, col(value))).alias(f"__{side}_{name}"))
-    found = rows.groupBy(*[col(k) for k in keys]).agg(*picks)
+    found = rows.groupBy(*_by(keys)).agg(*picks)
     out = []
     for name, p in probs.items():
         at = (F.col("__n") - 1) * F.lit(float(p))
         a, b = F.col(f"__a_{name}"), F.col(f"__b_{name}")
         out.append((a + (at - F.floor(at)) * (b - a)).alias(name))
-    return found.select(*[col(k) for k in keys], "__n", *out)
+    return found.select(*_by(keys), "__n", *out)
 
 
-def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float]) -> DataFrame:
+def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float],
+              piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Exact quantiles of a column per key; NULL values are left out, NULL keys form a group."""
     counts = (df.where(col(value).isNotNull()).groupBy(*[col(k) for k in keys], col(value).cast("double").alias("__v"))
               .agg(F.count(F.lit(1)).alias("__m")))
-    return quantiles_of_counts(counts, keys, "__v", "__m", probs, nullable_keys=True).drop("__n")
+    return quantiles_of_counts(counts, keys, "__v", "__m", probs, piece_rows).drop("__n")

@@ -297,7 +297,7 @@ def box_stats(df: DataFrame, name: str, by: Sequence[str]) -> DataFrame:
     keys = [col(b) for b in by]
     counts = df.where(col(name).isNotNull()).groupBy(*keys, col(name).cast("double").alias("__v")).agg(
         F.count(F.lit(1)).alias("__m"))
-    q = quantiles_of_counts(counts, by, "__v", "__m", QUARTILES, nullable_keys=True).withColumnRenamed("__n", "n")
+    q = quantiles_of_counts(counts, by, "__v", "__m", QUARTILES).withColumnRenamed("__n", "n")
     near = _fenced(counts, q, by)
     v, inside = F.col("__v"), F.col("__inside")
     ends = near.groupBy(*keys).agg(F.min(F.when(inside, v)).alias("whisker_low"), F.max(F.when(inside, v)).alias("whisker_high"),
