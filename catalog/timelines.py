@@ -92,7 +92,7 @@ _MED_NUMBERED = """numbered AS (SELECT *, row_number() OVER (PARTITION BY patien
 
 def _long_again(wide, ids: list[str], names: list[str]):
     """The filled cells of an uncapped wide table, one row per ordinal: its width follows the data, its check does not."""
-    width = sum(c.startswith(f"{names[0]}_") for c in wide.columns)
+    width = sum(c.startswith(f"{names[0]}_") and c.removeprefix(f"{names[0]}_").isdigit() for c in wide.columns)
     cells = [F.struct(F.lit(i).alias("n"), *[F.col(f"{v}_{i}").alias(v) for v in names]) for i in range(1, width + 1)]
     return wide.select(*ids, F.explode(F.array(*cells)).alias("c")).select(*ids, "c.*").where(
         " OR ".join(f"{v} IS NOT NULL" for v in names))

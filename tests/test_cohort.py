@@ -1,9 +1,12 @@
 """Registry decisions, joins, sources and whole pipelines on small hand-made tables."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from vitaspan import assemble, assert_unique, first_of, join_ns, last_contact, pair_lookup, read_family, semi_by_list, write_table
+from vitaspan import (assemble, assert_unique, first_of, join_ns, last_contact, pair_lookup, pivot_blocks, pivot_ordinal, read_family,
+                      semi_by_list, write_table)
 from vitaspan.plans import clinical as c
 from vitaspan.plans import timeline as t
 from vitaspan.plans.endpoints import (metastasis_free_survival, overall_survival, progression_free_survival, set_unit, stack_cohorts)
@@ -161,3 +164,39 @@ def test_file_family(spark, tmp_path, rows):
     got = read_family(spark, f"{tmp_path}/*_V4.csv", r"(People|Flat)_V4\.csv", {"Flat": "name string, v string"})
     assert list(got) == ["Flat"] and rows(got["Flat"]) == [("q", None), ("r", "2")]
     assert write_table(df, f"{tmp_path}/out.csv", "csv", run_date="2024-01-02", columns=["v"]).endswith("out_2024-01-02.csv")
+
+
+def test_substrings_of_long_keys(spark, rows):
+    """Keys of 10,000 characters against listed ones of 50 lengths, many with one head, some with marks of patterns in them."""
+    r = random.Random(4)
+    text = lambda n: "".join(r.choice("abé漢.*") for _ in range(n))
+    long = [text(10_000) for _ in range(4)]
+    listed = [long[0][i * 150:i * 150 + i + 1] + ("" if i % 2 else "!") for i in range(50)] + ["", None, "SAMEHEADSAMEHEAD" + "x" * 30, "q"]
+    listed += ["SAMEHEADSAMEHEAD" + str(i) for i in range(200)]
+    have = long + ["SAMEHEADSAMEHEAD" + "x" * 29, "..SAMEHEADSAMEHEAD77", "SAMEHEADSAMEHEA", "", None, "xqx"]
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(have)], "i int, k string")
+    keys = spark.createDataFrame([(x,) for x in listed], "w string")
+    want = [i for i, h in enumerate(have) if h is not None and any(w and w in h for w in listed)]
+    assert [x[0] for x in rows(semi_by_list(df, "k", keys, "w", "substring").select("i"))] == want and {0, 5, 9} <= set(want)
+
+
+def test_wide_tables_of_a_key_with_many_records(spark):
+    df = spark.range(10_400).select(F.when(F.col("id") < 10_000, "long").otherwise(F.concat(F.lit("k"), (F.col("id") % 40).cast("string"))).alias("k"),
+                                    (F.col("id") * 7919 % 10_400).cast("int").alias("t"), F.col("id").cast("string").alias("v"))
+    wide = pivot_ordinal(df, ["k"], "k", ["t"], ["t", "v"])
+    assert len(wide.columns) == 203 and {"t_100", "v_100", "t_more", "v_more"} <= set(wide.columns)
+    row = wide.where("k = 'long'").head()
+    times = [row[f"t_{i}"] for i in range(1, 101)] + row["t_more"]
+    assert times == sorted(times) and len(times) == 10_000 and len(row["v_more"]) == 9_900
+    assert wide.where("k = 'k3'").head()["t_more"] == [] and wide.count() == 41
+    blocks = pivot_blocks(df, ["k"], "k", ["t"], ["t", "v"], width=30, piece_rows=900)
+    got = blocks.where("k = 'long'").orderBy("block").collect()
+    assert [r.block for r in got] == list(range(334)) and [r[f"t_{i}"] for r in got for i in range(1, 31)][:10_000] == times
+    assert blocks.count() == 334 + 40 and got[-1]["t_11"] is None
+
+
+def test_pivot_keeps_all_ids(spark, rows):
+    """Ids finer than the key, with and without a longest key beyond the width."""
+    df = spark.createDataFrame([("a", 1, 5), ("a", 2, 4), ("a", 1, 3), ("b", 1, 9)], "k string, i int, t int")
+    assert rows(pivot_ordinal(df, ["k", "i"], "k", ["t"], ["t"], width=2)) == [("a", 1, 3, None, [5]), ("a", 2, None, 4, []), ("b", 1, 9, None, [])]
+    assert rows(pivot_ordinal(df, ["k", "i"], "k", ["t"], ["t"])) == [("a", 1, 3, None, 5), ("a", 2, None, 4, None), ("b", 1, 9, None, None)]

@@ -41,24 +41,25 @@ def filled(d, order, back, first):
 
 
 @pytest.mark.parametrize("operator, plain", [
-    (lambda d: sequence_no(d, ["k"], ["t", "-v"], "n", piece_rows=50),
+    (lambda d, n: sequence_no(d, ["k"], ["t", "-v"], "n", piece_rows=n),
      lambda d: d.withColumn("n", F.row_number().over(w_k().orderBy(*nulls_last("t", "-v", "id", "c"))))),
-    (lambda d: dense_rank_nulls_out(d, ["k"], ["t", "c"], "n", piece_rows=20),
+    (lambda d, n: dense_rank_nulls_out(d, ["k"], ["t", "c"], "n", piece_rows=n),
      lambda d: d.withColumn("known", F.col("t").isNotNull() & F.col("c").isNotNull()).withColumn("n", F.when(F.col("known"), F.dense_rank().over(
          Window.partitionBy("k", "known").orderBy("t", "c")))).drop("known")),
-    (lambda d: fill(d, ["k"], ["t", "id"], ["v", "c"], "updown", piece_rows=50), lambda d: filled(d, nulls_last("t", "id"), ["v", "c"], "updown")),
-    (lambda d: fill(d, ["k"], ["-t", "id"], ["v", "c"], "downup", piece_rows=50), lambda d: filled(d, nulls_last("-t", "id"), ["v", "c"], "downup")),
-    (lambda d: group_values(d, ["k"], {"lo": F.min("v"), "n": F.count("v")}),
+    (lambda d, n: fill(d, ["k"], ["t", "id"], ["v", "c"], "updown", piece_rows=n), lambda d: filled(d, nulls_last("t", "id"), ["v", "c"], "updown")),
+    (lambda d, n: fill(d, ["k"], ["-t", "id"], ["v", "c"], "downup", piece_rows=n), lambda d: filled(d, nulls_last("-t", "id"), ["v", "c"], "downup")),
+    (lambda d, n: group_values(d, ["k"], {"lo": F.min("v"), "n": F.count("v")}, n),
      lambda d: d.withColumns({"lo": F.min("v").over(w_k()), "n": F.count("v").over(w_k())})),
-    (lambda d: group_any(d, ["k"], F.col("v") > 98, "f"), lambda d: d.withColumn("f", F.when(F.bool_or(F.col("v") > 98).over(w_k()), True).when(
+    (lambda d, n: group_any(d, ["k"], F.col("v") > 98, "f", n), lambda d: d.withColumn("f", F.when(F.bool_or(F.col("v") > 98).over(w_k()), True).when(
         ~F.bool_or(F.col("v").isNull()).over(w_k()), False))),
-    (lambda d: group_first(d, ["k"], "v", ["t"], "f"), lambda d: d.withColumn("f", F.first("v").over(w_k().orderBy(
+    (lambda d, n: group_first(d, ["k"], "v", ["t"], "f", piece_rows=n), lambda d: d.withColumn("f", F.first("v").over(w_k().orderBy(
         *nulls_last("t", "id", "v", "c")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))),
-    (lambda d: spread_flag(d.withColumn("y", F.when(F.col("v") == 7, "Yes")), ["k"], ["y"]),
+    (lambda d, n: spread_flag(d.withColumn("y", F.when(F.col("v") == 7, "Yes")), ["k"], ["y"], n),
      lambda d: d.withColumn("y", F.max(F.when(F.col("v") == 7, "Yes")).over(w_k()))),
 ], ids=["sequence", "rank", "fill-up", "fill-down", "values", "any", "first", "spread"])
-def test_same_result(skewed, rows, operator, plain):
-    got, want = operator(skewed), plain(skewed)
+@pytest.mark.parametrize("piece_rows", [20, 10_000])
+def test_same_result(skewed, rows, operator, plain, piece_rows):
+    got, want = operator(skewed, piece_rows), plain(skewed)
     assert sorted(got.columns) == sorted(want.columns)
     assert rows(got.select(*want.columns)) == rows(want)
 

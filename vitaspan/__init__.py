@@ -10,7 +10,8 @@ from vitaspan.operators.joins import (assemble, assert_unique, duplicates, join_
 from vitaspan.operators.ordered import (closest_per_key, dense_rank_nulls_out, fill, first_per_key, group_any,
                                         group_first, group_min, group_size, group_values, last_per_key, scan, sequence_no,
                                         spread_flag, strongest_per_key, top_per_key)
-from vitaspan.operators.reshape import (collect_ordered, concat_ordered, pivot_ordinal, pivot_wide, unpivot_long)
+from vitaspan.operators.reshape import (collect_ordered, concat_ordered, pivot_blocks, pivot_ordinal, pivot_wide,
+                                        unpivot_long)
 from vitaspan.operators.scan import quantiles, running
 from vitaspan.operators.survival import kaplan_meier, logrank, logrank_counts, median_survival, risk_table
 from vitaspan.operators.tables import (box_outliers, box_stats, by_frequency, frequency, group_tests, header_counts,

@@ -47,8 +47,9 @@ def semi_by_list(df: DataFrame, key: str, keys_df: DataFrame, keys_col: str | No
                  mode: str = "exact") -> DataFrame:
     """Rows whose key is in a list of keys.
 
-    ``mode='substring'`` also keeps rows whose key merely contains a listed key. It compares the substrings
-    of every distinct key, for the lengths that occur in the list, by an equi-join.
+    ``mode='substring'`` also keeps rows whose key merely contains a listed key (the empty one counts for nothing). The
+    short pieces of every distinct key meet the heads of the listed ones, at most ``HEAD`` characters long, in an
+    equi-join; only where a head is found are pieces of the listed lengths cut out and looked up.
     """
     name = keys_col or key
     wanted = keys_df.select(col(name).alias("__want")).where(F.col("__want").isNotNull())
@@ -56,22 +57,34 @@ def semi_by_list(df: DataFrame, key: str, keys_df: DataFrame, keys_col: str | No
         return df.join(wanted, df[f"`{key}`"] == wanted["__want"], "left_semi")
     if mode != "substring":
         raise ValueError("mode is 'exact' or 'substring'")
-    lengths = [r[0] for r in wanted.select(F.length("__want")).distinct().collect() if r[0]]
-    if not lengths:
-        return df.where(F.lit(False))
-    text = df.select(col(key).alias("__have")).where(F.col("__have").isNotNull()).distinct()
-    cuts = F.array_distinct(F.flatten(F.array(*[_substrings("__have", n) for n in lengths])))
-    found = (text.select("__have", F.explode(cuts).alias("__cut"))
-             .join(wanted, F.col("__cut") == F.col("__want"), "left_semi").select("__have").distinct())
+    length = F.length("__want")
+    head = F.when(length >= HEAD, F.lit(HEAD))
+    for size in _head_sizes()[1:]:
+        head = head.when(length >= size, F.lit(size))
+    heads = wanted.where(length > 0).select(F.substring(F.col("__want"), F.lit(1), head).alias("__head"), length.alias("__length")).distinct()
+    text = df.select(col(key).alias("__have")).where(F.col("__have").isNotNull()).distinct().withColumn("__id", F.sha2("__have", 256))
+    pieces = F.flatten(F.array(*[_pieces_of("__have", n) for n in _head_sizes()]))
+    met = text.select("__id", F.explode(pieces).alias("__p")).select("__id", "__p.*").join(heads, "__head")
+    cuts = (met.select("__id", "__at", "__length").distinct().join(text, "__id")
+            .select("__have", F.substring(F.col("__have"), F.col("__at"), F.col("__length")).alias("__cut")).distinct())
+    found = cuts.join(wanted, F.col("__cut") == F.col("__want"), "left_semi").select("__have").distinct()
     return df.join(found, df[f"`{key}`"] == found["__have"], "left_semi")
 
 
-def _substrings(name: str, n: int) -> Column:
-    """All substrings of length ``n``."""
+#: Longest head of a listed key that pieces are compared with.
+HEAD = 16
+
+
+def _head_sizes() -> list[int]:
+    return [HEAD >> i for i in range(HEAD.bit_length())]
+
+
+def _pieces_of(name: str, n: int) -> Column:
+    """Pieces of ``n`` characters with their places from 1; a shorter text has none."""
     text = F.col(name)
     starts = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - (n - 1))).otherwise(
         F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))
+    return F.transform(starts, lambda i: F.struct(i.alias("__at"), F.substring(text, i, F.lit(n)).alias("__head")))
 
 
 def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -3,13 +3,14 @@
 Order is always explicit: a list of column names, ``"-name"`` for descending, NULLs last either way.
 The remaining columns break ties, so results do not depend on file or partition order.
 
-One plan holds for every size; none sorts an unbounded group in one task:
+No operator sorts an unbounded group in one task:
 
 * top-1 / top-n per key is a ranked filter, for which Spark limits every key on the map side
   (``WindowGroupLimit Partial``) before the shuffle;
-* a value per key is an aggregate (map-side combine) joined back to the rows;
-* numbering, ranking and filling sort the rows of a key in one task; a key with too many rows for that is found by a
-  count and cut into frozen ranges of (key, order), as many as it has rows for, which a small table links.
+* a value per key, numbering, ranking and filling are windows on the key, so a chain of them shares one shuffle;
+* a key with too many rows for one task is found by a count. Its values are aggregated (map-side combine) and joined
+  back, and for the rest its rows are cut into frozen ranges of (key, order), as many as it has rows for, which a small
+  table links.
 """
 
 from __future__ import annotations
@@ -121,11 +122,18 @@ def closest_per_key(df: DataFrame, anchor: DataFrame, keys: Sequence[str], time:
 
 # --- one value per key, attached to its rows -------------------------------------------------------
 
-def group_values(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Column]) -> DataFrame:
-    """Attach aggregates of the key (plain aggregate functions) to each of its rows."""
-    df = shared(df)
-    small = df.groupBy(*_by(keys)).agg(*[a.alias(n) for n, a in aggregates.items()])
-    return _attach(df, keys, small, list(aggregates))
+def group_values(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Column], piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """Attach aggregates of the key (plain aggregate functions) to each of its rows.
+
+    A chain of them on one key shares one shuffle. A key with more than ``piece_rows`` rows is aggregated with a map-side
+    combine and joined back, where the join splits it.
+    """
+    few, many, _ = _split(df, keys, piece_rows)
+    done = few.withColumns({n: a.over(W.partitionBy(*_by(keys))) for n, a in aggregates.items()})
+    if many is None:
+        return done
+    small = many.groupBy(*_by(keys)).agg(*[a.alias(n) for n, a in aggregates.items()])
+    return done.unionByName(_attach(many, keys, small, list(aggregates)).select(*_by(done.columns)))
 
 
 def group_min(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
@@ -137,26 +145,30 @@ def group_size(df: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
     return group_values(df, keys, {out: F.count(F.lit(1))})
 
 
-def group_any(df: DataFrame, keys: Sequence[str], flag: str | Column, out: str) -> DataFrame:
+def group_any(df: DataFrame, keys: Sequence[str], flag: str | Column, out: str, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Three-valued "any" of the key: true, else NULL if some flag is NULL, else false."""
     x = col(flag)
-    parts = group_values(df, keys, {"__any": F.bool_or(x), "__unknown": F.bool_or(x.isNull())})
+    parts = group_values(df, keys, {"__any": F.bool_or(x), "__unknown": F.bool_or(x.isNull())}, piece_rows)
     value = F.when(F.col("__any"), F.lit(True)).when(~F.col("__unknown"), F.lit(False))
     return parts.withColumn(out, value).drop("__any", "__unknown")
 
 
 def group_first(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str | Column], out: str,
-                ties: Sequence[str | Column] | None = None) -> DataFrame:
+                ties: Sequence[str | Column] | None = None, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Value of the key's first row in ``order``; that value may be NULL."""
-    df = shared(df)
-    first = first_per_key(df, keys, order, ties).select(*_by(keys), col(value).alias(out))
-    return _attach(df, keys, first, [out])
+    few, many, _ = _split(df, keys, piece_rows)
+    in_order = W.partitionBy(*_by(keys)).orderBy(*_total_order(df, keys, order, ties)).rowsBetween(W.unboundedPreceding, 0)
+    done = few.withColumn(out, F.first(col(value)).over(in_order))
+    if many is None:
+        return done
+    first = first_per_key(many, keys, order, ties).select(*_by(keys), col(value).alias(out))
+    return done.unionByName(_attach(many, keys, first, [out]).select(*_by(done.columns)))
 
 
-def spread_flag(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+def spread_flag(df: DataFrame, keys: Sequence[str], cols: Sequence[str], piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Copy a flag that some rows of the key carry to all its rows (the value is unique per key)."""
     names = {c: f"__all_{c}" for c in cols}
-    wide = group_values(df, keys, {n: F.max(col(c)) for c, n in names.items()})
+    wide = group_values(df, keys, {n: F.max(col(c)) for c, n in names.items()}, piece_rows)
     return wide.withColumns({c: F.col(n) for c, n in names.items()}).drop(*names.values())
 
 
@@ -172,10 +184,12 @@ def _same_key(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> Column:
 def _split(df: DataFrame, keys: Sequence[str], most: int) -> tuple[DataFrame, DataFrame | None, int]:
     """Rows of the keys that one task can sort, those of the others (None if there are none), and how many the latter are.
 
-    One count over the key columns finds the keys with more than ``most`` rows; a chain of scans over one table counts
-    without the windows of the earlier ones, which give no key.
+    One count over the key columns finds the keys with more than ``most`` rows, if there are so many rows at all; a chain of
+    scans over one table counts without the windows of the earlier ones, which give no key.
     """
     df = shared(df, "Window")
+    if df.count() <= most:
+        return df, None, 0
     named = [col(k).alias(f"__key{i}") for i, k in enumerate(keys)]
     large = df.groupBy(*named).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > most)
     n = large.agg(F.sum("__rows")).first()[0]

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from vitaspan.functions.scalars import col, number_text
 from vitaspan.operators.joins import join_ns
-from vitaspan.operators.ordered import top_per_key
+from vitaspan.operators.ordered import sequence_no, top_per_key
+from vitaspan.session import PIECE_ROWS
 
 
 def pivot_wide(df: DataFrame, id_cols: Sequence[str], names_from: str, values_from: str,
@@ -45,26 +46,51 @@ def pivot_wide(df: DataFrame, id_cols: Sequence[str], names_from: str, values_fr
     return named.groupBy(*[col(c) for c in id_cols]).agg(*[cell(n).alias(n) for n in values])
 
 
+#: Ordinals that get columns of their own where no number is asked for.
+WIDTH = 100
+
+
 def pivot_ordinal(df: DataFrame, id_cols: Sequence[str], key: str, order: Sequence[str | Column],
                   value_cols: Sequence[str], max_n: int | None = None,
-                  ties: Sequence[str | Column] | None = None) -> DataFrame:
+                  ties: Sequence[str | Column] | None = None, width: int = WIDTH) -> DataFrame:
     """Number the records of ``key`` and spread the values over ``a_1..a_n, b_1..b_n``.
 
     Records are numbered over the key even if ``id_cols`` are finer. ``max_n`` keeps the first ordinals
-    (every combination of ``id_cols`` stays, if need be without values); without it the longest key sets
-    the width, which takes one counting job.
+    (every combination of ``id_cols`` stays, if need be without values). Without it all are kept: the longest key sets the
+    number of columns, which takes one counting job, up to ``width`` of each; the values of later records follow in order in
+    arrays ``a_more, b_more``. ``pivot_blocks`` gives tables of fixed width for keys of any length.
     """
+    longest = 0
     if max_n is None:
-        max_n = int(df.groupBy(col(key)).count().agg(F.max("count")).head()[0] or 0)
+        longest = int(df.groupBy(col(key)).count().agg(F.max("count")).head()[0] or 0)
+    n = min(longest, width) if max_n is None else max_n
     ids = [col(c) for c in id_cols]
-    numbered = top_per_key(df, [key], order, max_n, ties, out="__no")
-    cells = [F.max(F.when(F.col("__no") == i, col(v))).alias(f"{v}_{i}") for v in value_cols for i in range(1, max_n + 1)]
+    numbered = sequence_no(df, [key], order, "__no", ties) if longest > n else top_per_key(df, [key], order, n, ties, out="__no")
+    cells = [F.max(F.when(F.col("__no") == i, col(v))).alias(f"{v}_{i}") for v in value_cols for i in range(1, n + 1)]
+    if longest > n:
+        later = F.array_sort(F.collect_list(F.when(F.col("__no") > n, F.struct("__no", *[col(v).alias(f"v{i}") for i, v in enumerate(value_cols)]))))
+        cells.append(later.alias("__later"))
     wide = numbered.groupBy(*ids).agg(*cells)
+    if longest > n:
+        wide = wide.withColumns({f"{v}_more": F.col(f"__later.v{i}") for i, v in enumerate(value_cols)}).drop("__later")
     if list(id_cols) == [key]:
         return wide
     return join_ns(df.select(*ids).distinct(), wide, list(id_cols), "left")
 
 
+def pivot_blocks(df: DataFrame, id_cols: Sequence[str], key: str, order: Sequence[str | Column], value_cols: Sequence[str],
+                 width: int = WIDTH, ties: Sequence[str | Column] | None = None, piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """Like ``pivot_ordinal`` in blocks of ``width`` ordinals: a row per ``id_cols`` and ``block`` (from 0).
+
+    A block holds the ordinals ``block * width + 1`` onwards. The schema depends on no data, and no row or task on the number
+    of records of a key.
+    """
+    numbered = sequence_no(df, [key], order, "__no", ties, piece_rows).withColumn("block", F.floor((F.col("__no") - 1) / width).cast("int"))
+    slot = (F.col("__no") - 1) % width + 1
+    cells = [F.max(F.when(slot == i, col(v))).alias(f"{v}_{i}") for v in value_cols for i in range(1, width + 1)]
+    return numbered.groupBy(*[col(c) for c in id_cols], "block").agg(*cells)
+
+
 def concat_ordered(df: DataFrame, keys: Sequence[str], cols: Sequence[str], order: Sequence[str],
                    sep: str = "; ", nulls: str = "poison") -> DataFrame:
     """Join the values of every key into one text per column, in ``order`` (NULLs last), ties by value.

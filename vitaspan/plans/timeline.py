@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vitaspan.functions.scalars import col, contains, decode_age, remove_first, to_number
 from vitaspan.operators.frames import across
-from vitaspan.operators.joins import join_ns, union_fill
+from vitaspan.operators.joins import join_ns
 from vitaspan.operators.ordered import dense_rank_nulls_out, first_per_key, group_first, group_values
 from vitaspan.operators.reshape import concat_ordered, pivot_ordinal
 
@@ -52,16 +52,17 @@ def line_number(text: str | Column) -> Column:
             .when(line == "Palliative", F.lit(LINE_PALLIATIVE)).otherwise(F.lit(LINE_NONE)))
 
 
-def line_of_therapy(df: DataFrame, key: str, line_text: str, start: str, out: str = "regimen_line") -> DataFrame:
+def line_of_therapy(df: DataFrame, key: str | Sequence[str], line_text: str, start: str, out: str = "regimen_line") -> DataFrame:
     """Line number per record, for one key at a time.
 
     If a key has some unknown line and no known one, its records are numbered by start instead (a record
     without a start then has no number). A NULL description counts neither as unknown nor as known.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     unknown = contains(line_text, "Unknown")
     df = df.withColumn("__code", line_number(line_text))
-    df = group_values(df, [key], {"__unknown": F.max(unknown), "__all_unknown": F.min(unknown)})
-    by_start = dense_rank_nulls_out(df, [key], [start, "__code"], "__by_start")
+    df = group_values(df, keys, {"__unknown": F.max(unknown), "__all_unknown": F.min(unknown)})
+    by_start = dense_rank_nulls_out(df, keys, [start, "__code"], "__by_start")
     no_line_info = F.coalesce(F.col("__unknown"), F.lit(False)) & F.coalesce(F.col("__all_unknown"), F.lit(False))
     return by_start.withColumn(out, F.when(no_line_info, F.col("__by_start")).otherwise(F.col("__code")).cast("int")) \
         .drop("__code", "__unknown", "__all_unknown", "__by_start")
@@ -88,14 +89,17 @@ def medication_history(meds: DataFrame, key: str, ind: str = "MedicationInd", dr
     Adds ``ever_first_med_age``, ``regimen_line`` and ``year_first_medication`` (the year of the record with
     the earliest start).
     """
-    decoded = across(meds, [start, stop], decode_age).withColumn(drug, clean_drug(drug))
-    never = decoded.where(col(ind) == "No")
-    timed = decoded.withColumn(start, F.coalesce(col(start), col(stop)))
+    decoded = across(meds, [start, stop], decode_age).withColumn(drug, clean_drug(drug)).withColumn("__given", col(ind) == "Yes")
+    # one layout by key: given and never-treated records go through the same windows and are told apart by row
+    timed = decoded.withColumns({"__own": col(start), start: F.coalesce(col(start), col(stop))})
     timed = group_values(timed, [key], {"ever_first_med_age": F.min(col(start))})
-    given = line_of_therapy(timed.where(col(ind) == "Yes"), key, line_text, start)
-    both = union_fill(given, never)
-    single = first_per_key(both, [key, start, drug, stop], ["regimen_line", year])
-    return group_first(single, [key], year, [start, stop, drug], "year_first_medication")
+    lines = line_of_therapy(timed.where(col(ind).isin("Yes", "No")), [key, "__given"], line_text, start)
+    given = F.col("__given")
+    both = lines.withColumns({start: F.when(given, col(start)).otherwise(F.col("__own")),
+                              **{c: F.when(given, F.col(c)) for c in ("ever_first_med_age", "regimen_line")}}).drop("__given", "__own")
+    # the record that is kept of repeats is the first of them in this order too
+    dated = group_first(both, [key], year, [start, stop, drug, "regimen_line", year], "year_first_medication")
+    return first_per_key(dated, [key, start, drug, stop], ["regimen_line", year])
 
 
 def medication_regimens(history: DataFrame, key: str, ind: str = "MedicationInd", drug: str = "Medication",
