@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import types
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,17 @@ def by_value(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+def worker_state(name: str, make):
+    """What ``make`` gives, made once in a Python worker and found again by its later tasks.
+
+    Code that travels by value has globals of its own in every task, so the state is held by a module of the worker.
+    """
+    held = sys.modules.setdefault("_worker_state", types.ModuleType("_worker_state")).__dict__
+    if name not in held:
+        held[name] = make()
+    return held[name]
+
+
 def words(text: Column) -> Column:
     """Words of a text as an array; NULL text: no words. Splitting at one plain character needs no regular expression."""
     plain = F.coalesce(text, F.lit(""))

@@ -11,8 +11,9 @@ from __future__ import annotations
 import bisect
 import math
 import random
-import unicodedata
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from typing import Any
 
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitaspan.llm.common import by_value
+from vitaspan.llm.common import by_value, worker_state
 from vitaspan.session import freeze
 
 SIZE = 2048
@@ -40,69 +41,75 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte: printable bytes stand for themselves, others follow from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {b: chr(b) for b in printable}
+    for b in range(256):
+        letters.setdefault(b, chr(256 + len(letters) - len(printable)))
+    return [letters[b] for b in range(256)]
+
+
+class Recent(dict):
+    """What ``make`` gives for a key, kept for the last ``most`` to ``2 * most`` keys that were asked for.
+
+    What is not asked for in a whole generation is dropped.
+    """
+
+    def __init__(self, most: int, make):
+        self.most, self.make, self.older = most, make, {}
+
+    def __missing__(self, key):
+        found = self.older.get(key)
+        if found is None:
+            found = self.make(key)
+        self[key] = found
+        return found
+
+    def turn(self) -> None:
+        """Begin a new generation if this one is full."""
+        if len(self) > self.most:
+            self.older = dict(self)
+            self.clear()
+
+
 class Tokens:
     """Ids of whole texts as little-endian bytes. Words between ASCII white space never share a token, so the ids of
-    a word are kept and used again; ``most`` bounds how many are kept.
+    a word are kept and used again.
 
-    Unknown words are encoded many at a time, in small letters (the tokenizer folds case itself) and without the
-    signs that end a sentence, whose ids follow a word's own.
+    A new word of Latin letters, digits and signs is folded and split here as the tokenizer's own pattern does, and only its
+    pieces go through the merges of the model, also kept. Any other word goes through the whole tokenizer.
     """
 
-    SEPARATOR, ENDS = b"\x01", b".,;:!?"
+    #: Words handled here: no mark that normalization could join, no capital whose small letter depends on its place.
+    PLAIN = re.compile("[\x21-\x7e\xa1-\u012f\u0131-\u017f]+")
+    # fixed values: the vocabulary's own pattern over small letters of that range
+    SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿĀ-ſ]+|[0-9²³¹¼-¾]|[^a-zªµºß-öø-ÿĀ-ſ0-9²³¹¼-¾]+")
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 300_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.most = Tokenizer.from_file(path), {}, most
-        self.separator = self._ids(self.SEPARATOR)
-
-    def _ids(self, words: bytes) -> np.ndarray:
-        return np.array(self.tokenizer.encode(words.decode("utf-8", "replace"), add_special_tokens=False).ids, dtype="<u4")
-
-    def _parts(self, word: bytes) -> tuple[bytes, bytes]:
-        """A word as what is encoded and signs behind it; special tokens keep their case."""
-        if b"<|" in word:
-            return word, b""
-        low = word.lower()
-        core = low.rstrip(self.ENDS)
-        if not core or len(core) == len(low):
-            return low, b""
-        # a mark at the end, also one that small letters bring along, would go with the signs
-        last = core[-1:] if core[-1] < 128 else unicodedata.normalize("NFC", core.decode("utf-8", "replace")).lower()[-1]
-        return (core, low[len(core):]) if last.isalpha() else (low, b"")
-
-    def learn(self, words: set[bytes], group: int = 512) -> None:
-        """Keep the ids of ``words``."""
-        known = self.known
-        parts = {w: self._parts(w) for w in words}
-        asked = sorted({p for x in parts.values() for p in x if p and p not in known})
-        alone = [p for p in asked if self.SEPARATOR in p or b"<|" in p or len(self.separator) != 1]
-        joined = [p for p in asked if self.SEPARATOR not in p and b"<|" not in p] if len(self.separator) == 1 else []
-        for i in range(0, len(joined), group):
-            some = joined[i:i + group]
-            ids = self._ids((b" " + self.SEPARATOR + b" ").join(some))
-            cuts = np.flatnonzero(ids == self.separator[0])
-            if len(cuts) != len(some) - 1:
-                alone += some
-                continue
-            for p, a, b in zip(some, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]):
-                known[p] = ids[a:b].tobytes()
-        for p in alone:
-            known[p] = self._ids(p).tobytes()
-        for w, (core, ends) in parts.items():
-            if w not in known or w != core:
-                known[w] = known[core] + (known[ends] if ends else b"")
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.letters = self.tokenizer.model, dict(enumerate(_byte_letters()))
+        self.words, self.pieces = Recent(most, self._word), Recent(most, self._piece)
+
+    def _piece(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        if b"<|" in word or not self.PLAIN.fullmatch(text):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        parts = self.SPLIT.findall(text.lower())
+        return self.pieces[parts[0]] if len(parts) == 1 else b"".join(map(self.pieces.__getitem__, parts))
 
     def of(self, texts: list[str | None]) -> list[bytes]:
         """The ids of several texts."""
-        known = self.known
-        if len(known) > self.most:
-            known.clear()
-        split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-        missing = set().union(*split).difference(known)
-        if missing:
-            self.learn(missing)
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        self.words.turn()
+        self.pieces.turn()
+        get = self.words.__getitem__
+        return [b"".join(map(get, (t or "").encode("utf-8", "surrogatepass").split())) for t in texts]
 
     def __call__(self, text: str | None) -> bytes:
         return self.of([text])[0]
@@ -110,12 +117,9 @@ class Tokens:
 
 def pieces(docs: DataFrame, size: int = SIZE, tokenizer: str | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: every row's ids and an end id 0, cut every ``size`` tokens. NULL text: empty."""
-    state: dict[str, Tokens] = {}
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if "tokens" not in state:
-            state["tokens"] = Tokens(tokenizer or default_tokenizer())
-        tokens, step = state["tokens"], 4 * size
+        path = tokenizer or default_tokenizer()
+        tokens, step = worker_state(f"tokens of {path}", lambda: Tokens(path)), 4 * size
         for batch in batches:
             of, rows = [], []
             texts = batch.column("text").to_pylist()
