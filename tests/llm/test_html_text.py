@@ -68,3 +68,39 @@ def test_table(spark, rows):
     t = main_text(PAGE)
     assert rows(out) == sorted([(1, "u", t, len(t))] * 2 + [(2, None, "", 0), (None, "v", "é", 1)], key=lambda r: tuple((x is None, str(x)) for x in r))
     assert extract(df.limit(0)).collect() == []
+
+
+LOREM = "The river was low that summer and the boats lay on the mud for weeks while the men of the village talked in the shade about it."
+JAPANESE = "夏の終わりに川の水は少なくなり、船は泥の上に並んでいた。村の人々は木の陰で話をしながら、雨が降るのを待っていた。" * 8
+
+
+def test_linked_headings_and_paragraphs_of_an_article_stay():
+    page = f"""<body><nav><ul><li><a href=/>Home</a></li></ul></nav><article><h1><a href="/p/1">A title that is a link</a></h1><p>{LOREM}</p>
+        <p><a href=/a>{LOREM[:60]}</a> {LOREM[60:100]}</p><p>Short one.</p><p><a href=/b>{LOREM}</a></p></article><footer>End</footer></body>"""
+    assert main_text(page) == " ".join(["A title that is a link", LOREM, LOREM[:60] + " " + LOREM[60:100], "Short one.", LOREM])
+
+
+def test_names_of_places_inside_an_article():
+    page = f"""<article><div class="post-header"><h1>Title</h1><p>By someone</p></div><div class="side-note"><p>{LOREM}</p></div><p>{LOREM}</p>
+        <div class="share-bar">Share this</div><div class="comments"><p>{LOREM} I agree.</p></div></article>"""
+    assert main_text(page) == f"Title By someone {LOREM} {LOREM}"
+
+
+def test_menus_inside_an_article_go():
+    links = "".join(f"<li><a href=/{i}>Place {i}</a></li>" for i in range(5))
+    assert main_text(f"<article><h1>Title</h1><ul>{links}</ul><p>{LOREM}</p></article>") == f"Title {LOREM}"
+    two = "<ul><li><a href=/1>First source</a></li><li><a href=/2>Second source</a></li></ul>"
+    assert main_text(f"<article><p>{LOREM}</p>{two}</article>") == f"{LOREM} First source Second source"
+
+
+def test_scripts_without_blanks():
+    assert main_text(f"<body><div class=menu>メニュー</div><div><p>{JAPANESE}</p></div><footer>著作権</footer></body>") == JAPANESE
+    assert main_text(f"<article><h1>見出し</h1><p>{JAPANESE}</p><p>短い。</p></article>") == f"見出し {JAPANESE} 短い。"
+
+
+def test_no_page_is_empty_that_has_text():
+    assert main_text("<body><p>Just one line.</p></body>") == "Just one line."
+    russian = "Летом река обмелела, и лодки лежали на берегу, пока люди ждали дождя."
+    assert main_text(f"<nav><a href=/>Главная</a></nav><h1>Река</h1><p>{russian}</p><footer>Конец</footer>") == f"Река {russian}"
+    assert main_text("<nav><ul><li>Home</li></ul></nav><footer>Imprint</footer>") == ""
+    assert main_text("<p><a href=/>Home</a></p><p><a href=/b>News</a></p>") == ""

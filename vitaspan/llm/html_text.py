@@ -26,6 +26,8 @@ wird bei einer um am sind noch wie einem über einen so zum war haben nur oder a
 le la les de des du un une et en que qui dans pour pas sur au avec ce il par plus ne se son est sont mais ou elle
 el los las del y por con para una no su al lo como más pero sus este ya o fue ha sí porque esta son entre cuando muy
 """.split())
+#: Frequent function characters of Japanese, Chinese and Thai, which write without blanks.
+STOP_CHARACTERS = frozenset("のにはをたがでてとしれさいるも的了是在不有和我这那个就他她你们也都而与之于以为等ที่และการในเป็นของ")
 SKIPPED = frozenset("script style noscript template svg math iframe object canvas head title select option button "
                     "textarea fieldset audio video map datalist dialog".split())
 BOILER_TAGS = frozenset("nav footer aside menu".split())
@@ -37,6 +39,8 @@ cookies consent gdpr notice notices alert popup modal overlay promo promotion sp
 comment comments reply replies respond disqus related recommended recommendations newsletter subscribe subscription
 signup login breadcrumb breadcrumbs pagination pager widget toolbar copyright legal disclaimer skip search form tags
 """.split())
+#: Of these, names that inside an article only say where something stands.
+PLACE_NAMES = frozenset("header masthead side banner overlay widget".split())
 #: Of these, names of what readers wrote; it stays out however long it is.
 READER_NAMES = frozenset("comment comments reply replies respond disqus".split())
 MAIN_TAGS = frozenset(["article", "main"])
@@ -50,6 +54,11 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 _NAME = re.compile(r"[A-Za-z]+")
 
+#: Letters of scripts without blanks: Thai to Khmer, kana, Han.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff]")
+#: Characters of an alphabet that one such letter stands for, and the same for the share of function characters.
+DENSE = 2.5
+
 SHORT, LONG = 70, 200
 LINKS, FEW_STOPS, MANY_STOPS = 0.33, 0.10, 0.25
 
@@ -68,11 +77,11 @@ class _Mark:
 
 
 class _Blocks(HTMLParser):
-    """Collects (text, characters in links, is boilerplate, is inside the article, is a heading, innermost mark)."""
+    """Collects (text, characters in links, is boilerplate, is inside the article, is a heading, is a list item, innermost mark)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.found: list[tuple[str, int, bool, bool, bool, _Mark | None]] = []
+        self.found: list[tuple[str, int, bool, bool, bool, bool, _Mark | None]] = []
         self.open: list[tuple[str, bool, bool, bool, bool, _Mark | None]] = []  # tag, skipped, boilerplate, main, link, mark
         self.marks: list[_Mark] = []
         self.parts: list[str] = []
@@ -84,7 +93,8 @@ class _Blocks(HTMLParser):
             text = " ".join("".join(self.parts).split())
             if text:
                 heading = any(t[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for t in self.open)
-                self.found.append((text, self.linked, self.state[1], self.state[2], heading, self.state[4]))
+                item = any(t[0] in ("li", "dd", "dt") for t in self.open)
+                self.found.append((text, self.linked, self.state[1], self.state[2], heading, item, self.state[4]))
                 if self.state[4] and not self.state[1]:
                     self.state[4].n += len(text)
         self.parts, self.linked = [], 0
@@ -132,6 +142,7 @@ class _Blocks(HTMLParser):
                 given = dict(attrs)
                 names = _NAME.findall(f"{given.get('class') or ''} {given.get('id') or ''}")
                 named = {n.lower() for n in names} & BOILER_NAMES if not (main and tag in ("header", *MAIN_TAGS)) else set()
+                named -= PLACE_NAMES if main else set()
                 boiler = (bool(named & READER_NAMES) or (given.get("role") or "").lower() in BOILER_ROLES
                           or "hidden" in given or given.get("aria-hidden") == "true")
                 main = main or (given.get("role") or "").lower() in MAIN_TAGS and not boiler
@@ -169,7 +180,7 @@ class _Blocks(HTMLParser):
                 self.linked += len(data.strip())
 
 
-def _blocks(parser: _Blocks) -> list[tuple[str, int, bool, bool, bool]]:
+def _blocks(parser: _Blocks) -> list[tuple[str, int, bool, bool, bool, bool]]:
     """The blocks, boilerplate if a mark holds; a mark does not hold on more than half of the text that is no other boilerplate."""
     for m in reversed(parser.marks):
         if m.outer:
@@ -179,35 +190,62 @@ def _blocks(parser: _Blocks) -> list[tuple[str, int, bool, bool, bool]]:
         m.dropped = 2 * m.n <= total or m.outer is not None and m.outer.dropped
         # neighbours are not judged by what a form says
         m.unseen = m.dropped and (m.form or m.outer is not None and m.outer.unseen)
-    return [(text, linked, boiler or mark is not None and mark.dropped, main, heading)
-            for text, linked, boiler, main, heading, mark in parser.found if mark is None or not mark.unseen]
+    return [(text, linked, boiler or mark is not None and mark.dropped, main, heading, item)
+            for text, linked, boiler, main, heading, item, mark in parser.found if mark is None or not mark.unseen]
+
+
+def _measure(text: str) -> tuple[float, float]:
+    """Length of a text and share of stop words in it; scripts without blanks are measured by characters."""
+    unspaced = len(_UNSPACED.findall(text))
+    if 3 * unspaced > len(text):
+        return len(text) + (DENSE - 1) * unspaced, DENSE * sum(c in STOP_CHARACTERS for c in text) / len(text)
+    words = text.lower().split()
+    return len(text), sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
 
 
-def _first_pass(block: tuple[str, int, bool, bool, bool], has_main: bool) -> bool | None:
-    """True: text of the article; False: not; None: open."""
-    text, linked, boiler, main, heading = block
-    if boiler or has_main and not main or linked > LINKS * len(text):
+def _first_pass(block: tuple[str, int, bool, bool, bool, bool], has_main: bool) -> bool | None:
+    """True: text of the article; False: not; None: open. Inside an article, what no container marks is its text."""
+    text, linked, boiler, main, heading, _ = block
+    if boiler or has_main and not main:
         return False
-    if heading or len(text) < SHORT:
-        return None
     if main:
+        return None if heading or len(text) < SHORT else True
+    if linked > LINKS * len(text):
+        return False
+    length, stops = _measure(text)
+    if heading or length < SHORT:
+        return None
+    if stops >= MANY_STOPS or length >= LONG and stops >= FEW_STOPS:
         return True
-    words = text.lower().split()
-    stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
-    if stops >= MANY_STOPS or len(text) >= LONG and stops >= FEW_STOPS:
-        return True
-    return None if len(text) < LONG and stops >= FEW_STOPS else False
+    return None if length < LONG and stops >= FEW_STOPS else False
+
+
+def _without_menus(blocks: list[tuple[str, int, bool, bool, bool, bool]]) -> list[tuple[str, int, bool, bool, bool, bool]]:
+    """Three or more list items in a row that are nothing but links are a menu, also inside an article: boilerplate."""
+    out, run = list(blocks), []
+    for i, (text, linked, _, _, heading, item) in enumerate([*blocks, ("", 0, False, False, False, False)]):
+        if item and not heading and linked >= 0.9 * len(text.replace(" ", "")):
+            run.append(i)
+            continue
+        if len(run) >= 3:
+            for k in run:
+                out[k] = (*blocks[k][:2], True, *blocks[k][3:])
+        run = []
+    return out
 
 
 def main_text(html: str | None) -> str:
-    """The article of a page as one line; NULL or no article: empty."""
+    """The article of a page as one line; NULL or no article: empty.
+
+    If no block is decided to be text, all that no container marks and that is not mostly links is taken.
+    """
     if not html:
         return ""
     parser = _Blocks()
     parser.feed(html)
     parser.close()
     parser.flush()
-    blocks = _blocks(parser)
+    blocks = _without_menus(_blocks(parser))
     has_main = any(b[3] and not b[2] for b in blocks)
     labels = [_first_pass(b, has_main) for b in blocks]
     n = len(labels)
@@ -222,7 +260,7 @@ def main_text(html: str | None) -> str:
             last = i
         after[i] = last
     kept = []
-    for i, (text, _, _, main, heading) in enumerate(blocks):
+    for i, (text, _, _, main, heading, _) in enumerate(blocks):
         label = labels[i]
         if label is None:
             p, q = before[i], after[i]
@@ -241,6 +279,9 @@ def main_text(html: str | None) -> str:
                 label = labels[p] if i - p < q - i else labels[q] if q - i < i - p else False
         if label:
             kept.append(text)
+    if not kept:
+        kept = [text for text, linked, boiler, main, heading, _ in blocks
+                if not boiler and main >= has_main and (heading or linked <= LINKS * len(text))]
     return " ".join(kept)
 
 
