@@ -6,6 +6,8 @@ import tempfile
 
 import numpy as np
 
+from vitaspan.llm.common import by_value
+
 
 class EliasFano:
     """A sorted list of n numbers below ``universe`` in about 2 + log2(universe / n) bits each.
@@ -173,3 +175,6 @@ class Trie:
         at = self.successors.find(context[known].astype(np.uint64) * np.uint64(self.n_words) + word[known].astype(np.uint64))
         out[known[at >= 0]] = self.codes[at[at >= 0]]
         return out
+
+
+by_value(__name__)
