@@ -64,15 +64,17 @@ def _filled(name: str) -> str:
             f"({w} UNBOUNDED PRECEDING AND CURRENT ROW))")
 
 
-@query(f"""{with_tables('Diagnosis')}, {_DX},
-    t1 AS (SELECT *, coalesce(Histology = 'Multiple myeloma', false) AS hit, row_number() OVER (PARTITION BY patient_id, Histology ORDER BY
+_TARGET = f"""t1 AS (SELECT *, coalesce(Histology = 'Multiple myeloma', false) AS hit, row_number() OVER (PARTITION BY patient_id, Histology ORDER BY
         diagnosis_sequence) AS nth, YearOfDiagnosis - 1950 AS sample_age FROM dx),
     t2 AS (SELECT *, CASE WHEN hit THEN CASE nth WHEN 1 THEN '1st MM dx' WHEN 2 THEN '2nd MM dx' WHEN 3 THEN '3rd MM dx' ELSE CAST(nth AS
         VARCHAR) END ELSE coalesce(Histology, 'NA') || ' (' || PrimaryDiagnosisSite || ')' END AS MM_sequence, CASE WHEN hit AND nth = 1 THEN
         AgeAtDiagnosis END AS f, CASE WHEN hit AND nth <= 3 THEN AgeAtDiagnosis END AS l, CASE WHEN Histology = 'Monoclonal gammopathy' THEN
         AgeAtDiagnosis END AS g, max(CASE WHEN hit THEN 'Yes' END) OVER (PARTITION BY patient_id) AS had FROM t1),
     t3 AS (SELECT *, {_filled('f')} AS ff, {_filled('l')} AS fl, {_filled('g')} AS fg FROM t2),
-    t4 AS (SELECT *, CASE WHEN fl >= fg THEN 'Yes' WHEN fl < fg THEN 'MGUS patient' WHEN had = 'Yes' THEN 'Yes' ELSE 'No' END AS is_patient FROM t3)
+    t4 AS (SELECT *, CASE WHEN fl >= fg THEN 'Yes' WHEN fl < fg THEN 'MGUS patient' WHEN had = 'Yes' THEN 'Yes' ELSE 'No' END AS is_patient FROM t3)"""
+
+
+@query(f"""{with_tables('Diagnosis')}, {_DX}, {_TARGET}
     SELECT rec, MM_sequence, had AS had_MM_at_anytime, ff AS age_at_first_MM_dx, fl AS age_at_last_MM_dx, fg AS age_at_MGUS_dx, is_patient AS
     is_patient_MM, CASE WHEN is_patient IN ('MGUS patient', 'No') THEN 'No' WHEN sample_age > fg THEN 'Yes' WHEN fl = fg THEN 'Yes' WHEN had =
     'Yes' THEN 'Yes' END AS sample_is_for_MM_dx FROM t4""")
@@ -109,13 +111,17 @@ def _first_dx(t):
     return first_per_key(d.withColumn("AgeAtDiagnosis", decode_age("AgeAtDiagnosis")), [KEY], ["AgeAtDiagnosis", "rec"])
 
 
-def _tiered(table: str, code: str, site: str, age: str, where: str = "true") -> str:
-    return f"""{with_tables('Diagnosis', table)}, {_FIRST},
-        b AS (SELECT * EXCLUDE ({age}), {age_sql(age)} AS {age} FROM {table} WHERE {where}),
-        u AS (SELECT b.*, 0 AS tier FROM b JOIN (SELECT patient_id, PrimaryDiagnosisSiteCode AS fc, PrimaryDiagnosisSite AS fs FROM fd) f
+def _tier_steps(one: str, table: str, code: str, site: str, age: str, where: str = "true") -> str:
+    """One record per patient, of the first diagnosed site or else of an unknown one, in the CTE ``one``."""
+    return f"""{one}_b AS (SELECT * EXCLUDE ({age}), {age_sql(age)} AS {age} FROM {table} WHERE {where}),
+        {one}_u AS (SELECT b.*, 0 AS tier FROM {one}_b b JOIN (SELECT patient_id, PrimaryDiagnosisSiteCode AS fc, PrimaryDiagnosisSite AS fs FROM fd) f
             ON b.patient_id = f.patient_id AND b.{code} = fc AND b.{site} = fs
-            UNION ALL SELECT b.*, 1 FROM b WHERE {site} = 'Unknown/Not Applicable'),
-        one AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY patient_id ORDER BY tier, {age} NULLS LAST, rec) = 1)"""
+            UNION ALL SELECT b.*, 1 FROM {one}_b b WHERE {site} = 'Unknown/Not Applicable'),
+        {one} AS (SELECT * FROM {one}_u QUALIFY row_number() OVER (PARTITION BY patient_id ORDER BY tier, {age} NULLS LAST, rec) = 1)"""
+
+
+def _tiered(table: str, code: str, site: str, age: str, where: str = "true") -> str:
+    return f"{with_tables('Diagnosis', table)}, {_FIRST}, {_tier_steps('one', table, code, site, age, where)}"
 
 
 _NOT_MIGRATED = "{} <> '(Migrated) Cannot determine from available documentation'"
@@ -155,12 +161,13 @@ def surgery_by_site(t):
     return c.surgeries(stand_in(t, "SurgeryBiopsy"), _first_dx(t))
 
 
-_MEDS = f"""{with_tables('Diagnosis', 'Medications')}, {_FIRST}, b AS (SELECT * FROM Medications WHERE {_NOT_MIGRATED.format('MedicationInd')}),
+_MED_STEPS = f"""b AS (SELECT * FROM Medications WHERE {_NOT_MIGRATED.format('MedicationInd')}),
     u AS (SELECT b.* FROM b JOIN fd ON b.patient_id = fd.patient_id AND MedPrimaryDiagnosisSiteCode = PrimaryDiagnosisSiteCode AND
         MedPrimaryDiagnosisSite = PrimaryDiagnosisSite UNION ALL SELECT * FROM b WHERE MedPrimaryDiagnosisSite = 'Unknown/Not Applicable'),
     k AS (SELECT *, dense_rank() OVER (PARTITION BY patient_id ORDER BY MedPrimaryDiagnosisSiteCode) AS n FROM u),
     meds AS (SELECT patient_id, MedPrimaryDiagnosisSiteCode, MedPrimaryDiagnosisSite, MedicationInd, {age_sql('AgeAtMedStart')} AS AgeAtMedStart,
         Medication, AgeAtMedStop FROM k WHERE n = 1)"""
+_MEDS = f"{with_tables('Diagnosis', 'Medications')}, {_FIRST}, {_MED_STEPS}"
 
 
 @query(f"{_MEDS} SELECT * FROM meds")
@@ -168,14 +175,17 @@ def medications_of_one_site(t):
     return c.medications_of_site(stand_in(t, "Medications"), _first_dx(t))
 
 
-@query(f"""{_MEDS}, i AS (SELECT *, max(CASE WHEN contains(Medication, 'domide') OR Medication IN ('Revlimid', 'Pomalyst') THEN 'Yes' END) OVER
+_COURSES = (f"""courses_i AS (SELECT *, max(CASE WHEN contains(Medication, 'domide') OR Medication IN ('Revlimid', 'Pomalyst') THEN 'Yes' END) OVER
         (PARTITION BY patient_id) AS received_imids FROM meds),
-    g AS (SELECT patient_id, AgeAtMedStart, MedicationInd, received_imids, string_agg(Medication, '; ' ORDER BY Medication, AgeAtMedStop) AS
-        Medication, string_agg(AgeAtMedStop, '; ' ORDER BY Medication, AgeAtMedStop) AS AgeAtMedStop FROM i GROUP BY ALL),
-    n AS (SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY AgeAtMedStart NULLS LAST, MedicationInd) AS n FROM g)
-    SELECT patient_id, received_imids, MedicationInd AS drugs_ever, 'Yes' AS has_medication_data, """
+    courses_g AS (SELECT patient_id, AgeAtMedStart, MedicationInd, received_imids, string_agg(Medication, '; ' ORDER BY Medication, AgeAtMedStop) AS
+        Medication, string_agg(AgeAtMedStop, '; ' ORDER BY Medication, AgeAtMedStop) AS AgeAtMedStop FROM courses_i GROUP BY ALL),
+    courses_n AS (SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY AgeAtMedStart NULLS LAST, MedicationInd) AS n FROM courses_g),
+    courses AS (SELECT patient_id, received_imids, MedicationInd AS drugs_ever, 'Yes' AS has_medication_data, """
        + ", ".join(f"max(CASE WHEN n = {i} THEN {x} END) AS {x}_{i}" for x in ("AgeAtMedStart", "Medication", "AgeAtMedStop") for i in range(1, 11))
-       + " FROM n GROUP BY ALL")
+       + " FROM courses_n GROUP BY ALL)")
+
+
+@query(f"{_MEDS}, {_COURSES} SELECT * FROM courses")
 def medication_courses_wide(t):
     meds = stand_in(t, "Medications")
     return c.medication_courses(c.medications_of_site(meds, _first_dx(t)))

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from catalog.base import longs, query, rounded
 from catalog.registry import age_sql, stand_in, stand_ins, with_tables
+from catalog.statistics import _table
 from vitaspan import decode_age, first_of, last_contact
 from vitaspan.operators.frames import across
 from vitaspan.plans import timeline as tl
-from vitaspan.plans.cohort import lung_treatment_cohort
+from vitaspan.plans.cohort import LUNG_TABLES, lung_table, lung_treatment_cohort
 from vitaspan.plans.endpoints import (metastasis_free_survival, overall_survival, progression_free_survival)
 
 KEY = "patient_id"
@@ -139,13 +140,14 @@ _TIMING_COLUMNS = ["patient_id", "Germline", "drug_ever", "radiation_ever", "dru
                    "years_blood_before_rad", "years_blood_after_rad", "years_blood_before_drugrad", "years_blood_after_drugrad"]
 
 
-@query(f"""{with_tables('Samples', 'ClinicalMolLinkage', 'Medications', 'Radiation')}, {_HISTORY}, {_LONG}, {_MED_NUMBERED}, {_RAD},
+_LUNG = f"""{with_tables('Samples', 'ClinicalMolLinkage', 'Medications', 'Radiation')}, {_HISTORY}, {_LONG}, {_MED_NUMBERED}, {_RAD},
     med AS (SELECT patient_id, MedicationInd AS drug_ever, ever_first_med_age, year_first_medication, max(CASE WHEN n = 1 THEN start END) AS
-        AgeAtMedStart_1 FROM numbered GROUP BY ALL),
+        AgeAtMedStart_1, max(CASE WHEN n = 1 THEN regimen_drugs END) AS regimen_drugs_1 FROM numbered GROUP BY ALL),
     rad AS (SELECT patient_id, RadiationTherapyInd AS radiation_ever, ever_first_rad_age, year_first_radiation, max(CASE WHEN n = 1 THEN start
         END) AS AgeAtRadiationStart_1 FROM rads GROUP BY ALL),
     c AS (SELECT patient_id, WES, {age_sql('SpecimenAge')} AS s FROM ClinicalMolLinkage),
-    j AS (SELECT s.patient_id, s.Germline, c.s, drug_ever, radiation_ever, AgeAtMedStart_1 AS d, AgeAtRadiationStart_1 AS r FROM Samples s
+    j AS (SELECT s.patient_id, s.Germline, c.s, drug_ever, radiation_ever, AgeAtMedStart_1 AS d, AgeAtRadiationStart_1 AS r,
+        regimen_drugs_1, year_first_medication, year_first_radiation FROM Samples s
         LEFT JOIN c ON s.patient_id = c.patient_id AND s.Germline IS NOT DISTINCT FROM c.WES
         LEFT JOIN c c2 ON s.patient_id = c2.patient_id AND s.Tumor_WES IS NOT DISTINCT FROM c2.WES
         LEFT JOIN med ON s.patient_id = med.patient_id LEFT JOIN rad ON s.patient_id = rad.patient_id),
@@ -164,7 +166,8 @@ _TIMING_COLUMNS = ["patient_id", "Germline", "drug_ever", "radiation_ever", "dru
         CASE WHEN d <= r THEN 'drug/rad' WHEN d > r THEN 'rad/drug' WHEN drug_ever = 'No' AND radiation_ever = 'No' THEN
             'No drug or radiation' WHEN drug_ever = 'Yes' AND radiation_ever = 'No' THEN 'Drug only' WHEN radiation_ever = 'Yes' AND
             drug_ever = 'No' THEN 'Radiation only' WHEN d IS NULL AND r IS NULL THEN 'missing drug and rad age' WHEN d IS NULL THEN
-            'missing drug age' WHEN r IS NULL THEN 'missing rad age' END AS treatment_sequence FROM j)
+            'missing drug age' WHEN r IS NULL THEN 'missing rad age' END AS treatment_sequence FROM j)"""
+_TIMING = """
     SELECT patient_id, Germline, drug_ever, radiation_ever, drug_radiation_ever, blood_before_drug, blood_before_rad,
         blood_before_drugorrad, treatment_sequence,
         round(CASE WHEN blood_before_drug = 'blood before drug' THEN s - d END, 6) AS years_blood_before_drug,
@@ -174,7 +177,10 @@ _TIMING_COLUMNS = ["patient_id", "Germline", "drug_ever", "radiation_ever", "dru
         round(CASE WHEN blood_before_drugorrad = 'blood before drug/rad' THEN s - CASE WHEN d <= r THEN d ELSE r END END, 6) AS
         years_blood_before_drugrad,
         round(CASE WHEN blood_before_drugorrad = 'blood after drug/rad' THEN s - CASE WHEN d <= r THEN d ELSE r END END, 6) AS
-        years_blood_after_drugrad FROM k""")
+        years_blood_after_drugrad FROM k"""
+
+
+@query(_LUNG + _TIMING)
 def blood_vs_treatment(t):
     """Whole lung pipeline: sample ages, regimens, radiation, timing classes and gaps."""
     r = stand_ins(t, "Samples", "ClinicalMolLinkage", "Medications", "Radiation")
@@ -183,6 +189,41 @@ def blood_vs_treatment(t):
     return rounded(lung_treatment_cohort(r["Samples"], r["ClinicalMolLinkage"], meds, rad, KEY).select(*_TIMING_COLUMNS))
 
 
+def _lung_table_sql(which: str) -> str:
+    variables = LUNG_TABLES[which]
+    numbers = [v for v in variables if v.startswith("year")]
+    where = {"drugs": " WHERE drug_ever = 'Yes'", "radiation": " WHERE radiation_ever = 'Yes'"}.get(which, "")
+    shown = _TIMING.replace("FROM k", ", regimen_drugs_1, year_first_medication, year_first_radiation FROM k")
+    table = _table({"Overall": "true"}, [v for v in variables if v not in numbers], numbers)
+    return f"""{_LUNG}, lung AS ({shown}), p AS (SELECT * FROM lung{where}), s AS ({table})
+        SELECT * REPLACE (round(value, CASE WHEN kind = 'continuous' THEN 1 ELSE 6 END) AS value) FROM s"""
+
+
+def _lung_table(t, which):
+    r = stand_ins(t, "Samples", "ClinicalMolLinkage", "Medications", "Radiation")
+    meds = r["Medications"].drop("MedPrimaryDiagnosisSiteCode", "MedPrimaryDiagnosisSite")
+    rad = r["Radiation"].drop("RadPrimaryDiagnosisSiteCode", "RadPrimaryDiagnosisSite")
+    cohort = lung_treatment_cohort(r["Samples"], r["ClinicalMolLinkage"], meds, rad, KEY)
+    gaps = [c for c in cohort.columns if c.startswith("years_blood")]
+    return rounded(lung_table(cohort.withColumns({c: F.round(c, 6) for c in gaps}), which))
+
+
+@query(_lung_table_sql("timing"))
+def lung_timing_table(t):
+    """Summary of the lung pipeline's own result: sequences, timing classes and gaps."""
+    return _lung_table(t, "timing")
+
+
+@query(_lung_table_sql("drugs"))
+def lung_drug_table(t):
+    return _lung_table(t, "drugs")
+
+
+@query(_lung_table_sql("radiation"))
+def lung_radiation_table(t):
+    return _lung_table(t, "radiation")
+
+
 # --- first of four, contact, endpoints -------------------------------------------------------------
 
 _FOUR = """four AS (SELECT o_custkey, min(CASE o_orderpriority WHEN '1-URGENT' THEN y END) AS rad, min(CASE o_orderpriority WHEN '2-HIGH'

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from vitaspan.functions.scalars import col, decode_age
 from vitaspan.operators.frames import label, relocate
 from vitaspan.operators.joins import assemble, join_ns, semi_by_list
+from vitaspan.operators.tables import summary_table
 from vitaspan.plans import clinical as c
 from vitaspan.plans import timeline as t
 from vitaspan.plans.endpoints import metastasis_free_survival, overall_survival, progression_free_survival
@@ -117,7 +118,7 @@ def myeloma_cohort(tables: Mapping[str, DataFrame], samples: DataFrame, key: str
     parts = [_with_iss(dx, tables, key), c.demographics(tables["PatientMaster"]),
              *_reductions(tables, dx, key, True, markers, abnormalities)]
     df = with_endpoints(assemble(parts, key, "left", key_nullable=False), strict_contact)
-    return df.withColumn("received_imids", F.coalesce(F.col("received_imids"), F.lit("No")))
+    return label(df.withColumn("received_imids", F.coalesce(F.col("received_imids"), F.lit("No"))), LABELS)
 
 
 def myeloma_report(cohort: DataFrame, key: str = c.KEY) -> DataFrame:
@@ -143,3 +144,28 @@ def lung_treatment_cohort(samples: DataFrame, linkage: DataFrame, meds: DataFram
     own = [*aged.columns, "drug_ever", "radiation_ever", "drug_radiation_ever", "blood_before_drug", "blood_before_rad",
            "blood_before_drugorrad", "treatment_sequence"]
     return relocate(done, [*own, *[n for n in done.columns if n.startswith("ever_first")]])
+
+
+# variables of the lung report's tables
+_GAPS = {"drug": ["years_blood_before_drug", "years_blood_after_drug"], "rad": ["years_blood_before_rad", "years_blood_after_rad"],
+         "both": ["years_blood_before_drugrad", "years_blood_after_drugrad"]}
+LUNG_TABLES = {
+    "timing": ["treatment_sequence", "drug_ever", "radiation_ever", "drug_radiation_ever", "blood_before_drug", *_GAPS["drug"], "blood_before_rad",
+               *_GAPS["rad"], "blood_before_drugorrad", *_GAPS["both"]],
+    "drugs": ["year_first_medication", "treatment_sequence", "drug_radiation_ever", "blood_before_drug", *_GAPS["drug"], "blood_before_drugorrad",
+              *_GAPS["both"], "regimen_drugs_1"],
+    "radiation": ["year_first_radiation", "treatment_sequence", "drug_radiation_ever", "blood_before_rad", *_GAPS["rad"], "blood_before_drugorrad",
+                  *_GAPS["both"]],
+}
+_GIVEN = {"drugs": "drug_ever", "radiation": "radiation_ever"}
+
+
+def lung_table(cohort: DataFrame, which: str) -> DataFrame:
+    """One of the lung report's summary tables: ``timing`` of all samples, or ``drugs``, ``radiation`` of those treated so.
+
+    Numbers are shown with one digit.
+    """
+    variables = LUNG_TABLES[which]
+    rows = cohort.where(col(_GIVEN[which]) == "Yes") if which in _GIVEN else cohort
+    kinds = dict(cohort.select(*variables).dtypes)
+    return summary_table(rows, variables, digits={v: 1 for v in variables if kinds[v] != "string"})
