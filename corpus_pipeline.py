@@ -1,4 +1,9 @@
-"""A corpus pipeline: each stage works on what its predecessor kept, written as Parquet and read again."""
+"""A corpus pipeline: each stage works on what its predecessor kept, written as Parquet and read again.
+
+Rows are judged by their texts. NULL texts count as empty (the quality rules reject them); rows without a doc_id go
+through every stage; rows that share a doc_id but not their text stay apart until packing, which gives the pieces of each; of
+rows with one doc_id and one text a single one stays. Further columns are kept up to packing. Empty tables give an empty result.
+"""
 
 from __future__ import annotations
 
@@ -22,7 +27,7 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near-duplicates."""
+    """One document of each group of near-duplicates, the one with the smallest doc_id."""
     return simhash.keep_first(docs)
 
 
@@ -44,7 +49,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: Scores, thresholds and packing are not expressible in SQL; the tests compare with brute force.
+#: Scores, thresholds and packing are not expressible in SQL; the tests compare each stage with brute force.
 ORACLE_SQL = None
 
 

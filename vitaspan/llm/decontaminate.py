@@ -183,6 +183,8 @@ def _best(agree: Column) -> Column:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, min_score: int = MIN_SCORE) -> DataFrame:
-    """Documents that overlap with no item, with all columns; rows without a doc_id stay."""
-    found = overlaps(docs, benchmark, min_score).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti")
+    """Documents that overlap with no item, with all columns. Each row is judged by its text, whatever its doc_id."""
+    key = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit(""))))
+    own = docs.withColumn("__text", key)
+    found = overlaps(own.select(F.col("__text").alias("doc_id"), "text"), benchmark, min_score).select(F.col("doc_id").alias("__found")).distinct()
+    return own.join(found, F.col("__text") == F.col("__found"), "left_anti").drop("__text")

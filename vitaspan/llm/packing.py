@@ -17,7 +17,6 @@ from array import array
 from collections.abc import Iterator
 from typing import Any
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window

@@ -289,13 +289,19 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id, with all columns.
+    """One row of each component, with all columns: the one with the smallest doc_id, then the smallest SHA-256 of its text.
 
-    Rows that repeat a doc_id count once. Rows without a doc_id cannot be told apart and stay.
+    Rows are told apart by doc_id and text. Those that share a doc_id but not their text are judged each by its own text;
+    rows without a doc_id come after all others; of rows with one doc_id and one text a single one stays.
     """
-    first = near_duplicates(docs.where("doc_id IS NOT NULL"), shingle, max_bits).where("doc_id = component_id")
-    kept = docs.join(first.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    text = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
+    own = docs.withColumn("__text", text)
+    # in the order of the fields; a NULL doc_id sorts behind
+    ident = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), F.col("__text").alias("text"))
+    found = near_duplicates(own.select(ident.alias("doc_id"), "text"), shingle, max_bits)
+    first = found.where("doc_id = component_id").select("doc_id.*").distinct()
+    same = own["doc_id"].eqNullSafe(first["id"]) & (own["__text"] == first["text"])
+    return own.join(first, same, "left_semi").dropDuplicates(["doc_id", "__text"]).drop("__text")
 
 
 by_value(__name__)
