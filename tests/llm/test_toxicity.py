@@ -81,3 +81,18 @@ def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     model = toxicity.fit_toxicity(docs, spark.createDataFrame([], "doc_id long, toxic int"))
     assert score_documents(docs, model).collect() == [] and model.score("anything") < 0.5
+
+
+def test_learning_keeps_no_terms_of_harmless_texts():
+    """Memory follows the texts and the terms of toxic ones, not all terms of all texts."""
+    import tracemalloc
+
+    plain = [" ".join(f"word{i}x{k}" for k in range(400)) for i in range(300)]
+    toxic = [f"some grubble text number {i}" for i in range(12)]
+    texts, labels = plain + toxic, [0] * len(plain) + [1] * len(toxic)
+    tracemalloc.start()
+    model = learn(texts, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.weights and model.score(toxic[0]) > model.score(plain[0])
+    assert peak < 20_000_000

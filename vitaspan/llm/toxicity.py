@@ -103,7 +103,9 @@ class Lexicon:
 
     def features(self, text: str | None) -> tuple[float, float]:
         """Matched weight per word and matched weight, both on a log scale."""
-        folded = fold(text or "")
+        return self.folded_features(fold(text or ""))
+
+    def folded_features(self, folded: str) -> tuple[float, float]:
         total = sum(w for _, _, w in self.matches(folded))
         return math.log1p(100 * total / (folded.count(" ") - 1 + 50)), math.log1p(total)
 
@@ -132,21 +134,24 @@ def learn(texts: list[str], labels: list[int], stems: tuple[int, ...] = (4, 5, 6
     n_pos, n_neg = sum(labels), len(labels) - sum(labels)
     if not n_pos or not n_neg:
         return Lexicon({}, [], (math.log((n_pos + 0.5) / (n_neg + 0.5)) if labels else -5.0, 0.0, 0.0))
-    sets = [_terms(f, stems) for f in folded]
+    # the terms of one text at a time; only those that enough toxic texts have are counted in the others and kept
     pos, neg = Counter(), Counter()
-    for s, y in zip(sets, labels):
-        (pos if y else neg).update(s)
+    for f, y in zip(folded, labels):
+        if y:
+            pos.update(_terms(f, stems))
     least = max(3, math.ceil(0.01 * n_pos)) if n_pos >= 6 else 2
+    pos = {t: c for t, c in pos.items() if c >= least}
+    for f, y in zip(folded, labels):
+        if not y:
+            neg.update(pos.keys() & _terms(f, stems))
     weight = {t: math.log((c + 0.5) / (n_pos + 1)) - math.log((neg[t] + 0.5) / (n_neg + 1))
-              for t, c in pos.items() if c >= least}
+              for t, c in pos.items()}
     weight = {t: w for t, w in weight.items() if w >= least_weight}
     holders = defaultdict(list)
-    toxic = [s for s, y in zip(sets, labels) if y]
-    for i, s in enumerate(toxic):
-        for t in s:
-            if t in weight:
-                holders[t].append(i)
-    need, chosen = [2] * len(toxic), {}
+    for i, f in enumerate(f for f, y in zip(folded, labels) if y):
+        for t in weight.keys() & _terms(f, stems):
+            holders[t].append(i)
+    need, chosen = [2] * n_pos, {}
     gain = {t: len(h) for t, h in holders.items()}
     while gain:
         # among equal gains a stem before a whole word, then the longer one
@@ -169,7 +174,7 @@ def learn(texts: list[str], labels: list[int], stems: tuple[int, ...] = (4, 5, 6
     plain = Lexicon(chosen, [], (0.0, 0.0, 0.0))
     spared = _exceptions(plain, folded, labels)
     model = Lexicon(chosen, spared, (0.0, 0.0, 0.0))
-    x = np.array([(1.0, *model.features(t)) for t in texts])
+    x = np.array([(1.0, *model.folded_features(f)) for f in folded])
     model.curve = _logistic(x, np.array(labels, dtype=float))
     return model
 
