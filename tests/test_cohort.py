@@ -200,3 +200,16 @@ def test_pivot_keeps_all_ids(spark, rows):
     df = spark.createDataFrame([("a", 1, 5), ("a", 2, 4), ("a", 1, 3), ("b", 1, 9)], "k string, i int, t int")
     assert rows(pivot_ordinal(df, ["k", "i"], "k", ["t"], ["t"], width=2)) == [("a", 1, 3, None, [5]), ("a", 2, None, 4, []), ("b", 1, 9, None, [])]
     assert rows(pivot_ordinal(df, ["k", "i"], "k", ["t"], ["t"])) == [("a", 1, 3, None, 5), ("a", 2, None, 4, None), ("b", 1, 9, None, None)]
+
+
+def _marked(df, name):
+    """``df`` after an aggregation, with an expression that shows in the plan of whoever computes it again."""
+    return df.groupBy(*df.columns).count().drop("count").withColumn(name, F.xxhash64(*df.columns))
+
+
+def test_regimens_are_computed_once(spark, rows):
+    df = _marked(spark.createDataFrame([("a", "x", 1), ("a", "x", 3), ("a", "y", 2), ("b", "z", 9)], "k string, i string, t int"), "h")
+    for n in (None, 2):
+        wide = pivot_ordinal(df, ["k", "i"], "k", ["t"], ["t", "h"], n)
+        assert "xxhash64" not in wide._jdf.queryExecution().optimizedPlan().toString()
+        assert [r[:4] for r in rows(wide.select("k", "i", "t_1", "t_2"))] == [("a", "x", 1, None), ("a", "y", None, 2), ("b", "z", 9, None)]

@@ -113,3 +113,12 @@ def test_order_header_and_merge(patients, rows):
 def test_histogram_of_one_value(spark, rows):
     assert rows(histogram(spark.createDataFrame([(2.0,), (2.0,), (None,)], "x double"), "x", 5)) == [(1, 2.0, 2.0, 2)]
     assert sum(r.n for r in histogram(spark.range(1000).select(F.col("id").alias("x")), "x").collect()) == 1000
+
+
+def test_summary_computes_its_rows_once(spark):
+    df = spark.createDataFrame([(1, "a", 1.0), (2, "a", 2.0), (3, None, 6.0)], "k int, c string, v double")
+    df = df.groupBy("k", "c", "v").count().withColumn("v", F.col("v") + F.pmod(F.xxhash64("c"), F.lit(1)))
+    table = summary_table(df, ["c", "v"])
+    assert "xxhash64" not in table._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r.variable, r.level, r.stat): r.value for r in table.collect()}
+    assert got["c", "a", "n"] == 2 and got["c", None, "missing"] == 1 and got["v", None, "median"] == 2.0

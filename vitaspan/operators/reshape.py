@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vitaspan.functions.scalars import col, number_text
 from vitaspan.operators.joins import join_ns
 from vitaspan.operators.ordered import sequence_no, top_per_key
-from vitaspan.session import PIECE_ROWS
+from vitaspan.session import PIECE_ROWS, shared
 
 
 def pivot_wide(df: DataFrame, id_cols: Sequence[str], names_from: str, values_from: str,
@@ -60,6 +60,8 @@ def pivot_ordinal(df: DataFrame, id_cols: Sequence[str], key: str, order: Sequen
     number of columns, which takes one counting job, up to ``width`` of each; the values of later records follow in order in
     arrays ``a_more, b_more``. ``pivot_blocks`` gives tables of fixed width for keys of any length.
     """
+    # read two or three times below
+    df = shared(df)
     longest = 0
     if max_n is None:
         longest = int(df.groupBy(col(key)).count().agg(F.max("count")).head()[0] or 0)

@@ -17,6 +17,7 @@ from vitaspan.functions.scalars import col, number_text
 from vitaspan.operators.joins import join_ns
 from vitaspan.operators.scan import quantiles, quantiles_of_counts, running
 from vitaspan.operators.survival import level_list
+from vitaspan.session import shared
 
 OVERALL = "Overall"
 #: Levels up to which a table is put together for the exact test.
@@ -91,6 +92,8 @@ def summary_table(df: DataFrame, variables: Sequence[str], by: str | None = None
     ``p_value`` and ``significant``.
     """
     kind = _kinds(df, variables, kinds)
+    # every kind of variable, the groups and the tests read the rows on their own
+    df = shared(df.select(*[col(c) for c in dict.fromkeys([*variables, *([by] if by else [])])]))
     names = _groups(df, by, groups)
     shown = [*names, OVERALL] if overall and by is not None else names
     parts = []
