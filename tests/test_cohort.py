@@ -213,3 +213,23 @@ def test_regimens_are_computed_once(spark, rows):
         wide = pivot_ordinal(df, ["k", "i"], "k", ["t"], ["t", "h"], n)
         assert "xxhash64" not in wide._jdf.queryExecution().optimizedPlan().toString()
         assert [r[:4] for r in rows(wide.select("k", "i", "t_1", "t_2"))] == [("a", "x", 1, None), ("a", "y", None, 2), ("b", "z", 9, None)]
+
+
+def test_assembly_computes_a_table_once(spark, rows):
+    a = _marked(spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, x int"), "h").drop("x")
+    b = spark.createDataFrame([("b", 5, None), ("c", None, None)], "k string, `del(17p)` int, `t(4;14)` string")
+    both = assemble([a, b], "k", "full", key_nullable=False)
+    assert "xxhash64" not in both._jdf.queryExecution().optimizedPlan().toString()
+    assert both.columns == ["k", "h", "del(17p)", "t(4;14)"]
+    got = rows(both.selectExpr("k", "h is not null", "`del(17p)`", "`t(4;14)`"))
+    assert got == [("a", True, None, None), ("a", True, None, None), ("b", True, 5, None), ("c", False, None, None)]
+
+
+def test_assembly_joins_carry_one_column_a_table(spark):
+    frames = [spark.createDataFrame([("a", i, i)], f"k string, x{i} int, y{i} int") for i in range(4)]
+    for how in ("left", "full"):
+        both = assemble([f.withMetadata(f"x{i}", {"unit": "years"}) for i, f in enumerate(frames)], "k", how, key_nullable=False)
+        plan = both._jdf.queryExecution().analyzed().toString()
+        assert "__t2" in plan and both.schema["x3"].metadata == {"unit": "years"}
+        assert both.columns == ["k", *[f"{c}{i}" for i in range(4) for c in "xy"]]
+        assert [tuple(r) for r in both.collect()] == [("a", 0, 0, 1, 1, 2, 2, 3, 3)]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from vitaspan.functions.scalars import col
 from vitaspan.operators.ordered import first_per_key
+from vitaspan.session import shared
 
 
 def join_ns(left: DataFrame, right: DataFrame, on: Sequence[str] | Mapping[str, str], how: str = "left",
@@ -136,6 +137,8 @@ def assemble(tables: Sequence[DataFrame], key: str, how: str = "left", key_nulla
     if how == "left":
         base, rest = tables[0], list(tables[1:])
     elif how == "full":
+        # read for their keys and for their rows
+        tables = [shared(t) for t in tables]
         base = reduce(lambda a, b: a.union(b), [t.select(col(key)) for t in tables]).distinct()
         if not key_nullable:
             failed = F.raise_error(F.lit(f"NULL in key {key}"))
@@ -145,7 +148,11 @@ def assemble(tables: Sequence[DataFrame], key: str, how: str = "left", key_nulla
         raise ValueError("how is 'left' or 'full'")
     if key_nullable:
         return reduce(lambda a, b: join_ns(a, b, [key], "left"), rest, base)
-    return reduce(lambda a, b: a.join(b, key, "left"), rest, base)
+    # a table goes through the joins as one column, so that none of them copies the columns of all tables before it
+    packed = {f"__t{i}": t.select(col(key), F.struct(*[col(c) for c in t.columns if c != key]).alias(f"__t{i}"))
+              for i, t in enumerate(rest) if len(t.columns) > 1}
+    joined = reduce(lambda a, b: a.join(b, key, "left"), [packed.get(f"__t{i}", t) for i, t in enumerate(rest)], base)
+    return joined.select(col(key), *[col(c) for c in base.columns if c != key], *[f"{t}.*" for t in packed])
 
 
 def tiered_union_first(df: DataFrame, match: DataFrame, on: Mapping[str, str], fallback: Column,
