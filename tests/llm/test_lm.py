@@ -168,3 +168,76 @@ def test_probabilities_of_a_context_add_up(spark):
 
 def test_empty_table(spark):
     assert lm.score(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+@pytest.mark.parametrize("n, universe", [(1, 1), (1000, 1 << 64), (20_000, 10**9), (20_000, 30_000), (5_000, 5_000)])
+def test_few_and_many_questions_get_the_same_places(monkeypatch, n, universe):
+    rng = np.random.default_rng(n)
+    values = np.sort(rng.integers(0, universe, n, dtype=np.uint64))
+    coded = EliasFano.encode(values, universe)
+    asked = np.concatenate([rng.choice(values, 40), rng.integers(0, universe, 40, dtype=np.uint64), np.array([0, universe - 1], dtype=np.uint64)])
+    many = coded.search(asked), coded.find(asked), coded.find_each(asked), coded.get(np.arange(n))
+    from vitaspan.llm import elias_fano
+
+    for each in (8, 0):  # 0: every question probes the list
+        monkeypatch.setattr(elias_fano, "MANY", each)
+        assert (coded.search(asked) == np.searchsorted(values, asked)).all()
+        assert ((coded.find(asked) >= 0) == np.isin(asked, values)).all()
+        assert all((a == b).all() for a, b in zip(many, (coded.search(asked), coded.find(asked), coded.find_each(asked), coded.get(np.arange(n)))))
+
+
+def sizes_of(spark, docs, **options):
+    """Bytes that a run froze, and its rows."""
+    import os
+
+    from vitaspan.session import owning
+
+    with owning() as owner:
+        rows = lm.score(docs, **options).collect()
+        frozen = sum(os.path.getsize(os.path.join(at, f)) for p in owner.paths for at, _, names in os.walk(p.removeprefix("file:")) for f in names)
+        owner.drop(spark)
+    return frozen, rows
+
+
+def zipf_documents(n, length):
+    rng = np.random.default_rng(5)
+    p = 1 / np.arange(1, 20_001)
+    return [(i, " ".join(f"w{w}" for w in rng.choice(20_000, length, p=p / p.sum()))) for i in range(n)]
+
+
+def test_answers_take_few_bytes_a_token(spark):
+    docs = zipf_documents(400, 500)
+    frozen, rows = sizes_of(spark, spark.createDataFrame(docs, "doc_id long, text string").repartition(2), order=3, shard_tokens=50_000)
+    tokens = sum(r["n_tokens"] for r in rows)
+    assert tokens == 400 * 501 and frozen < 4 * tokens
+
+
+def test_questions_take_few_bytes_a_token():
+    """A word's hash goes to a shard once, not with every n-gram that holds it."""
+    import pyarrow as pa
+
+    held = lm.Batch()
+    docs = zipf_documents(400, 500)
+    held.add(pa.array([str(i) for i, _ in docs]), pa.array([t for _, t in docs]), pa.array([i % 5 == 1 for i, _ in docs]))
+    a = held.arrays()
+    asked = lm.Questions(a["hashes"], a["tokens"], a["lengths"], np.zeros(0, dtype=np.uint64), 4, 3)
+    counts = np.bincount(asked.levels[-1].rows[np.repeat(a["train"], a["lengths"])], minlength=len(asked.levels[-1].words))
+    sent = list(asked.messages(counts))
+    assert [s for s, _ in sent] == [0, 1, 2, 3] and sum(len(raw) for _, raw in sent) < 8 * held.size
+    # every n-gram of three words is in one message, with its count
+    assert sum(int(lm._unpack(raw)[-1].sum()) for _, raw in sent) == int(a["lengths"][a["train"]].sum())
+
+
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(2)
+    arrays = [np.zeros(0, dtype=np.int64), np.zeros(9, dtype=np.int64), np.arange(300), rng.integers(0, 1 << 64, 70, dtype=np.uint64), np.array([1 << 40])]
+    got = lm._unpack(lm._pack(*arrays))
+    assert len(got) == len(arrays) and all((a == b).all() and len(a) == len(b) for a, b in zip(got, arrays))
+
+
+def test_blanks_and_empty_texts_between_others(spark):
+    docs = [(i, t) for i, t in enumerate([" a b", "a b ", "\n", "", None, "a\tb", "\x0b\x0ca\r", "a\x1cb a b \x85"] * 8)]
+    got = {r["doc_id"]: r for r in lm.score(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1), order=2).collect()}
+    for i, _, n_tokens, n_known, train_tokens, base, score in brute(docs):
+        assert (got[i]["n_tokens"], got[i]["n_known"], got[i]["train_tokens"]) == (n_tokens, n_known, train_tokens)
+        assert got[i]["base_score"] == pytest.approx(base, rel=1e-9) and got[i]["score"] == pytest.approx(score, abs=1.25e-4 * n_tokens)

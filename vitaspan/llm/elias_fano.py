@@ -9,6 +9,10 @@ import numpy as np
 from vitaspan.llm.common import by_value
 
 
+#: A search for more than 1 / MANY of a list's length reads the list through instead of probing it.
+MANY = 8
+
+
 class EliasFano:
     """A sorted list of n numbers below ``universe`` in about 2 + log2(universe / n) bits each.
 
@@ -28,9 +32,11 @@ class EliasFano:
             part = values & np.uint64((1 << bits) - 1)
             at = np.arange(n, dtype=np.uint64) * np.uint64(bits)
             word, shift = (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
-            np.bitwise_or.at(low, word, part << shift)
+            first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            low[word[first]] = np.bitwise_or.reduceat(part << shift, first)
+            # one number at most reaches over the end of a word
             over = shift + np.uint64(bits) > np.uint64(64)
-            np.bitwise_or.at(low, word[over] + 1, part[over] >> (np.uint64(64) - shift[over]))
+            low[word[over] + 1] |= part[over] >> (np.uint64(64) - shift[over])
         upper = (values >> np.uint64(bits)).astype(np.int64) if n else np.zeros(0, dtype=np.int64)
         size = (int(upper[-1]) if n else 0) + n + 2
         flags = np.zeros(-(-size // 64) * 64, dtype=np.uint8)
@@ -58,6 +64,14 @@ class EliasFano:
         rest = np.where(shift > 0, self.low[word + 1] << ((np.uint64(64) - shift) & np.uint64(63)), np.uint64(0))
         return ((self.low[word] >> shift) | rest) & np.uint64((1 << self.low_bits) - 1)
 
+    def _all(self) -> np.ndarray:
+        """All numbers in order, read in one go."""
+        ones = np.concatenate([np.zeros(0, dtype=np.int64), *(
+            64 * i + np.flatnonzero(np.unpackbits(self.high[i:i + (1 << 16)].view(np.uint8), bitorder="little"))
+            for i in range(0, len(self.high), 1 << 16))])[:self.n]
+        at = np.arange(self.n, dtype=np.int64)
+        return ((ones - at).astype(np.uint64) << np.uint64(self.low_bits)) | self._low(at)
+
     def _range(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For every x the first place whose number is x or more, and the end of the numbers that share its high part."""
         upper = (x >> np.uint64(self.low_bits)).astype(np.int64)
@@ -81,22 +95,40 @@ class EliasFano:
     def search(self, x: np.ndarray) -> np.ndarray:
         """For every x the first place whose number is x or more (n, if there is none)."""
         x = np.asarray(x, dtype=np.uint64)
+        if len(x) * MANY >= self.n:
+            return np.searchsorted(self._all(), x)
         return self._range(x)[0] if self.n else np.zeros(len(x), dtype=np.int64)
 
     def find(self, x: np.ndarray) -> np.ndarray:
         """The place of every x, or -1."""
         x = np.asarray(x, dtype=np.uint64)
         out = np.full(len(x), -1, dtype=np.int64)
-        if self.n:
+        if self.n and len(x) * MANY >= self.n:
+            values = self._all()
+            at = np.searchsorted(values, x)
+            same = values[np.minimum(at, self.n - 1)] == x
+            out[same] = at[same]
+        elif self.n:
             at, stop = self._range(x)
             inside = np.flatnonzero(at < stop)
             same = inside[self._low(at[inside]) == x[inside] & np.uint64((1 << self.low_bits) - 1)]
             out[same] = at[same]
         return out
 
+    def find_each(self, x: np.ndarray) -> np.ndarray:
+        """As ``find``, for numbers that come again and again: each is searched once."""
+        x = np.asarray(x, dtype=np.uint64)
+        top = int(x.max()) + 1 if len(x) else 0
+        if top <= 2 * len(x):  # small numbers: all of them are looked up, in order
+            return self.find(np.arange(top, dtype=np.uint64))[x.astype(np.int64)]
+        keys, back = np.unique(x, return_inverse=True)
+        return self.find(keys)[back]
+
     def get(self, i: np.ndarray) -> np.ndarray:
         """Numbers at the places i."""
         i = np.asarray(i, dtype=np.int64)
+        if len(i) * MANY >= self.n:
+            return self._all()[i]
         ones = 64 * np.arange(len(self.zeros), dtype=np.int64) - self.zeros
         word = np.searchsorted(ones, i, side="right") - 1
         bit = np.empty(len(i), dtype=np.int64)
@@ -122,6 +154,10 @@ def dequantise(code: np.ndarray) -> np.ndarray:
     return np.where(code == 0, 0.0, 10.0 ** (LOWEST * (code.astype(np.float64) - 1) / 65534))
 
 
+def _beyond(ordered: np.ndarray) -> int:
+    return int(ordered[-1]) + 1 if len(ordered) else 1
+
+
 class Trie:
     """Contexts, monotone pointers to their successors, and a quantised probability per successor.
 
@@ -131,15 +167,16 @@ class Trie:
 
     def __init__(self, contexts: np.ndarray, words: np.ndarray, p: np.ndarray):
         """Parallel arrays sorted by (context, word), both unsigned 64-bit hashes, without repeats."""
-        keys, first, number = np.unique(contexts, return_index=True, return_inverse=True)
+        starts = np.append(True, contexts[1:] != contexts[:-1])[:len(contexts)]
+        first = np.flatnonzero(starts)
+        keys = contexts[first]
         vocabulary, successor = np.unique(words, return_inverse=True)
         self.n_words = max(1, len(vocabulary))
         pointers = np.append(first, len(words))
-        values = number.astype(np.uint64) * np.uint64(self.n_words) + successor.astype(np.uint64)
-        order = np.argsort(values)
-        levels = (EliasFano.encode(keys, 1 << 64), EliasFano.encode(vocabulary, 1 << 64),
-                  EliasFano.encode(pointers, len(words) + 1), EliasFano.encode(values[order], max(1, len(keys) * self.n_words)))
-        codes = quantise(np.asarray(p)[order]) if len(words) else np.zeros(0, dtype=np.uint16)
+        values = (np.cumsum(starts) - 1).astype(np.uint64) * np.uint64(self.n_words) + successor.astype(np.uint64)
+        levels = (EliasFano.encode(keys, _beyond(keys)), EliasFano.encode(vocabulary, _beyond(vocabulary)),
+                  EliasFano.encode(pointers, len(words) + 1), EliasFano.encode(values, max(1, len(keys) * self.n_words)))
+        codes = quantise(np.asarray(p)) if len(words) else np.zeros(0, dtype=np.uint16)
         self.file = tempfile.TemporaryFile()  # has no name, so nothing stays behind
         self.contexts, self.vocabulary, self.pointers, self.successors = (self._mapped(x) for x in levels)
         self.codes = self._map(codes)
@@ -161,16 +198,14 @@ class Trie:
         """Number of successors of each context; 0 if it is unknown."""
         at = self.contexts.find(contexts)
         out, known = np.zeros(len(at), dtype=np.int64), at >= 0
-        out[known] = self.pointers.get(at[known] + 1).astype(np.int64) - self.pointers.get(at[known]).astype(np.int64)
+        begin, end = np.split(self.pointers.get(np.concatenate([at[known], at[known] + 1])).astype(np.int64), 2)
+        out[known] = end - begin
         return out
 
     def lookup(self, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Codes of pairs; 0 where there is none."""
         out = np.zeros(len(words), dtype=np.uint16)
-        keys, back = np.unique(contexts, return_inverse=True)
-        context = self.contexts.find(keys)[back]
-        tokens, back = np.unique(words, return_inverse=True)
-        word = self.vocabulary.find(tokens)[back]
+        context, word = self.contexts.find_each(contexts), self.vocabulary.find_each(words)
         known = np.flatnonzero((context >= 0) & (word >= 0))
         at = self.successors.find(context[known].astype(np.uint64) * np.uint64(self.n_words) + word[known].astype(np.uint64))
         out[known[at >= 0]] = self.codes[at[at >= 0]]
